@@ -1,5 +1,7 @@
 """Text predicates and conversions as column expressions."""
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,9 +18,22 @@ def has_ink(text: Column) -> Column:
     return text.rlike(INK_PATTERN)
 
 
-def contains_ci(text: Column, word: str) -> Column:
-    """Case-insensitive substring test; ``word`` is given in lower case."""
-    return F.contains(F.lower(text), F.lit(word))
+def contains_ci(text: Column, word: str, rare_pair: str | None = None) -> Column:
+    """Case-insensitive substring test; ``word`` is given in lower case.
+
+    Lowering a long non-ASCII text costs several times a plain search. With
+    ``rare_pair``, two letters of ``word`` that few texts contain side by side,
+    only texts with the pair in some case are lowered.
+    """
+    found = F.contains(F.lower(text), F.lit(word))
+    if rare_pair:
+        if rare_pair not in word:
+            raise ValueError(f"{rare_pair!r} is not part of {word!r}")
+        cases = {a + b for a in (rare_pair[0], rare_pair[0].upper())
+                 for b in (rare_pair[1], rare_pair[1].upper())}
+        pairs = [F.contains(text, F.lit(pair)) for pair in sorted(cases)]
+        found = reduce(Column.__or__, pairs) & found
+    return found
 
 
 def blank_to_null(text: Column) -> Column:

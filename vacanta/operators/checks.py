@@ -137,6 +137,15 @@ def diagnosis(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     ).select("source", "kind", F.posexplode("lines").alias("line_no", "line"))
 
 
+def check_details(store: DataFrame, now: Column) -> DataFrame:
+    """What a check notes about the listing table: rows, and rows of the last hour."""
+    since = now - F.make_dt_interval(hours=F.lit(1))
+    return store.agg(
+        F.count("*").alias("table_row_count"),
+        F.count_if(F.col("update_date") > since).alias("recent_inserts"),
+    ).select(F.lit(True).alias("table_exists"), "table_row_count", "recent_inserts")
+
+
 def slow_checks(log: DataFrame, seconds: float = fixed.SLOW_CHECK_SECONDS) -> DataFrame:
     """Successful checks that took longer than ``seconds``."""
     return log.where(F.col("ok") & (F.col("response_time") > seconds)).select(

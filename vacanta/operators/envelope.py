@@ -31,7 +31,7 @@ def _is_challenge() -> Column:
 def _is_usable(reject_error_word: bool) -> Column:
     usable = has_ink(F.col("body"))
     if reject_error_word:
-        usable = usable & ~contains_ci(F.col("body"), ERROR_WORD)
+        usable = usable & ~contains_ci(F.col("body"), ERROR_WORD, rare_pair="rr")
     return usable
 
 
@@ -130,7 +130,10 @@ def page_counts(responses: DataFrame) -> DataFrame:
 
 
 def page_quality(responses: DataFrame) -> DataFrame:
-    """Per rule, how many usable responses break it."""
+    """Per rule, how many usable responses break it.
+
+    ``not_json`` counts bodies that are no whole JSON object.
+    """
     parsed = parse_envelope(usable_responses(responses), columns=[])
     rules = {
         "not_json": ~F.col("is_json"),

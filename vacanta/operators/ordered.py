@@ -1,7 +1,7 @@
 """Order-dependent operators that split one busy source over many tasks.
 
-A log row has ``source`` and ``seq``, a whole number unique in its source that
-gives the call order. ``seq`` is cut into chunks of ``chunk_rows`` numbers, so a
+A log row has ``source`` and ``seq``, neither ever NULL: ``seq`` is a whole
+number unique in its source that gives the call order. ``seq`` is cut into chunks of ``chunk_rows`` numbers, so a
 ``(source, chunk)`` group cannot hold more rows than that, however large the
 source. Windows run inside the chunks; one summary row per chunk then carries
 the state over chunk borders. The chunk of a row depends on ``seq`` alone, so
@@ -26,7 +26,16 @@ def _earlier():
 
 
 def with_chunk(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    return log.withColumn("chunk", F.floor(F.col("seq") / chunk_rows))
+    """Add ``chunk``.
+
+    The NULL tests hold for every log row. They are spelled out because the joins
+    below imply them on one side: with equal filters on both sides the log is
+    scanned and shuffled once and the shuffle is used twice.
+    """
+    chunk = F.call_function("div", F.col("seq"), F.lit(chunk_rows))
+    return log.withColumn("chunk", chunk).where(
+        F.col("source").isNotNull() & F.col("chunk").isNotNull()
+    )
 
 
 def running_totals(
@@ -34,21 +43,20 @@ def running_totals(
 ) -> DataFrame:
     """Add running totals (``name -> 0/1 or number``) per source in ``seq`` order.
 
-    The offsets are a plain aggregate, combined on the map side: one row per
-    chunk. The joined log stays partitioned by (source, chunk), so its rows are
-    shuffled once.
+    The offsets are the chunk totals, one row per chunk. The joined log stays
+    partitioned by (source, chunk), so its rows are shuffled once.
     """
     rows = with_chunk(log.withColumns(totals), chunk_rows)
+    local = rows.withColumns({name: F.sum(name).over(_so_far()) for name in totals})
     offsets = (
-        rows.groupBy("source", "chunk")
-        .agg(*[F.sum(name).alias(name) for name in totals])
+        local.groupBy("source", "chunk")
+        .agg(*[F.max_by(name, "seq").alias(name) for name in totals])
         .select(
             "source",
             "chunk",
             *[F.coalesce(F.sum(n).over(_earlier()), F.lit(0)).alias(f"{n}_before") for n in totals],
         )
     )
-    local = rows.withColumns({name: F.sum(name).over(_so_far()) for name in totals})
     return (
         local.join(offsets, ["source", "chunk"])
         .withColumns({name: F.col(name) + F.col(f"{name}_before") for name in totals})

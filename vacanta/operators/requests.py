@@ -63,10 +63,15 @@ def error_breakdown(log: DataFrame) -> DataFrame:
 def hourly_stats(log: DataFrame) -> DataFrame:
     """Per source and hour: requests, successes and jobs of successes."""
     jobs = F.when(F.col("success"), F.col("jobs_count"))
-    return log.groupBy("source", hour_label(F.col("ts")).alias("hour")).agg(
-        F.count("*").alias("requests"),
-        F.count_if("success").alias("success"),
-        F.coalesce(F.sum(jobs), F.lit(0)).alias("jobs"),
+    # Grouped by the moment and labelled afterwards: one label per group.
+    return (
+        log.groupBy("source", F.date_trunc("hour", "ts").alias("hour"))
+        .agg(
+            F.count("*").alias("requests"),
+            F.count_if("success").alias("success"),
+            F.coalesce(F.sum(jobs), F.lit(0)).alias("jobs"),
+        )
+        .withColumn("hour", hour_label(F.col("hour")))
     )
 
 
@@ -98,14 +103,17 @@ def consecutive_failures(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFr
 def avg_response_time(log: DataFrame, n: int = fixed.RESPONSE_TIMES_KEPT) -> DataFrame:
     """Per source: mean of the last ``n`` response times that are given and not 0;
     0 where there is none."""
-    timed = log.select("source", "seq", "response_time").where("response_time <> 0")
-    means = last_rows(timed, n).groupBy("source").agg(F.avg("response_time").alias("mean"))
     sources = log.select("source").distinct()
-    return sources.join(means, "source", "left").select(
+    return sources.join(_mean_of_last(log, n), "source", "left").select(
         "source", F.coalesce("mean", F.lit(0.0)).alias("avg_response_time")
     )
 
 
+def _mean_of_last(log: DataFrame, n: int = fixed.RESPONSE_TIMES_KEPT) -> DataFrame:
+    timed = log.select("source", "seq", "response_time").where("response_time <> 0")
+    return last_rows(timed, n).groupBy("source").agg(F.avg("response_time").alias("mean"))
+
+
 def report_checkpoints(
     task_log: DataFrame, every: int = fixed.REPORT_EVERY_TASKS, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
@@ -144,10 +152,12 @@ def request_summary(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     )
     return (
         totals.join(consecutive_failures(log, chunk_rows), "source")
-        .join(avg_response_time(log), "source")
+        .join(_mean_of_last(log), "source", "left")
+        .withColumn("avg_response_time", F.coalesce("mean", F.lit(0.0)))
         .withColumn(
             "success_rate", percent(F.col("successful_requests"), F.col("total_requests"))
         )
+        .drop("mean")
     )
 
 

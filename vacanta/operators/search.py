@@ -9,17 +9,28 @@ from pyspark.sql import functions as F
 
 from vacanta.fixed_values import PAGE_SIZE
 
-# Search slot -> listing column compared for equality.
+# Search slot -> column compared for equality: in the declared form of a
+# listing, then in the form the pages carry.
 SEARCH_SLOTS = {
-    "jobArea": "location_code",
-    "salary": "salary_range",
-    "workYear": "work_experience",
-    "degree": "degree_requirement",
-    "companyType": "company_type",
-    "companySize": "company_size",
+    "jobArea": ("location_code", "jobAreaCode"),
+    "salary": ("salary_range", "provideSalaryString"),
+    "workYear": ("work_experience", "workYear"),
+    "degree": ("degree_requirement", "degreeString"),
+    "companyType": ("company_type", "companyTypeString"),
+    "companySize": ("company_size", "companySizeCode"),
+    "issueDate": ("publish_date", "issueDateString"),
+    "jobType": ("jobType",),
+    "industry": ("industryType1",),
 }
 
 
+def _column(df: DataFrame, *names: str) -> str:
+    for name in names:
+        if name in df.columns:
+            return name
+    raise ValueError(f"no column to search: {names}")
+
+
 def by_company(view: DataFrame, company: str) -> DataFrame:
     return view.where(F.col("company_name") == company)
 
@@ -56,17 +67,21 @@ def search_postings(
     """One result page: newest first, then by job id.
 
     ``keyword`` is a case-insensitive part of the title; every other slot is
-    compared for equality, and a blank slot does not filter. ``view`` holds one
-    row per job id, which makes the order total.
+    compared for equality, and a blank slot does not filter. ``view`` is a
+    listing in either form with one row per job id, which makes the order total.
     """
     found = view
     if keyword:
-        found = found.where(F.contains(F.lower("job_title"), F.lower(F.lit(keyword))))
+        title = F.col(_column(view, "job_title", "jobName"))
+        found = found.where(F.contains(F.lower(title), F.lower(F.lit(keyword))))
     for slot, value in slots.items():
         if value:
-            found = found.where(F.col(SEARCH_SLOTS[slot]) == value)
+            found = found.where(F.col(_column(view, *SEARCH_SLOTS.get(slot, ()))) == value)
+    updated = F.col(_column(view, "update_date", "updateDateTime"))
+    if "updateDateTime" in view.columns:
+        updated = updated.try_cast("timestamp_ntz")
     return (
-        found.orderBy(F.col("update_date").desc_nulls_last(), "job_id")
+        found.orderBy(updated.desc_nulls_last(), _column(view, "job_id", "jobId"))
         .offset((page - 1) * page_size)
         .limit(page_size)
     )

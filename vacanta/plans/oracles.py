@@ -346,6 +346,15 @@ where update_date > timestamp '1998-08-03 03:30:00' - interval 1 hour""",
     "search_postings": f"""with {_STORED} select {_FOUND} from stored
 where contains(lower(job_title), 'python 1') and company_type = 'Public'
 order by update_date desc nulls last, job_id limit 20 offset 20""",
+    "search_listings": f"""with {_ITEMS}, raw as (
+  select page_id, pos, {_values('jobId', 'jobName', 'jobType', 'industryType1', 'updateDateTime')}
+  from items),
+newest as (
+  select * from raw where jobId is not null qualify row_number() over (partition by jobId
+    order by try_cast(updateDateTime as timestamp) desc nulls last, page_id desc, pos desc) = 1)
+select page_id, jobId, jobName, updateDateTime from newest
+where contains(lower(jobName), 'data') and jobType = '1' and industryType1 = '3'
+order by try_cast(updateDateTime as timestamp) desc nulls last, jobId limit 20""",
     "sql_named": f"""with {_STORED} select company_name, count(*) as postings from stored
 where salary_min > 2000 and degree_requirement = 'Master' group by 1""",
     "sql_positional": f"""with {_STORED} select job_id, salary_min from stored
@@ -391,6 +400,9 @@ select source, seq, strftime(ts, {_STAMP}) as ts, error, place from last_err""",
     "diagnosis": _DIAGNOSIS,
     "slow_checks": f"""with {_CHK} select source, seq, response_time from chk
 where ok and response_time > 1.5""",
+    "check_details": f"""with {_STORED} select true as table_exists, count(*) as table_row_count,
+  count(*) filter (where update_date > timestamp '1998-08-03 03:30:00' - interval 1 hour) as recent_inserts
+from stored""",
     "stream_ingest": f"with {_LISTINGS} select * from listing",
     "stream_hourly": f"with {_REQ}, {_HOURS} select * from hours",
     "stream_streaks": f"with {_ISLANDS} select * from runs",

@@ -315,6 +315,19 @@ def search_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _found(found)
 
 
+def search_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search on listings as the pages carry them."""
+    items = _items(
+        spark, sf_dir, "jobId", "jobName", "jobType", "industryType1", "updateDateTime"
+    ).select("page_id", "pos", "jobId", "jobName", "jobType", "industryType1", "updateDateTime")
+    updated = F.col("updateDateTime").try_cast("timestamp_ntz")
+    newest = listings.dedupe_latest(
+        items, "jobId", [updated.desc_nulls_last(), F.col("page_id").desc(), F.col("pos").desc()]
+    )
+    found = search.search_postings(newest, keyword="DATA", jobType="1", industry="3", function="")
+    return found.select("page_id", "jobId", "jobName", "updateDateTime")
+
+
 def sql_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql.execute_query(
         spark,
@@ -479,6 +492,10 @@ def slow_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.slow_checks(_check_log(spark, sf_dir), seconds=1.5)
 
 
+def check_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_details(_store(spark, sf_dir), _moment(LISTING_NOW))
+
+
 # --- streams ------------------------------------------------------------------
 
 _logs: dict[tuple[str, str, str], str] = {}
@@ -570,6 +587,7 @@ QUERIES: dict[str, Query] = {
     "by_publish_date": by_publish_date,
     "recent_inserts": recent_inserts,
     "search_postings": search_postings,
+    "search_listings": search_listings,
     "sql_named": sql_named,
     "sql_positional": sql_positional,
     "table_profile": table_profile,
@@ -594,6 +612,7 @@ QUERIES: dict[str, Query] = {
     "error_patterns": error_patterns,
     "diagnosis": diagnosis,
     "slow_checks": slow_checks,
+    "check_details": check_details,
     "stream_ingest": stream_ingest,
     "stream_hourly": stream_hourly,
     "stream_streaks": stream_streaks,

@@ -80,6 +80,11 @@ def save_listings(listings: DataFrame, path: str) -> None:
     )
 
 
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """Files whose columns differ, as one frame with the union of the columns."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """The listing store; the declared schema keeps province codes as text."""
     return spark.read.schema(STORED_LISTING).parquet(path)

@@ -7,6 +7,8 @@ from vacanta.operators.envelope import explode_items
 from vacanta.operators.listings import clean_items
 from vacanta.streaming.batches import write_batches
 
+SALTS = 64
+
 
 def stream_listings(responses: DataFrame, areas: DataFrame) -> DataFrame:
     """Clean listing rows of a response stream; stateless, row by row."""
@@ -22,11 +24,23 @@ def ingest(responses: DataFrame, areas: DataFrame, path: str, checkpoint: str) -
 def stream_first_seen(
     items: DataFrame, key: str, event_time: str, within: str = "1 day"
 ) -> DataFrame:
-    """First arrival of each key; state is dropped ``within`` after its event time."""
-    stamped = items.where(F.col(key).isNotNull()).withColumn(
-        "event_time", F.col(event_time).try_cast("timestamp")
+    """First arrival of each key; state is dropped ``within`` after its event time.
+
+    A stream dedupe has no map side, so all copies of a key would meet in one
+    task. A first pass per (key, salt) spreads them; at most ``SALTS`` copies of
+    a key reach the second pass. The salt decides only which copy goes on, so it
+    may be the number of the task that read the row.
+    """
+    stamped = items.where(F.col(key).isNotNull()).withColumns({
+        "event_time": F.col(event_time).try_cast("timestamp"),
+        "salt": F.spark_partition_id() % SALTS,
+    })
+    return (
+        stamped.withWatermark("event_time", within)
+        .dropDuplicatesWithinWatermark([key, "salt"])
+        .dropDuplicatesWithinWatermark([key])
+        .drop("salt")
     )
-    return stamped.withWatermark("event_time", within).dropDuplicatesWithinWatermark([key])
 
 
 def write_first_seen(
