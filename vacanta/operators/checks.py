@@ -137,6 +137,18 @@ def diagnosis(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     ).select("source", "kind", F.posexplode("lines").alias("line_no", "line"))
 
 
+def check_report(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """One row per source: totals, streaks and its last five errors, oldest first."""
+    shown = last_errors(log, fixed.ERRORS_SHOWN).groupBy("source").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "ts", "error"))).alias("last_errors")
+    )
+    return (
+        check_totals(log)
+        .join(check_runs(log, chunk_rows), "source")
+        .join(shown, "source", "left")
+    )
+
+
 def check_details(store: DataFrame, now: Column) -> DataFrame:
     """What a check notes about the listing table: rows, and rows of the last hour."""
     since = now - F.make_dt_interval(hours=F.lit(1))

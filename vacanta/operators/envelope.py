@@ -55,10 +55,10 @@ def classify_responses(responses: DataFrame, reject_error_word: bool = True) ->
     return responses.withColumn("response_class", response_class(reject_error_word))
 
 
-def count_classes(responses: DataFrame) -> DataFrame:
+def count_classes(responses: DataFrame, *by: str) -> DataFrame:
     return (
         classify_responses(responses)
-        .groupBy("response_class")
+        .groupBy(*by, "response_class")
         .agg(F.count("*").alias("responses"))
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 1 << 20
+CHUNK_ROWS = 1 << 18
 
 
 def _so_far():

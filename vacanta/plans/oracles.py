@@ -265,6 +265,13 @@ select case when regexp_matches(body, 'var arg1=''[A-F0-9]+'';') then 'challenge
     when status_code = 200 then 'invalid' when status_code in (403, 429, 503, 521) then 'blocked'
     else 'http_error' end as response_class, count(*) as responses
 from bodies group by 1""",
+    "classify_texts": """with bodies as (
+  select 'pages' as origin, html as body from pages
+  union all select 'documents', text from documents)
+select origin, case when regexp_matches(body, 'var arg1=''[A-F0-9]+'';') then 'challenge'
+    when regexp_matches(body, '[^\\s]') and not contains(lower(body), 'error') then 'ok'
+    else 'invalid' end as response_class, count(*) as responses
+from bodies group by 1, 2""",
     "valid_pages": f"with {_OUTCOMES} select page_id, run, kw, city, page from outcomes where good",
     "page_quality": f"""with {_PAGES}, usable as (
   select * from pages0 where status_code = 200 and kind not in ('challenge', 'blank', 'error')),
@@ -400,6 +407,15 @@ select source, seq, strftime(ts, {_STAMP}) as ts, error, place from last_err""",
     "diagnosis": _DIAGNOSIS,
     "slow_checks": f"""with {_CHK} select source, seq, response_time from chk
 where ok and response_time > 1.5""",
+    "check_report": f"""with {_ISLANDS}, {_LAST_ERRORS}, sums as (
+  select source, count(*) as total_checks,
+    cast(count(*) filter (where ok) as double) / count(*) * 100 as success_rate from chk group by 1),
+shown as (
+  select source, string_agg(seq || ':' || error, ';' order by seq) as last_errors
+  from last_err where place <= 5 group by 1)
+select s.source, total_checks, success_rate, current_streak, max_streak,
+  coalesce(last_errors, '') as last_errors
+from sums s join runs on runs.source = s.source left join shown on shown.source = s.source""",
     "check_details": f"""with {_STORED} select true as table_exists, count(*) as table_row_count,
   count(*) filter (where update_date > timestamp '1998-08-03 03:30:00' - interval 1 hour) as recent_inserts
 from stored""",

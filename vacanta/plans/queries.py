@@ -115,8 +115,8 @@ def explode_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql.execute_query(
         spark,
-        """select location_code, count(*) as postings, min(salary_min) as lowest,
-             max(salary_max) as highest
+        """select location_code, count(*) as postings,
+             cast(min(salary_min) as bigint) as lowest, cast(max(salary_max) as bigint) as highest
            from {store} group by location_code""",
         store=_store(spark, sf_dir),
     )
@@ -132,6 +132,17 @@ def classify_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.count_classes(samples.landed_responses(spark, sf_dir))
 
 
+def classify_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same classes for real texts: web pages and prose in several languages."""
+    bodies = [
+        samples.table(spark, sf_dir, name).select(
+            F.lit(name).alias("origin"), F.lit(200).alias("status_code"), F.col(column).alias("body")
+        )
+        for name, column in (("pages", "html"), ("documents", "text"))
+    ]
+    return envelope.count_classes(listings.union_pages(bodies), "origin")
+
+
 def valid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = envelope.valid_pages(samples.landed_responses(spark, sf_dir))
     return valid.select("page_id", *TASK_KEYS, "page")
@@ -492,6 +503,17 @@ def slow_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.slow_checks(_check_log(spark, sf_dir), seconds=1.5)
 
 
+def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = checks.check_report(_check_log(spark, sf_dir))
+    errors = F.transform(
+        "last_errors", lambda e: F.concat(e["seq"].cast("string"), F.lit(":"), e["error"])
+    )
+    return report.select(
+        "source", "total_checks", "success_rate", "current_streak", "max_streak",
+        F.coalesce(F.array_join(errors, ";"), F.lit("")).alias("last_errors"),
+    )
+
+
 def check_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.check_details(_store(spark, sf_dir), _moment(LISTING_NOW))
 
@@ -560,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "sql_scan": sql_scan,
     "city_codes": city_codes_query,
     "classify_response": classify_response,
+    "classify_texts": classify_texts,
     "valid_pages": valid_pages,
     "page_quality": page_quality,
     "page_counts": page_counts,
@@ -612,6 +635,7 @@ QUERIES: dict[str, Query] = {
     "error_patterns": error_patterns,
     "diagnosis": diagnosis,
     "slow_checks": slow_checks,
+    "check_report": check_report,
     "check_details": check_details,
     "stream_ingest": stream_ingest,
     "stream_hourly": stream_hourly,

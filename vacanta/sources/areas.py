@@ -15,12 +15,12 @@ def area_dimension(spark: SparkSession) -> DataFrame:
 
 
 def read_city_text(spark: SparkSession, path: str) -> DataFrame:
-    """Text files of ``"<digits>":"<name>"`` pairs, one row per line."""
+    """Text files of ``"<digits>":"<name>"`` pairs, one row per line.
+
+    ``line`` rises with the place in a file.
+    """
     return spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        F.col("value").alias("text"),
+        F.monotonically_increasing_id().alias("line"), F.col("value").alias("text")
     )
 
 
