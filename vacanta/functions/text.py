@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = (
     r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
 )
-# Any character that text stripping would keep, Unicode blanks included.
-INK_PATTERN = r"(?U)[^\s\x1c-\x1f]"
+# The characters that stripping a text removes.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def has_ink(text: Column) -> Column:
-    """True when the text is more than white space."""
-    return text.rlike(INK_PATTERN)
+    """True when the text is more than white space.
+
+    Trimming stops at the first other character; a pattern would first decode
+    the whole text.
+    """
+    return F.ltrim(text, F.lit(BLANKS)) != ""
 
 
 def contains_ci(text: Column, word: str, rare_pair: str | None = None) -> Column:

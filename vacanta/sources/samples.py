@@ -172,7 +172,7 @@ def shape(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})
 
 
-# About 30 MB of text: enough files to read in parallel without a shuffle.
+# About 40 MB of text a file.
 PAGES_PER_FILE = 20_000
 
 _landed: dict[tuple[str, str], str] = {}
@@ -183,7 +183,9 @@ def landed_path(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         path = new_folder(spark, "landed")
-        pages = shape(spark, sf_dir, PAGE_BASE)
+        # A page's text is some twenty times its row, so rows are spread first:
+        # one small file of orders would otherwise be written by one task.
+        pages = shape(spark, sf_dir, PAGE_BASE).repartition("page_id")
         (
             pages.selectExpr("*", f"{SPARK_ITEMS_TEXT} as items_text")
             .selectExpr(
