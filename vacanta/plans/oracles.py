@@ -342,6 +342,7 @@ select job_id, page_id, pos, job_title, company_name, salary_min,
     "save_append": _saved(),
     "save_replace": _saved("where page > 5"),
     "save_fail_if_exists": _saved("where page <= 5"),
+    "upsert_listings": f"with {_STORED} select {_FOUND} from stored",
     "by_company": f"with {_STORED} select {_FOUND} from stored where company_name = 'Company 7 Ltd'",
     "by_location": f"with {_STORED} select {_FOUND} from stored where location_code = '050200'",
     "by_salary_range": f"""with {_STORED}

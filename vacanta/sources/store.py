@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from vacanta.fixed_values import INSERT_BATCH
+from vacanta.operators.listings import dedupe_latest, newest_first, storable
 from vacanta.schemas import STORED_LISTING
 
 # How an existing table is treated, and the Spark save mode for it.
@@ -80,6 +81,16 @@ def save_listings(listings: DataFrame, path: str) -> None:
     )
 
 
+def upsert_listings(current: DataFrame, arrived: DataFrame, path: str) -> None:
+    """Store ``current`` and ``arrived`` with one row per job id, the newest.
+
+    Files have no MERGE: the result goes to a new ``path`` and readers switch to
+    it, so a reader or a rerun never meets a half-replaced store.
+    """
+    both = current.unionByName(arrived, allowMissingColumns=True)
+    save_listings(dedupe_latest(storable(both), "job_id", newest_first()), path)
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """Files whose columns differ, as one frame with the union of the columns."""
     return spark.read.option("mergeSchema", "true").parquet(path)
