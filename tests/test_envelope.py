@@ -62,6 +62,14 @@ def test_only_whole_good_pages_pass(spark):
     assert [r["jobId"] for r in envelope.explode_items(df, ["jobId"]).collect()] == ["a"]
 
 
+def test_postings_that_mention_an_error(spark):
+    df = responses(spark, [page([{"jobId": "a", "jobDescribe": "Error handling"}])])
+    assert envelope.explode_items(df, ["jobId"]).count() == 0
+    assert envelope.valid_pages(df).count() == 0
+    assert envelope.explode_items(df, ["jobId"], reject_error_word=False).count() == 1
+    assert envelope.valid_pages(df, reject_error_word=False).count() == 1
+
+
 def test_quality_counts(spark):
     counted = envelope.page_quality(responses(spark, CASES)).collect()
     # Plain text, the text that breaks off, and the array: none is a JSON object.

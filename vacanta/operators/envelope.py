@@ -107,9 +107,11 @@ def is_valid(strict_status: bool = True, min_items: int = MIN_ITEMS_PER_PAGE) ->
     )
 
 
-def page_outcomes(responses: DataFrame, strict_status: bool = True) -> DataFrame:
+def page_outcomes(
+    responses: DataFrame, strict_status: bool = True, reject_error_word: bool = True
+) -> DataFrame:
     """One narrow row per landed page with ``good`` and ``jobs_count``."""
-    usable = response_class() == "ok"
+    usable = response_class(reject_error_word) == "ok"
     checked = responses.withColumn("body", F.when(usable, F.col("body")))
     kept = [c for c in responses.columns if c not in ("body", "status_code")]
     return parse_envelope(checked, columns=[]).select(
@@ -119,9 +121,11 @@ def page_outcomes(responses: DataFrame, strict_status: bool = True) -> DataFrame
     )
 
 
-def valid_pages(responses: DataFrame, strict_status: bool = True) -> DataFrame:
+def valid_pages(
+    responses: DataFrame, strict_status: bool = True, reject_error_word: bool = True
+) -> DataFrame:
     """Pages that pass; ``inline`` of NULL drops the others."""
-    outcome = page_outcomes(responses, strict_status)
+    outcome = page_outcomes(responses, strict_status, reject_error_word)
     kept = [c for c in outcome.columns if c != "good"]
     return outcome.select(F.inline(F.when(F.col("good"), F.array(F.struct(*kept)))))
 
@@ -169,6 +173,7 @@ def explode_items(
     responses: DataFrame,
     columns: list[str] | None = None,
     strict_status: bool = True,
+    reject_error_word: bool = True,
     page_flags: bool = False,
 ) -> DataFrame:
     """One row per item of every valid page.
@@ -178,7 +183,7 @@ def explode_items(
     ``<salary column>_page_bad``: whether any item of the page has an unreadable
     value, found while the page is still one row.
     """
-    parsed = parse_envelope(usable_responses(responses), columns)
+    parsed = parse_envelope(usable_responses(responses, reject_error_word), columns)
     kept = [c for c in parsed.columns if c not in ("status_json", "items", "has_result", "is_json")]
     if page_flags:
         parsed = parsed.withColumns({

@@ -407,7 +407,7 @@ select source, seq, strftime(ts, {_STAMP}) as ts, error, place from last_err""",
     "error_patterns": f"with {_CHK}, {_LAST_ERRORS}, {_PATTERNS} select * from patterns",
     "diagnosis": _DIAGNOSIS,
     "slow_checks": f"""with {_CHK} select source, seq, response_time from chk
-where ok and response_time > 1.5""",
+where ok and response_time > 5.0""",
     "check_report": f"""with {_ISLANDS}, {_LAST_ERRORS}, sums as (
   select source, count(*) as total_checks,
     cast(count(*) filter (where ok) as double) / count(*) * 100 as success_rate from chk group by 1),

@@ -515,8 +515,7 @@ def diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def slow_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The derived response times stay below 3 s, so 1.5 s counts as slow here.
-    return checks.slow_checks(_check_log(spark, sf_dir), seconds=1.5)
+    return checks.slow_checks(_check_log(spark, sf_dir))
 
 
 def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
