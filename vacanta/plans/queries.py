@@ -581,10 +581,9 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = stream_responses(spark, samples.landed_path(spark, sf_dir))
-    items = envelope.explode_items(responses, ["jobId", "issueDateString"])
+    items = envelope.explode_items(responses, ["jobId"]).select("jobId", "landed_at")
     rows = ingest.write_first_seen(
-        spark, items.select("jobId", "issueDateString"), "jobId", "issueDateString",
-        new_folder(spark, "first_seen"), new_folder(spark, "offsets"), within="4000 days",
+        items, "jobId", new_folder(spark, "first_seen"), new_folder(spark, "offsets")
     )
     return rows.select("jobId")
 

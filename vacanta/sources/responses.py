@@ -1,6 +1,7 @@
 """Landed responses as batch or stream."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vacanta.schemas import RESPONSE
 
@@ -13,11 +14,14 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 def stream_responses(
     spark: SparkSession, path: str, fmt: str = "parquet", files_per_batch: int | None = None
 ) -> DataFrame:
-    """The same scan, unbounded: every new file is read once."""
+    """The same scan, unbounded: every new file is read once.
+
+    Adds ``landed_at``, the time of the file, which is never NULL.
+    """
     reader = spark.readStream.format(fmt).schema(RESPONSE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return reader.load(path).select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
 def read_log(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:

@@ -1,6 +1,6 @@
 """Continuous ingest of landed responses, and dedupe on the stream."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacanta.operators.envelope import explode_items
@@ -22,21 +22,22 @@ def ingest(responses: DataFrame, areas: DataFrame, path: str, checkpoint: str) -
 
 
 def stream_first_seen(
-    items: DataFrame, key: str, event_time: str, within: str = "1 day"
+    items: DataFrame, key: str, event_time: str = "landed_at", within: str = "1 day"
 ) -> DataFrame:
-    """First arrival of each key; state is dropped ``within`` after its event time.
+    """First arrival of each key; copies up to ``within`` later are dropped.
+
+    ``event_time`` must not be NULL, or Spark would forget the key at once: the
+    dates inside postings will not do, the time a page landed does.
 
     A stream dedupe has no map side, so all copies of a key would meet in one
     task. A first pass per (key, salt) spreads them; at most ``SALTS`` copies of
     a key reach the second pass. The salt decides only which copy goes on, so it
     may be the number of the task that read the row.
     """
-    stamped = items.where(F.col(key).isNotNull()).withColumns({
-        "event_time": F.col(event_time).try_cast("timestamp"),
-        "salt": F.spark_partition_id() % SALTS,
-    })
+    keyed = items.where(F.col(key).isNotNull())
     return (
-        stamped.withWatermark("event_time", within)
+        keyed.withColumn("salt", F.spark_partition_id() % SALTS)
+        .withWatermark(event_time, within)
         .dropDuplicatesWithinWatermark([key, "salt"])
         .dropDuplicatesWithinWatermark([key])
         .drop("salt")
@@ -44,8 +45,7 @@ def stream_first_seen(
 
 
 def write_first_seen(
-    spark: SparkSession, items: DataFrame, key: str, event_time: str, path: str, checkpoint: str,
-    within: str = "1 day",
+    items: DataFrame, key: str, path: str, checkpoint: str, within: str = "1 day"
 ) -> DataFrame:
-    write_batches(stream_first_seen(items, key, event_time, within), path, checkpoint)
-    return spark.read.parquet(path).drop("batch_id")
+    write_batches(stream_first_seen(items, key, within=within), path, checkpoint)
+    return items.sparkSession.read.parquet(path).drop("batch_id")
