@@ -20,11 +20,19 @@ def write_batches(
     transform: Callable[[DataFrame, int], DataFrame] | None = None,
     output_mode: str = "append",
 ) -> None:
-    """Process everything that has landed, then stop."""
+    """Process everything that has landed, then stop.
+
+    ``transform`` may run several jobs on a batch; the batch is kept for them,
+    so its files are read once. What a lost executor kept is read again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = transform(batch, batch_id) if transform else batch
-        out.write.mode("overwrite").parquet(batch_path(path, batch_id))
+        out = transform(batch.persist(), batch_id) if transform else batch
+        try:
+            out.write.mode("overwrite").parquet(batch_path(path, batch_id))
+        finally:
+            if transform:
+                batch.unpersist()
 
     query = (
         stream.writeStream.outputMode(output_mode)

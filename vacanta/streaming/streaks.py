@@ -44,13 +44,12 @@ def follow_streaks(
     spark = checks.sparkSession
 
     def fold(batch: DataFrame, batch_id: int) -> DataFrame:
-        rows = batch.select("source", "seq", "ok")
         state = _state_before(batch.sparkSession, state_path, batch_id)
-        failure_runs(rows, "ok", chunk_rows, before=state).write.mode("overwrite").parquet(
+        failure_runs(batch, "ok", chunk_rows, before=state).write.mode("overwrite").parquet(
             batch_path(state_path, batch_id)
         )
-        failures = failures_with_streak(rows, "ok", chunk_rows, before=state)
+        failures = failures_with_streak(batch, "ok", chunk_rows, before=state)
         return failures.where(F.col("streak") >= alert_streak).select("source", "seq", "streak")
 
-    write_batches(checks, alert_path, checkpoint, transform=fold)
+    write_batches(checks.select("source", "seq", "ok"), alert_path, checkpoint, transform=fold)
     return latest_state(spark, path), spark.read.parquet(alert_path).drop("batch_id")
