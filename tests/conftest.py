@@ -10,7 +10,7 @@ def spark():
         SparkSession.builder.master("local[*]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_TIME_ZONE", "UTC"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

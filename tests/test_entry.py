@@ -4,7 +4,7 @@ import __spark_entry__ as driver
 def test_entry_has_rows(spark):
     df = driver.entry(spark)
     assert df.columns == ["search_city", "postings", "lowest", "highest"]
-    assert df.count() == 33
+    assert df.count() == 30  # 1,500 pages are 150 tasks: 5 keywords in 30 areas
 
 
 def test_every_query_has_its_sql():

@@ -8,8 +8,14 @@ from vacanta.streaming.batches import write_batches
 
 
 def hourly_windows(log: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Tumbling hour windows per source; state is kept ``lateness`` behind the newest event."""
-    stamped = log.withColumn("ts", F.col("ts").cast("timestamp"))
+    """Tumbling hour windows per source; state is kept ``lateness`` behind the newest event.
+
+    Windows start at whole hours of UTC. Moments are shifted by the zone's offset
+    for the grouping and back for the label, so that hours are those of the wall
+    clock in zones with an odd half hour, too.
+    """
+    zone = F.current_timezone()
+    stamped = log.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone))
     return (
         stamped.withWatermark("ts", lateness)
         .groupBy("source", F.window("ts", "1 hour").alias("w"))
@@ -20,7 +26,8 @@ def hourly_windows(log: DataFrame, lateness: str = "1 day") -> DataFrame:
                 "jobs"
             ),
         )
-        .select("source", hour_label(F.col("w.start")).alias("hour"), "requests", "success", "jobs")
+        .withColumn("hour", hour_label(F.to_utc_timestamp("w.start", zone)))
+        .select("source", "hour", "requests", "success", "jobs")
     )
 
 
