@@ -1,4 +1,6 @@
 import __spark_entry__ as driver
+from vacanta.plans.oracles import ORACLES
+from vacanta.plans.queries import QUERIES
 
 
 def test_entry_has_rows(spark):
@@ -8,5 +10,7 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_its_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert driver.oracle_sql().keys() <= driver.queries().keys()
     assert all(callable(q) for q in driver.queries().values())
