@@ -1 +1,9 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this subpackage travel to the executors with the job, so these
+# need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import mixing, quality_rules, sharding, url_filter
-from vacanta.llm.common import read
+from vacanta.llm import byte_cnn, license_scan, mixing, quality_rules, sharding, token_files, toxicity, url_filter
+from vacanta.llm.common import held_out, read
 
 SHARDS = 40
 
@@ -35,6 +35,20 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "logit")
 
 
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; 1 from a half up."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return _judged(toxicity.score(docs, model), 0.5)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     judged = quality_rules.apply_rules(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -44,6 +58,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the token files and its ids' checksum, read back."""
+    files = token_files.write_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_files.read_tokens(spark, files)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document; equal rows are one row."""
     mixture = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -58,11 +78,30 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that every document names."""
+    found = license_scan.scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; 1 from 0.3 up."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    net = byte_cnn.train_on(docs, read(spark, sf_dir, "labels"))
+    return _judged(byte_cnn.score(docs, net), 0.3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
+    "op8_license_scan": op8_license_scan,
+    "op10_byte_cnn": op10_byte_cnn,
 }
 
 ORACLES: dict[str, str] = {
