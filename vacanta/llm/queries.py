@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm import byte_cnn, license_scan, mixing, quality_rules, sharding, token_files, toxicity, url_filter
+from vacanta.llm import (
+    byte_cnn,
+    decontaminate,
+    license_scan,
+    minhash,
+    mixing,
+    quality_rules,
+    sharding,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from vacanta.llm.common import held_out, read
 
 SHARDS = 40
@@ -78,6 +89,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of three-word shingles, 85 per cent alike."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, minhash.Likeness(words=3, percent=85))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses that every document names."""
     found = license_scan.scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -86,6 +103,12 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the item they hold most of."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.mark_leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; 1 from 0.3 up."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -100,7 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
+    "op7_minhash": op7_minhash,
     "op8_license_scan": op8_license_scan,
+    "op9_decontaminate": op9_decontaminate,
     "op10_byte_cnn": op10_byte_cnn,
 }
 
