@@ -98,7 +98,7 @@ def assign_shards(
     should be slim: they are sorted once and written once.
     """
     spark = rows.sparkSession
-    placed = rows.select(F.struct("*").alias("row"), F.xxhash64(key).alias("spot"), F.xxhash64(tie).alias("tie"))
+    placed = rows.drop("shard", "slot").select(F.struct("*").alias("row"), F.xxhash64(key).alias("spot"), F.xxhash64(tie).alias("tie"))
     placed = placed.withColumn("cell", F.pmod("spot", F.lit(CELLS)).cast("int"))
     ordered = (
         placed.repartitionByRange("cell", "spot", "tie")
