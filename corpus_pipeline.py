@@ -21,8 +21,8 @@ TOXIC_FROM = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar, learned from the labels, does not find toxic."""
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model)
-    return scored.where(F.col("score") < TOXIC_FROM).select(*docs.columns)
+    name = "toxic_" + "_".join(docs.columns)  # no column of documents has it
+    return toxicity.score(docs, model, name).where(F.col(name) < TOXIC_FROM).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

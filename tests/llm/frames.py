@@ -1,6 +1,6 @@
 """Small documents with every awkward case, and columns that clash with results."""
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, shard string, hash long"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, shard string, keep long"
 
 PROSE = "The ship was on its way to the old harbour and the crew sang a song that nobody at home had heard before"
 

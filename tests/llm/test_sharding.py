@@ -1,3 +1,4 @@
+import zlib
 from collections import Counter, defaultdict
 
 from hypothesis import given, settings
@@ -64,8 +65,6 @@ def test_one_more_shard_moves_few_keys():
 def test_query(spark, sf_dir):
     got = op1_sharding(spark, sf_dir)
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    import zlib
-
     rows = got.collect()
     check_slots(rows, 40)
     for r in rows:

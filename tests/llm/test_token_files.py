@@ -1,0 +1,84 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tests.llm.frames import awkward, none
+from vacanta.llm import token_files as files
+from vacanta.llm.queries import op5_token_files
+
+LIBRARY = Tokenizer.from_file(public_tokenizers.path(files.TOKENIZER))
+ODD = [
+    "", " ", "  a", "a  b", "a b ", "a\n b", "a \nb", "x<|endoftext|>y z", "ein ünï 　b", "it's we'll  ok", "a\xa0 b c",
+    "\n\n a b", "日本 語 😀 a😀 b", "a\tb c", "a b\x1c c", "a​ b", "a b\n\n", " lead", "a\x00 b",
+]
+
+
+def ids(text):
+    return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, files.END]
+
+
+def test_the_encoder_gives_what_the_library_gives(monkeypatch):
+    monkeypatch.setattr(files, "KNOWN_WORDS", 5)
+    encoder = files.Encoder(public_tokenizers.path(files.TOKENIZER))
+    for _ in range(2):
+        got = [np.frombuffer(b, encoder.type).tolist() for b in encoder.encode(ODD)]
+        assert got == [ids(t)[:-1] for t in ODD]
+
+
+def expected(rows):
+    """Rows in file order: by id, nulls first; rows of one id by any order of their texts."""
+    start, want = 0, []
+    for doc_id, text in rows:
+        mine = np.array(ids(text), "<u4")
+        want.append((doc_id, start, len(mine), zlib.crc32(mine.tobytes())))
+        start += len(mine)
+    return want
+
+
+def test_round_trip_of_awkward_rows(spark):
+    docs = awkward(spark, [(100 + i, t) for i, t in enumerate(ODD)])
+    written = files.write_tokens(docs, length=64)
+    got = files.read_tokens(spark, written).orderBy("start").collect()
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r["doc_id"], []).append(r["text"])
+    assert [r["doc_id"] for r in got] == sorted((i for i, t in texts.items() for _ in t), key=lambda i: (i is not None, i))
+    start = 0
+    for r in got:
+        mine = [np.array(ids(t), "<u4") for t in texts[r["doc_id"]]]
+        assert (r["n_tokens"], r["ids_crc32"]) in [(len(m), zlib.crc32(m.tobytes())) for m in mine]
+        assert r["start"] == start
+        start += r["n_tokens"]
+
+
+def test_sequences_have_one_length_and_masks_hide_the_filling(spark):
+    docs = spark.createDataFrame([(i, f"some text of number {i} " * (i % 9)) for i in range(200)], "doc_id long, text string")
+    written = files.write_tokens(docs.repartition(4), length=32)
+    rows = files.read_tokens(spark, written, sequences=True).orderBy("number").collect()
+    assert [r["number"] for r in rows] == list(range(len(rows)))
+    assert all(len(r["ids"]) == len(r["mask"]) == 32 for r in rows)
+    real = [i for r in rows for i, m in zip(r["ids"], r["mask"], strict=True) if m]
+    assert real == [i for r in docs.orderBy("doc_id").collect() for i in ids(r["text"])]
+
+
+def test_no_rows(spark):
+    written = files.write_tokens(none(spark))
+    assert files.read_tokens(spark, written).count() == 0
+    assert files.read_tokens(spark, written, sequences=True).count() == 0
+
+
+@pytest.mark.parametrize("rows", [1, 2])
+def test_documents_longer_than_a_batch(spark, monkeypatch, rows):
+    monkeypatch.setattr(files, "ROWS", rows)
+    docs = spark.createDataFrame([(1, "alpha beta " * 700), (2, ""), (3, "gamma " * 900)], "doc_id long, text string")
+    got = files.read_tokens(spark, files.write_tokens(docs, length=16)).orderBy("start").collect()
+    assert [tuple(r) for r in got] == expected([tuple(r) for r in docs.collect()])
+
+
+def test_query(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    got = op5_token_files(spark, sf_dir).orderBy("start").collect()
+    assert [tuple(r) for r in got] == expected([tuple(r) for r in docs])

@@ -352,5 +352,5 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
 def keep_one(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, with all columns."""
     kept = near_duplicates(docs, like).where("kept and doc_id is not null").select(F.col("doc_id").alias("keep"))
-    named = docs.join(kept, F.col("doc_id") == F.col("keep"), "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(kept, docs["doc_id"] == kept["keep"], "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))

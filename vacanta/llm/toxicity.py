@@ -307,15 +307,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(Reader(lexicon), toxic, clean, share)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (doc_id, text, anything else) with ``score``, 0 to 1.
+def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
+    """``docs`` (doc_id, text, anything else) with ``into``, 0 to 1.
 
     Whole texts are read. Null and empty texts collect nothing and get the
     score of that. Repeated rows score alike, no rows give no rows, and a
-    column named score is replaced.
+    column named ``into`` is replaced.
     """
-    docs = docs.drop("score")
-    schema = docs.withColumn("score", F.lit(0.0)).schema
+    docs = docs.drop(into)
+    schema = docs.withColumn(into, F.lit(0.0)).schema
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,6 +330,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 z += sum(w * f for w, f in zip(weights, found, strict=True))
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
             columns = [*batch.columns, pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, into])
 
     return docs.mapInArrow(run, schema)
