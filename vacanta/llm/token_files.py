@@ -16,9 +16,12 @@ vocabulary allows.
 
 from __future__ import annotations
 
+import re
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 from typing import NamedTuple
 
 import numpy as np
@@ -36,8 +39,10 @@ TOKENIZER = "byte_bpe_50k.json"
 LENGTH = 1024
 ROWS = 128  # sequences a batch
 END = 0
-KNOWN_WORDS = 150_000  # remembered encodings a task, some 60 MB
-ENCODED_AT_ONCE = 4_000
+KNOWN_WORDS = 320_000  # remembered encodings of a worker, twice; some 130 MB together
+WORDS_AT_ONCE = 2_000
+CHARS_AT_ONCE = 500_000
+ODD_SPACE = re.compile(r"\s(?: |\Z)")  # white space before a space, or at the end
 
 
 class Encoder:
@@ -46,8 +51,8 @@ class Encoder:
     The tokenizer never joins what lies on two sides of the start of white
     space. A text whose white space is single spaces before words is
     therefore the ids of its space-led words in turn, and each distinct word
-    goes to the library once. Any other text, and one with a special token in
-    it, goes there whole.
+    goes to the library once, many words to a call. Any other text, and one
+    with a special token in it, goes there whole.
     """
 
     def __init__(self, path: str):
@@ -56,31 +61,53 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Bytes that each id stands for: one per character of a byte-level token.
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.lengths[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        # Words of late, and those before them: what is met again stays.
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = []
-        for at in range(0, len(texts), ENCODED_AT_ONCE):
-            encoded = self.tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)
-            found += [np.array(e.ids, self.type).tobytes() for e in encoded]
-        return found
-
-    def encode(self, text: str) -> bytes:
-        if any(token in text for token in self.special) or not text:
-            return self._encode([text])[0]
-        first, *words = text.split(" ")
-        # A word that is empty, or ends in white space of any kind, has white
-        # space before the next word's space.
-        if not first or first[-1].isspace() or any(not w or w[-1].isspace() for w in words[:-1]):
-            return self._encode([text])[0]
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > KNOWN_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            known.update(zip(new, self._encode([f" {w}" for w in new]), strict=True))
-        return self._encode([first])[0] + b"".join([known[w] for w in words])
+        self.older: dict[str, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, path: str) -> Encoder:
+        """The encoder of this worker process; its words serve all tasks that run here."""
+        state = vars(sys.modules.setdefault("_vacanta_worker", ModuleType("_vacanta_worker")))
+        return state.setdefault("encoders", {}).get(path) or state["encoders"].setdefault(path, cls(path))
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words, each led by a space, many as one text; ids are told apart by their bytes."""
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at : at + WORDS_AT_ONCE]
+            joined = " " + " ".join(some)
+            encoded = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
+            ids = np.array(encoded.ids, self.type)
+            ends = np.cumsum(self.lengths[ids])
+            places = np.cumsum([len(w.encode()) + 1 for w in some])
+            cuts = ((np.searchsorted(ends, places) + 1) * self.type.itemsize).tolist()
+            raw = ids.tobytes()
+            self.known.update(zip(some, (raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [None if self._odd(t) else t.split(" ") for t in texts]
+        wanted = set().union(*(w[1:] for w in split if w))
+        new = wanted.difference(self.known)
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            self.known, self.older, new = {}, self.known, wanted
+        known, older = self.known, self.older
+        again = new.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        self.learn(list(new - again))
+        return [
+            self.whole(text) if w is None else self.whole(w[0]) + b"".join([known[x] for x in w[1:]])
+            for text, w in zip(texts, split, strict=True)
+        ]
+
+    def _odd(self, text: str) -> bool:
+        return not text or ODD_SPACE.search(text) is not None or any(token in text for token in self.special)
 
 
 class SequenceWriter:
@@ -121,6 +148,19 @@ class SequenceWriter:
         self.file.close()
 
 
+def _runs(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts in turn, so many at once as make some ``CHARS_AT_ONCE`` characters."""
+    run, chars = [], 0
+    for text in texts:
+        run.append(text.as_py())
+        chars += len(run[-1])
+        if chars >= CHARS_AT_ONCE:
+            yield run
+            run, chars = [], 0
+    if run:
+        yield run
+
+
 def place(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder's URI; a plain path is a local one."""
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
@@ -157,7 +197,7 @@ def write_tokens(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer, index = Encoder(tokenizer), None, None
+        encoder, writer, index = Encoder.of_worker(tokenizer), None, None
         end = np.array([END], encoder.type).tobytes()
         documents = ids = 0
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
@@ -170,10 +210,11 @@ def write_tokens(
                 writer = SequenceWriter(sinks[0], encoder.type, length)
                 index = pa.ipc.new_file(sinks[1], rows)
             counts = []
-            for text in batch.column(1):
-                encoded = encoder.encode(text.as_py())
-                writer.write(encoded + end)
-                counts.append(len(encoded) // encoder.type.itemsize + 1)
+            for texts in _runs(batch.column(1)):
+                for encoded in encoder.encode(texts):
+                    writer.write(encoded)
+                    writer.write(end)
+                    counts.append(len(encoded) // encoder.type.itemsize + 1)
             starts = ids + np.concatenate([[0], np.cumsum(counts)])
             columns = [batch.column(0).cast(pa.int64()), pa.array(starts[:-1]), pa.array(counts, pa.int64())]
             index.write_batch(pa.record_batch(columns, schema=rows))
