@@ -94,3 +94,45 @@ def test_no_window_group_exceeds_a_chunk(spark):
     assert sizes.agg(F.max("count")).first()[0] == 1000
     got = ordered.failure_runs(log, "ok", 1000).first()
     assert (got["current_streak"], got["max_streak"]) == (0, 2)
+
+
+@pytest.mark.parametrize("step", [1, 1_000_003, 3_600_000_000])
+def test_numbers_far_apart_and_rows_without_source(spark, monkeypatch, step):
+    monkeypatch.setattr(ordered, "FAN", 5)
+    rows = [(None if s == 3 else s, seq * step, ok) for s, seq, ok in random_log(11)]
+    log = frame(spark, rows)
+    logs = {}
+    for s, seq, ok in sorted(rows, key=lambda r: r[1]):
+        logs.setdefault(s, []).append((seq, ok))
+    got = {r["source"]: (r["current_streak"], r["max_streak"]) for r in ordered.failure_runs(log, "ok", 7).collect()}
+    assert got == {s: runs(h) for s, h in logs.items()}
+    got = {(r["source"], r["seq"]): r["streak"] for r in ordered.failures_with_streak(log, "ok", 7).collect()}
+    assert got == {(s, seq): n for s, h in logs.items() for seq, n in places(h).items()}
+    totals = ordered.running_totals(log, {"good": F.col("ok").cast("long"), "one": F.lit(1)}, 7).collect()
+    want = {(s, seq): (n, i) for s, h in logs.items()
+            for i, ((seq, _), n) in enumerate(zip(h, itertools.accumulate(int(ok) for _, ok in h)), 1)}
+    assert {(r["source"], r["seq"]): (r["good"], r["one"]) for r in totals} == want
+
+
+def test_no_window_grows_with_a_sparse_log(spark):
+    """One source, a row a second, numbered in microseconds: every chunk has few rows."""
+    log = spark.range(40_000).select(
+        F.lit(1).cast("long").alias("source"),
+        (F.lit(1_700_000_000_000_000) + F.col("id") * 1_000_000).alias("seq"),
+        (F.col("id") % 5 == 0).alias("ok"),
+    )
+    chunks = ordered.with_chunk(log).select("chunk").distinct()
+    groups = chunks.groupBy(F.call_function("div", F.col("chunk"), F.lit(ordered.FAN)).alias("up")).count()
+    assert groups.agg(F.max("count")).first()[0] <= ordered.FAN
+    # Any 64-bit number: as many groups of groups as a window takes at most.
+    assert (1 << 63) // (ordered.CHUNK_ROWS * ordered.FAN**ordered.LEVELS) <= 1024
+    got = ordered.failure_runs(log, "ok").first()
+    assert (got["current_streak"], got["max_streak"]) == (4, 4)
+
+
+def test_rows_without_order_or_outcome(spark):
+    rows = [(1, 1, True), (1, 2, None), (1, None, False), (None, 5, False), (None, None, True), (None, None, None)]
+    log = frame(spark, rows)
+    got = {r["source"]: (r["current_streak"], r["max_streak"]) for r in ordered.failure_runs(log, "ok").collect()}
+    assert got == {1: (1, 1), None: (1, 1)}
+    assert {r["source"]: r["rows"] for r in ordered.rows_without_order(log).collect()} == {1: 1, None: 2}

@@ -1,5 +1,7 @@
 """Streams that take several micro-batches, against the batch operators."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from vacanta.plans import queries
 from vacanta.schemas import CHECK_EVENT, REQUEST_EVENT
 from vacanta.sources import samples
 from vacanta.sources.areas import area_dimension
-from vacanta.sources.responses import stream_log, stream_responses
+from vacanta.sources.responses import stream_files, stream_log, stream_responses
 from vacanta.streaming import hourly, ingest, streaks
 from vacanta.streaming.batches import batch_path, write_batches
 
@@ -48,10 +50,49 @@ def test_hours_in_batches_equal_hours_at_once(spark, sf_dir, request_files, tmp_
     )
 
 
+def test_hours_of_files_that_come_newest_first(spark, tmp_path):
+    log = spark.range(100).select(
+        F.col("id").alias("seq"), F.expr("timestamp_ntz '2024-01-01 00:30:00' + make_dt_interval(0, cast(id as int))").alias("ts"),
+        F.lit(None).cast("long").alias("source"), (F.col("id") % 3 > 0).alias("success"), F.lit(1.0).alias("response_time"),
+        F.lit("").alias("error_type"), F.col("id").alias("jobs_count"),
+    )
+    for low in (66, 33, 0):
+        log.where(F.col("seq").between(low, low + (33 if low == 66 else 32))).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+    stream = stream_log(spark, f"{tmp_path}/log", REQUEST_EVENT, files_per_batch=1)
+    got = hourly.hourly_so_far(stream, f"{tmp_path}/out", f"{tmp_path}/offsets")
+    assert got.agg(F.sum("requests")).first()[0] == 100 and got.count() == 100
+
+
+def test_streams_over_empty_folders(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    log = stream_log(spark, f"{tmp_path}/in", REQUEST_EVENT)
+    assert hourly.hourly_so_far(log, f"{tmp_path}/h", f"{tmp_path}/ho").count() == 0
+    log = stream_log(spark, f"{tmp_path}/in", CHECK_EVENT)
+    state, alerts = streaks.follow_streaks(log, f"{tmp_path}/s", f"{tmp_path}/so")
+    assert state.count() == alerts.count() == 0
+    pages = stream_responses(spark, f"{tmp_path}/in")
+    assert ingest.ingest(pages, area_dimension(spark), f"{tmp_path}/i", f"{tmp_path}/io").count() == 0
+    items = explode_items(pages, ["jobId"]).select("jobId", "page_id")
+    assert ingest.write_first_seen(items, "jobId", f"{tmp_path}/f", f"{tmp_path}/fo").count() == 0
+
+
+def test_rows_that_later_ones_overtook_are_counted(spark, tmp_path):
+    for low, high in ((50, 59), (0, 49)):
+        spark.range(low, high + 1).select(
+            F.col("id").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("source"),
+            (F.col("id") < 50).alias("ok"), F.lit(1.0).alias("response_time"), F.lit("").alias("error"),
+        ).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+    stream = stream_log(spark, f"{tmp_path}/log", CHECK_EVENT, files_per_batch=1)
+    state, _ = streaks.follow_streaks(stream, f"{tmp_path}/out", f"{tmp_path}/offsets")
+    assert [tuple(r) for r in state.collect()] == [(1, 0, 10, 59, 50)]
+
+
 def test_streaks_in_batches_equal_streaks_at_once(spark, sf_dir, check_files, tmp_path):
     stream = stream_log(spark, check_files, CHECK_EVENT, files_per_batch=1)
     state, alerts = streaks.follow_streaks(stream, f"{tmp_path}/out", f"{tmp_path}/offsets", chunk_rows=50)
-    assert len(list((tmp_path / "out" / "state").glob("batch_id=*"))) == FILES
+    # Older states are removed.
+    left = sorted(p.name for p in (tmp_path / "out" / "state").glob("batch_id=*"))
+    assert left == [f"batch_id={FILES - 2}", f"batch_id={FILES - 1}"]
     log = queries._check_log(spark, sf_dir)
     columns = ["source", "current_streak", "max_streak"]
     assert rows_of(state, *columns) == rows_of(checks.check_runs(log), *columns)
@@ -92,13 +133,27 @@ def test_a_batch_run_again_is_stored_once(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
 
 
-def test_first_seen_keeps_one_row_per_key_over_batches(spark, sf_dir, tmp_path):
+def test_first_seen_keeps_the_first_row_per_key_over_batches(spark, sf_dir, tmp_path):
     rows = samples.landed_responses(spark, sf_dir)
-    for part in range(3):
-        rows.where(f"page_id % 3 = {part}").write.mode("append").parquet(f"{tmp_path}/landed")
+    for part in (1, 2, 0):
+        rows.where(f"page_id % 3 = {part}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/landed")
     stream = stream_responses(spark, f"{tmp_path}/landed", files_per_batch=1)
-    items = explode_items(stream, ["jobId"])
+    items = explode_items(stream, ["jobId"]).select("jobId", "page_id")
     got = ingest.write_first_seen(items, "jobId", f"{tmp_path}/out", f"{tmp_path}/offsets")
-    ids = [r["jobId"] for r in got.select("jobId").collect()]
-    want = explode_items(rows, ["jobId"]).where("jobId is not null").select("jobId").distinct()
-    assert sorted(ids) == sorted(r["jobId"] for r in want.collect())
+    first = {}
+    for r in explode_items(rows, ["jobId"]).where("jobId is not null").select("jobId", "page_id").collect():
+        place = ((r["page_id"] - 1) % 3, r["page_id"])
+        first[r["jobId"]] = min(first.get(r["jobId"], place), place)
+    assert sorted(map(tuple, got.collect())) == sorted((k, p) for k, (_, p) in first.items())
+
+
+def test_an_old_file_brings_new_keys_and_no_copies(spark, tmp_path):
+    for name, rows, age in (("a", [("x", 1), ("y", 2)], 0), ("b", [("x", 0), ("z", 3)], 9 * 86_400)):
+        spark.createDataFrame(rows, "jobId string, page_id long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        for file in (tmp_path / "in").glob("*.parquet"):
+            if name == "b" and file.name not in seen:
+                os.utime(file, (file.stat().st_mtime - age,) * 2)
+        seen = {f.name for f in (tmp_path / "in").glob("*.parquet")}
+        stream = stream_files(spark, f"{tmp_path}/in", "jobId string, page_id long", files_per_batch=1)
+        got = ingest.write_first_seen(stream, "jobId", f"{tmp_path}/out", f"{tmp_path}/offsets")
+    assert sorted(map(tuple, got.collect())) == [("x", 1), ("y", 2), ("z", 3)]

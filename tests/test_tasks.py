@@ -37,7 +37,11 @@ def test_pages_stop_at_the_first_bad_or_missing_one(spark):
     ]
     taken = tasks.pages_until_bad(outcomes(spark, rows), KEYS)
     got = sorted(r["page_id"] for r in taken.collect())
-    assert got == [1, 2, 5, 107, *range(201, 211)]
+    assert got == [1, 2, 5, 107, *range(201, 215)]
+    limits = spark.createDataFrame([("d", "x", None), ("a", "x", 1)], "kw string, city string, max_page long")
+    limited = tasks.pages_until_bad(outcomes(spark, rows), KEYS, limits)
+    assert sorted(r["page_id"] for r in limited.collect()) == [1, 5, 107, *range(201, 211)]
+
 
     wanted = spark.createDataFrame(
         [("a", "x"), ("a", "y"), ("b", "x"), ("b", "y"), ("c", "x"), ("e", "x")], "kw string, city string"
@@ -66,3 +70,14 @@ def test_city_codes(spark, tmp_path):
 
 def test_area_dimension(spark):
     assert dict(map(tuple, area_dimension(spark).collect())) == AREAS
+
+
+def test_a_long_task_is_read_over_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(tasks, "CHUNK_PAGES", 3)
+    rows = [(p, "a", "x", p, True) for p in range(1, 41)]
+    rows += [(100 + p, "b", "x", p, p != 8) for p in range(1, 41)]
+    rows += [(200 + p, "c", "x", p, True) for p in range(1, 41) if not 4 <= p <= 9]
+    rows += [(300 + p, "d", None, p, True) for p in range(1, 8)]
+    taken = tasks.pages_until_bad(outcomes(spark, rows), KEYS)
+    got = sorted(r["page_id"] for r in taken.collect())
+    assert got == [*range(1, 41), *range(101, 108), *range(201, 204), *range(301, 308)]

@@ -46,7 +46,6 @@ DEFAULT_MAX_PAGE = 10
 INSERT_BATCH = 1000
 
 # --- fixed values: request monitoring ---------------------------------------
-HOUR_FORMAT = "yyyy-MM-dd HH:00"
 ANTI_SPIDER_WORDS = ["anti_spider", "blocked"]
 RESPONSE_TIMES_KEPT = 100
 RECENT_HOURS = 24

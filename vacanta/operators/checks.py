@@ -1,6 +1,7 @@
 """Statistics and diagnosis over the log of store checks.
 
-A log row is one check: ``seq, ts, source, ok, response_time, error``.
+A log row is one check: ``seq, ts, source, ok, response_time, error``. A check
+whose ``ok`` is NULL has failed; rows without source are a source of their own.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,13 +14,15 @@ from vacanta.operators.ordered import (
     CHUNK_ROWS,
     failure_runs,
     failures_with_streak,
+    join_by_source,
     last_rows,
+    with_known,
 )
 
 
 def check_totals(log: DataFrame) -> DataFrame:
     """Per source: counts, success rate and last check, success and failure."""
-    counts = log.groupBy("source").agg(
+    counts = with_known(log, "ok").groupBy("source").agg(
         F.count("*").alias("total_checks"),
         F.count_if("ok").alias("successful_checks"),
         F.count_if(~F.col("ok")).alias("failed_checks"),
@@ -51,7 +54,8 @@ def streak_alerts(
 
 def last_errors(log: DataFrame, n: int = fixed.ERRORS_KEPT) -> DataFrame:
     """The last ``n`` failures of each source, ``place`` 1 the newest."""
-    return last_rows(log.where(~F.col("ok")).select("source", "seq", "ts", "error"), n)
+    failed = with_known(log, "ok").where(~F.col("ok"))
+    return last_rows(failed.select("source", "seq", "ts", "error"), n)
 
 
 def _pattern() -> Column:
@@ -97,12 +101,9 @@ def diagnosis(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
             F.collect_list(F.when(F.col("pattern").isNotNull(), F.struct("first_seq", line.alias("line"))))
         ).alias("patterns"),
     )
-    facts = (
-        check_totals(log)
-        .join(check_runs(log, chunk_rows), "source")
-        .join(errors, "source", "left")
-    )
-    streak, rate = F.col("current_streak"), F.col("success_rate")
+    facts = join_by_source(check_totals(log), check_runs(log, chunk_rows), "left")
+    facts = join_by_source(facts, errors, "left")
+    streak, rate = F.coalesce("current_streak", F.lit(0)), F.col("success_rate")
     rate_text = round_exact(rate, 1).cast("string")
     pattern_lines = F.coalesce(F.col("patterns.line"), F.array().cast("array<string>"))
     none = F.array().cast("array<string>")
@@ -142,11 +143,9 @@ def check_report(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     shown = last_errors(log, fixed.ERRORS_SHOWN).groupBy("source").agg(
         F.array_sort(F.collect_list(F.struct("seq", "ts", "error"))).alias("last_errors")
     )
-    return (
-        check_totals(log)
-        .join(check_runs(log, chunk_rows), "source")
-        .join(shown, "source", "left")
-    )
+    both = join_by_source(check_totals(log), check_runs(log, chunk_rows), "left")
+    no_run = {n: F.coalesce(n, F.lit(0)) for n in ("current_streak", "max_streak")}
+    return join_by_source(both.withColumns(no_run), shown, "left")
 
 
 def check_details(store: DataFrame, now: Column) -> DataFrame:

@@ -1,11 +1,15 @@
 """Order-dependent operators that split one busy source over many tasks.
 
-A log row has ``source`` and ``seq``, neither ever NULL: ``seq`` is a whole
-number unique in its source that gives the call order. ``seq`` is cut into chunks of ``chunk_rows`` numbers, so a
-``(source, chunk)`` group cannot hold more rows than that, however large the
-source. Windows run inside the chunks; one summary row per chunk then carries
-the state over chunk borders. The chunk of a row depends on ``seq`` alone, so
-a rerun task and a second scan agree on it.
+A log row has ``source`` (NULL is a source like any other) and ``seq``, a whole
+number unique in its source that gives the call order; rows without ``seq``
+have no place in the order and are left to ``rows_without_order``. ``seq`` is
+cut into chunks of ``chunk_rows`` numbers, so a ``(source, chunk)`` group cannot
+hold more rows than that, however large the source. Windows run inside the
+chunks; one summary row per chunk then carries the state over chunk borders.
+Where numbers are far apart (moments as numbers, say) there are as many chunks
+as rows, so chunks are grouped the same way, by ``FAN`` of them, and groups
+again: no window ever sees more than ``FAN`` rows. All groups depend on ``seq``
+alone, so a rerun task and a second scan agree on them.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +17,43 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = 1 << 18
+FAN = 1 << 18
+LEVELS = 2  # 2^18 numbers a chunk, 2^36 a group, 2^54 a group of groups: 1024 of these at most
+FIRST = -(1 << 62)  # a chunk before any other
+
+
+def with_known(log: DataFrame, flag: str) -> DataFrame:
+    """An outcome that was not noted is no success."""
+    return log.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def join_by_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on ``source``, where NULL equals NULL."""
+    renamed = right.withColumnRenamed("source", "_source")
+    return left.join(renamed, left["source"].eqNullSafe(renamed["_source"]), how).drop("_source")
+
+
+def rows_without_order(log: DataFrame) -> DataFrame:
+    """Per source: rows that totals count and that have no place in any order."""
+    return log.where("seq is null").groupBy("source").agg(F.count("*").alias("rows"))
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``source`` as a struct, which is never NULL and equals itself in joins."""
+    return rows.withColumn("source", F.struct("source"))
+
+
+def _plain(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("source", F.col("source.source"))
+
+
+def _part(column: str, width: int) -> Column:
+    """Number of the part, never NULL.
+
+    A nullable key would let the joins below add a NULL test on one side only;
+    without it the log is scanned and shuffled once and the shuffle is used again.
+    """
+    return F.coalesce(F.call_function("div", F.col(column), F.lit(width)), F.lit(0))
 
 
 def _so_far():
@@ -20,22 +61,37 @@ def _so_far():
     return W.partitionBy("source", "chunk").orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
 
 
-def _earlier():
-    """Chunks of the source before this one."""
-    return W.partitionBy("source").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-
-
 def with_chunk(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add ``chunk``.
+    """Keyed rows with ``chunk``."""
+    return _keyed(log.where("seq is not null")).withColumn("chunk", _part("seq", chunk_rows))
 
-    The NULL tests hold for every log row. They are spelled out because the joins
-    below imply them on one side: with equal filters on both sides the log is
-    scanned and shuffled once and the shuffle is used twice.
-    """
-    chunk = F.call_function("div", F.col("seq"), F.lit(chunk_rows))
-    return log.withColumn("chunk", chunk).where(
-        F.col("source").isNotNull() & F.col("chunk").isNotNull()
-    )
+
+def _with_before(
+    nodes: DataFrame, sums: list[str], base: str | None = None, levels: int = LEVELS
+) -> DataFrame:
+    """Add ``<sum>_before``, the sums of the source's earlier chunks, and with
+    ``base`` the greatest (first sum up to there + ``base``) among them."""
+    group = ["source", "up"] if levels else ["source"]
+    if levels:
+        nodes = nodes.withColumn("up", _part("chunk", FAN))
+    earlier = W.partitionBy(*group).orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    local = nodes.withColumns({f"{s}_before": F.coalesce(F.sum(s).over(earlier), F.lit(0)) for s in sums})
+    if base:
+        reached = F.col(f"{sums[0]}_before") + F.col(base)
+        local = local.withColumn("base_before", F.max(reached).over(earlier))
+    if not levels:
+        return local
+    whole = [F.sum(s).alias(s) for s in sums] + ([F.max(reached).alias(base)] if base else [])
+    groups = local.groupBy("source", "up").agg(*whole).withColumnRenamed("up", "chunk")
+    above = _with_before(groups, sums, base, levels - 1)
+    kept = [*(f"{s}_before" for s in sums), *(["base_before"] if base else [])]
+    above = above.select("source", F.col("chunk").alias("up"), *[F.col(c).alias(f"{c}_above") for c in kept])
+    joined = local.join(above, ["source", "up"])
+    new = {f"{s}_before": F.col(f"{s}_before") + F.col(f"{s}_before_above") for s in sums}
+    if base:
+        here = F.col(f"{sums[0]}_before_above") + F.col("base_before")
+        new["base_before"] = F.coalesce(here, F.col("base_before_above"))
+    return joined.withColumns(new).drop("up", *[f"{c}_above" for c in kept])
 
 
 def running_totals(
@@ -48,20 +104,14 @@ def running_totals(
     """
     rows = with_chunk(log.withColumns(totals), chunk_rows)
     local = rows.withColumns({name: F.sum(name).over(_so_far()) for name in totals})
-    offsets = (
-        local.groupBy("source", "chunk")
-        .agg(*[F.max_by(name, "seq").alias(name) for name in totals])
-        .select(
-            "source",
-            "chunk",
-            *[F.coalesce(F.sum(n).over(_earlier()), F.lit(0)).alias(f"{n}_before") for n in totals],
-        )
-    )
-    return (
+    chunks = local.groupBy("source", "chunk").agg(*[F.max_by(name, "seq").alias(name) for name in totals])
+    offsets = _with_before(chunks, list(totals)).drop(*totals)
+    joined = (
         local.join(offsets, ["source", "chunk"])
         .withColumns({name: F.col(name) + F.col(f"{name}_before") for name in totals})
         .drop("chunk", *[f"{name}_before" for name in totals])
     )
+    return _plain(joined)
 
 
 def _failures_in_chunk(log: DataFrame, ok: str, chunk_rows: int) -> DataFrame:
@@ -69,7 +119,7 @@ def _failures_in_chunk(log: DataFrame, ok: str, chunk_rows: int) -> DataFrame:
     last success so far (NULL before the first)."""
     failed = (~F.col(ok)).cast("bigint")
     return (
-        with_chunk(log, chunk_rows)
+        with_chunk(with_known(log, ok), chunk_rows)
         .withColumn("fails", F.sum(failed).over(_so_far()))
         .withColumn("base", F.max(F.when(F.col(ok), F.col("fails"))).over(_so_far()))
     )
@@ -78,11 +128,8 @@ def _failures_in_chunk(log: DataFrame, ok: str, chunk_rows: int) -> DataFrame:
 def _chunk_carry(summary: DataFrame) -> DataFrame:
     """Add ``carry``: length of the failure run that reaches a chunk's start."""
     return (
-        summary.withColumn("fails_before", F.coalesce(F.sum("fails").over(_earlier()), F.lit(0)))
-        .withColumn(
-            "base_before",
-            F.coalesce(F.max(F.col("fails_before") + F.col("base")).over(_earlier()), F.lit(0)),
-        )
+        _with_before(summary, ["fails"], "base")
+        .withColumn("base_before", F.coalesce("base_before", F.lit(0)))
         .withColumn("carry", F.col("fails_before") - F.col("base_before"))
     )
 
@@ -90,7 +137,7 @@ def _chunk_carry(summary: DataFrame) -> DataFrame:
 def chunk_runs(
     log: DataFrame, ok: str, chunk_rows: int = CHUNK_ROWS, before: DataFrame | None = None
 ) -> DataFrame:
-    """One row per (source, chunk): ``fails``, ``base`` (failures up to the last
+    """One row per (keyed source, chunk): ``fails``, ``base`` (failures up to the last
     success, NULL without one), ``opening`` (failures before the first success)
     and ``longest`` run that follows a success.
 
@@ -112,9 +159,9 @@ def chunk_runs(
     if before is None:
         return runs
     return runs.unionByName(
-        before.select(
+        _keyed(before).select(
             "source",
-            F.lit(None).cast("bigint").alias("chunk"),  # NULL sorts first
+            F.lit(FIRST).alias("chunk"),
             F.col("current_streak").alias("fails"),
             F.lit(None).cast("bigint").alias("base"),
             F.col("current_streak").alias("opening"),
@@ -129,12 +176,13 @@ def failure_runs(
     """Per source: ``current_streak`` (failures since the last success) and
     ``max_streak`` (longest run of failures)."""
     runs = _chunk_carry(chunk_runs(log, ok, chunk_rows, before))
-    return runs.groupBy("source").agg(
+    whole = runs.groupBy("source").agg(
         (
             F.sum("fails") - F.coalesce(F.max(F.col("fails_before") + F.col("base")), F.lit(0))
         ).alias("current_streak"),
         F.max(F.greatest("longest", F.col("carry") + F.col("opening"))).alias("max_streak"),
     )
+    return _plain(whole)
 
 
 def failures_with_streak(
@@ -144,11 +192,8 @@ def failures_with_streak(
     runs = _chunk_carry(chunk_runs(log, ok, chunk_rows, before))
     failures = _failures_in_chunk(log, ok, chunk_rows).where(~F.col(ok))
     streak = F.col("fails") - F.coalesce(F.col("base"), -F.col("carry"))
-    return (
-        failures.join(runs.select("source", "chunk", "carry"), ["source", "chunk"])
-        .withColumn("streak", streak)
-        .drop("chunk", "fails", "base", "carry")
-    )
+    joined = failures.join(runs.select("source", "chunk", "carry"), ["source", "chunk"])
+    return _plain(joined.withColumn("streak", streak).drop("chunk", "fails", "base", "carry"))
 
 
 def last_rows(log: DataFrame, n: int) -> DataFrame:
@@ -157,4 +202,4 @@ def last_rows(log: DataFrame, n: int) -> DataFrame:
     Spark keeps only ``n`` rows per source and task before the shuffle.
     """
     newest = W.partitionBy("source").orderBy(F.col("seq").desc())
-    return log.withColumn("place", F.row_number().over(newest)).where(F.col("place") <= n)
+    return log.where("seq is not null").withColumn("place", F.row_number().over(newest)).where(F.col("place") <= n)

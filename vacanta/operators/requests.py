@@ -1,7 +1,8 @@
 """Statistics, verdicts and reports over the request log.
 
 A log row is one recorded request: ``seq, ts, source, success, response_time,
-error_type, jobs_count``. ``source`` names the collector.
+error_type, jobs_count``. ``source`` names the collector; rows without one are
+a source of their own. A request whose ``success`` is NULL has failed.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,14 @@ from vacanta import fixed_values as fixed
 from vacanta.functions.numbers import percent, round_exact
 from vacanta.functions.text import contains_ci
 from vacanta.functions.times import hour_label, hours_between, iso_text
-from vacanta.operators.ordered import CHUNK_ROWS, failure_runs, last_rows, running_totals
+from vacanta.operators.ordered import (
+    CHUNK_ROWS,
+    failure_runs,
+    join_by_source,
+    last_rows,
+    running_totals,
+    with_known,
+)
 
 
 def _anti_spider() -> Column:
@@ -37,7 +45,7 @@ def _total_columns() -> dict[str, Column]:
 
 def request_totals(log: DataFrame) -> DataFrame:
     """Per source: counts of requests by outcome, jobs and anti-spider hits."""
-    return log.groupBy("source").agg(
+    return with_known(log, "success").groupBy("source").agg(
         *[c.alias(n) for n, c in _total_columns().items() if n != "last_success_time"]
     )
 
@@ -54,7 +62,7 @@ def success_rate(log: DataFrame) -> DataFrame:
 def error_breakdown(log: DataFrame) -> DataFrame:
     """Per source and error type: number of failures that name a type."""
     return (
-        log.where(~F.col("success") & (F.col("error_type") != ""))
+        with_known(log, "success").where(~F.col("success") & (F.col("error_type") != ""))
         .groupBy("source", "error_type")
         .agg(F.count("*").alias("failures"))
     )
@@ -104,7 +112,7 @@ def avg_response_time(log: DataFrame, n: int = fixed.RESPONSE_TIMES_KEPT) -> Dat
     """Per source: mean of the last ``n`` response times that are given and not 0;
     0 where there is none."""
     sources = log.select("source").distinct()
-    return sources.join(_mean_of_last(log, n), "source", "left").select(
+    return join_by_source(sources, _mean_of_last(log, n), "left").select(
         "source", F.coalesce("mean", F.lit(0.0)).alias("avg_response_time")
     )
 
@@ -119,7 +127,7 @@ def report_checkpoints(
 ) -> DataFrame:
     """Every ``every``-th task of a source, with its counts so far."""
     counted = running_totals(
-        task_log.select("source", "seq", "success"),
+        with_known(task_log.select("source", "seq", "success"), "success"),
         {
             "cities_completed": F.col("success").cast("bigint"),
             "cities_failed": (~F.col("success")).cast("bigint"),
@@ -134,7 +142,7 @@ def report_checkpoints(
 
 def task_totals(task_log: DataFrame) -> DataFrame:
     """Per source: tasks completed and failed."""
-    return task_log.groupBy("source").agg(
+    return with_known(task_log, "success").groupBy("source").agg(
         F.count_if("success").alias("cities_completed"),
         F.count_if(~F.col("success")).alias("cities_failed"),
     )
@@ -146,13 +154,14 @@ def request_summary(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     Totals are aggregated before their shuffle, the streak shuffles three
     narrow columns, and the rest is one row per source.
     """
-    totals = log.groupBy("source").agg(
+    totals = with_known(log, "success").groupBy("source").agg(
         *[c.alias(n) for n, c in _total_columns().items()],
         F.min("ts").alias("first_time"),
     )
+    with_streak = join_by_source(totals, consecutive_failures(log, chunk_rows), "left")
     return (
-        totals.join(consecutive_failures(log, chunk_rows), "source")
-        .join(_mean_of_last(log), "source", "left")
+        join_by_source(with_streak, _mean_of_last(log), "left")
+        .withColumn("consecutive_failures", F.coalesce("consecutive_failures", F.lit(0)))
         .withColumn("avg_response_time", F.coalesce("mean", F.lit(0.0)))
         .withColumn(
             "success_rate", percent(F.col("successful_requests"), F.col("total_requests"))
@@ -235,12 +244,9 @@ def report(
             "recent_hourly_stats"
         )
     )
-    whole = (
-        with_verdict(request_summary(log, chunk_rows), now)
-        .join(task_totals(task_log), "source", "left")
-        .join(errors, "source", "left")
-        .join(hours, "source", "left")
-    )
+    whole = with_verdict(request_summary(log, chunk_rows), now)
+    for part in (task_totals(task_log), errors, hours):
+        whole = join_by_source(whole, part, "left")
     no_errors = F.create_map().cast("map<string,bigint>")
     return whole.select(
         "source",

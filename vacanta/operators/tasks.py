@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from vacanta.fixed_values import ALL_AREAS, AREAS, DEFAULT_MAX_PAGE
 
+CHUNK_PAGES = 4096
+
 
 def task_cities(configs: DataFrame) -> DataFrame:
     """``(…, kw, city)`` for each configuration row ``(…, kws, cities)``.
@@ -37,30 +39,44 @@ def task_grid(configs: DataFrame) -> DataFrame:
 
 
 def pages_until_bad(
-    outcomes: DataFrame, task_keys: list[str], max_page: int = DEFAULT_MAX_PAGE
+    outcomes: DataFrame, task_keys: list[str], limits: DataFrame | None = None
 ) -> DataFrame:
     """Pages a sequential reader would have taken: good and with no gap before.
 
-    ``outcomes`` has the task keys, ``page`` and ``good``. Copies of a page are
-    merged first (good if any copy is), on the map side, so a page landed any
-    number of times is one row; with pages limited to 1 ... ``max_page`` that
-    leaves at most ``max_page`` rows per task for the window.
+    ``outcomes`` has the task keys, ``page`` and ``good``. ``limits`` (task keys
+    and ``max_page``, 10 where NULL) says how far a task reads; without it, or
+    for a task it does not name, every landed page counts. Copies of a page are
+    merged first (good if any copy is), on the map side. A task's pages are cut
+    into chunks of ``CHUNK_PAGES``: windows see one chunk, and one row per chunk
+    says whether all chunks before it are whole.
     """
+    pages = outcomes.where("page >= 1")
+    if limits is not None:
+        last = F.greatest(F.coalesce("max_page", F.lit(DEFAULT_MAX_PAGE)), F.lit(1))
+        named = limits.groupBy(*task_keys).agg(F.max(last).alias("last_page"))
+        pages = pages.join(named, task_keys, "left").where("last_page is null or page <= last_page")
+    chunk = F.call_function("div", F.col("page") - 1, F.lit(CHUNK_PAGES))
     merged = (
-        outcomes.where(F.col("page").between(1, max_page))
-        .groupBy(*task_keys, "page")
+        pages.groupBy(*task_keys, chunk.alias("chunk"), "page")
         .agg(
             F.bool_or("good").alias("good"),
             F.min(F.when(F.col("good"), F.col("page_id"))).alias("page_id"),
         )
         .where("good")
     )
-    place = F.row_number().over(W.partitionBy(*task_keys).orderBy("page"))
-    return (
-        merged.withColumn("place", place)
-        .where(F.col("place") == F.col("page"))
-        .select("page_id", *task_keys, "page")
+    # Sorted pages that lie at their own place have no gap before them.
+    begin = F.col("chunk") * CHUNK_PAGES + 1
+    listed = F.sort_array(F.collect_list(F.struct("page", "page_id")))
+    chunks = merged.groupBy(*task_keys, "chunk").agg(listed.alias("pages"))
+    chunks = chunks.withColumn("pages", F.filter("pages", lambda p, i: p["page"] == begin + i))
+    by_chunk = W.partitionBy(*task_keys).orderBy("chunk")
+    before_whole = F.coalesce(F.lag(F.size("pages")).over(by_chunk) == CHUNK_PAGES, F.lit(False))
+    follows = (F.col("chunk") == 0) | (before_whole & (F.lag("chunk").over(by_chunk) == F.col("chunk") - 1))
+    reached = chunks.withColumn("follows", follows).withColumn(
+        "reached", F.min("follows").over(by_chunk.rowsBetween(W.unboundedPreceding, 0))
     )
+    taken = reached.where("reached").select(*task_keys, F.inline("pages"))
+    return taken.select("page_id", *task_keys, "page")
 
 
 def task_completion(tasks: DataFrame, taken: DataFrame, task_keys: list[str]) -> DataFrame:

@@ -79,16 +79,20 @@ _STORED = f"""{_VIEW}, stored as (
       and location_code is not null) s
   where place = 1)"""
 _FOUND = "job_id, page_id, job_title, company_name, location_code, salary_min, salary_max"
-_TAKEN = f"""{_OUTCOMES}, taken as (
-  select page_id, run, kw, city, page from (
-    select *, min(case when not good then page else 99 end)
-      over (partition by run, kw, city) as first_bad from outcomes) o
-  where page < first_bad)"""
 _RUN_TASKS = f"""tasks as (
-  select run, kw, unnest(case when list_contains(string_split(cities, ','), '000000')
+  select run, kw, max_page, unnest(case when list_contains(string_split(cities, ','), '000000')
     then {_ALL_CODES} else string_split(cities, ',') end) as city
-  from (select run, cities, unnest(string_split(kws, ',')) as kw
+  from (select run, cities, max_page, unnest(string_split(kws, ',')) as kw
         from ({_from_tables(samples.RUN_CONFIG)}) c) k)"""
+_READ_ALL = """select page_id, run, kw, city, page from (
+    select *, min(case when not good then page else 1000 end)
+      over (partition by run, kw, city) as first_bad from outcomes) o
+  where page < first_bad"""
+_TAKEN = f"""{_OUTCOMES}, {_RUN_TASKS}, taken as (
+  select o.* from ({_READ_ALL}) o
+  left join (select *, greatest(coalesce(max_page, 10), 1) as last_page from tasks) t
+    on t.run = o.run and t.kw = o.kw and t.city = o.city
+  where last_page is null or page <= last_page)"""
 _STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 
 # --- logs ---------------------------------------------------------------------
@@ -284,16 +288,17 @@ select pages, unnest(['not_json', 'no_status', 'no_resultbody', 'bad_status', 't
   unnest([not_json, not_json, not_json, bad_status, too_few_items]) as rejected from counted""",
     "page_counts": f"with {_OUTCOMES} select page_id, n_items as jobs_count from outcomes where good",
     "pages_until_bad": f"with {_TAKEN} select * from taken",
+    "all_pages_until_bad": f"with {_OUTCOMES} {_READ_ALL}",
     "task_grid": f"""with config as ({_from_tables(samples.SEARCH_CONFIG)}),
 k as (select config_id, cities, max_page, unnest(string_split(kws, ',')) as kw from config),
 c as (select config_id, kw, max_page, unnest(case when list_contains(string_split(cities, ','), '000000')
     then {_ALL_CODES} else string_split(cities, ',') end) as city from k)
 select config_id, kw, city, unnest(range(1, greatest(coalesce(max_page, 10), 1) + 1)) as page from c""",
-    "task_completion": f"""with {_TAKEN}, {_RUN_TASKS}
+    "task_completion": f"""with {_TAKEN}
 select t.run, t.kw, t.city, count(p.page_id) as pages, count(p.page_id) > 0 as completed
 from tasks t left join taken p on p.run = t.run and p.kw = t.kw and p.city = t.city
 group by 1, 2, 3""",
-    "failed_tasks": f"""with {_TAKEN}, {_RUN_TASKS}
+    "failed_tasks": f"""with {_TAKEN}
 select run, kw, city from tasks t where not exists (
   select 1 from taken p where p.run = t.run and p.kw = t.kw and p.city = t.city)""",
     "listings": f"with {_LISTINGS} select * from listing",
@@ -422,8 +427,10 @@ from sums s join runs on runs.source = s.source left join shown on shown.source
 from stored""",
     "stream_ingest": f"with {_LISTINGS} select * from listing",
     "stream_hourly": f"with {_REQ}, {_HOURS} select * from hours",
-    "stream_streaks": f"with {_ISLANDS} select * from runs",
+    "stream_streaks": f"with {_ISLANDS} select *, 0 as overtaken from runs",
     "stream_alerts": f"with {_ISLANDS} select source, seq, streak from placed where streak >= 3",
-    "stream_dedupe": f"""with {_ITEMS}
-select distinct jobId from (select {_values('jobId')} from items) i where jobId is not null""",
+    "stream_dedupe": f"""with {_ITEMS}, ids as (select page_id, {_values('jobId')} from items)
+select jobId, page_id from ids where jobId is not null
+qualify row_number() over (partition by jobId
+  order by case page_id % 3 when 2 then 0 when 0 then 1 else 2 end, page_id) = 1""",
 }

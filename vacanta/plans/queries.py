@@ -158,13 +158,19 @@ def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _taken(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = envelope.page_outcomes(samples.landed_responses(spark, sf_dir))
-    return tasks.pages_until_bad(outcomes, TASK_KEYS)
+    return tasks.pages_until_bad(outcomes, TASK_KEYS, _run_tasks(spark, sf_dir))
 
 
 def _run_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.task_cities(samples.shape(spark, sf_dir, samples.RUN_CONFIG))
 
 
+def all_pages_until_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``pages_until_bad``, with no limit but the pages that landed."""
+    outcomes = envelope.page_outcomes(samples.landed_responses(spark, sf_dir))
+    return tasks.pages_until_bad(outcomes, TASK_KEYS)
+
+
 def pages_until_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _taken(spark, sf_dir)
 
@@ -178,7 +184,8 @@ def task_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failed_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tasks.failed_tasks(_run_tasks(spark, sf_dir), _taken(spark, sf_dir), TASK_KEYS)
+    asked = _run_tasks(spark, sf_dir).select(*TASK_KEYS)
+    return tasks.failed_tasks(asked, _taken(spark, sf_dir), TASK_KEYS)
 
 
 # --- listings -----------------------------------------------------------------
@@ -536,13 +543,34 @@ def check_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ------------------------------------------------------------------
 
 _logs: dict[tuple[str, str, str], str] = {}
+FIRST_SEEN_ORDER = (2, 0, 1)  # page_id modulo 3, in order of arrival
+
 
+SLICES, SLICE_FILES = 4, 2
 
-def _landed_log(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame) -> str:
+
+def _landed_log(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame, newest_first: bool) -> str:
+    """A log landed in slices of ``seq``, one after the other; a slice is ``SLICE_FILES`` files."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _logs:
         path = new_folder(spark, name)
-        rows.write.parquet(path)
+        span = (rows.agg(F.max("seq")).first()[0] or 0) + 1
+        order = range(SLICES)
+        for i in reversed(order) if newest_first else order:
+            part = rows.where(F.col("seq").between(span * i // SLICES, span * (i + 1) // SLICES - 1))
+            part.repartition(SLICE_FILES).write.mode("append").parquet(path)
+        _logs[key] = path
+    return _logs[key]
+
+
+def _landed_slices(spark: SparkSession, sf_dir: str) -> str:
+    """Landed pages in slices, the youngest ids in the middle one."""
+    key = (spark.sparkContext.applicationId, sf_dir, "slices")
+    if key not in _logs:
+        path = new_folder(spark, "slices")
+        rows = samples.landed_responses(spark, sf_dir)
+        for part in FIRST_SEEN_ORDER:
+            rows.where(F.col("page_id") % 3 == part).repartition(SLICE_FILES).write.mode("append").parquet(path)
         _logs[key] = path
     return _logs[key]
 
@@ -556,23 +584,19 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed_log(spark, sf_dir, "request_log", _request_log(spark, sf_dir))
-    return hourly.hourly_so_far(
-        stream_log(spark, path, REQUEST_EVENT), new_folder(spark, "hours"),
-        new_folder(spark, "offsets"),
-    )
+    path = _landed_log(spark, sf_dir, "request_log", _request_log(spark, sf_dir), newest_first=True)
+    log = stream_log(spark, path, REQUEST_EVENT, files_per_batch=SLICE_FILES)
+    return hourly.hourly_so_far(log, new_folder(spark, "hours"), new_folder(spark, "offsets"))
 
 
 def _streaks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    path = _landed_log(spark, sf_dir, "check_log", _check_log(spark, sf_dir))
-    return streaks.follow_streaks(
-        stream_log(spark, path, CHECK_EVENT), new_folder(spark, "streaks"),
-        new_folder(spark, "offsets"),
-    )
+    path = _landed_log(spark, sf_dir, "check_log", _check_log(spark, sf_dir), newest_first=False)
+    log = stream_log(spark, path, CHECK_EVENT, files_per_batch=SLICE_FILES)
+    return streaks.follow_streaks(log, new_folder(spark, "streaks"), new_folder(spark, "offsets"))
 
 
 def stream_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streaks(spark, sf_dir)[0]
+    return _streaks(spark, sf_dir)[0].drop("last_seq")
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -580,12 +604,11 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responses = stream_responses(spark, samples.landed_path(spark, sf_dir))
-    items = envelope.explode_items(responses, ["jobId"]).select("jobId", "landed_at")
-    rows = ingest.write_first_seen(
+    responses = stream_responses(spark, _landed_slices(spark, sf_dir), files_per_batch=SLICE_FILES)
+    items = envelope.explode_items(responses, ["jobId"]).select("jobId", "page_id")
+    return ingest.write_first_seen(
         items, "jobId", new_folder(spark, "first_seen"), new_folder(spark, "offsets")
     )
-    return rows.select("jobId")
 
 
 QUERIES: dict[str, Query] = {
@@ -601,6 +624,7 @@ QUERIES: dict[str, Query] = {
     "page_quality": page_quality,
     "page_counts": page_counts,
     "pages_until_bad": pages_until_bad,
+    "all_pages_until_bad": all_pages_until_bad,
     "task_grid": task_grid,
     "task_completion": task_completion,
     "failed_tasks": failed_tasks,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vacanta.sources.responses import read_responses
 from vacanta.sources.workspace import new_folder
 
-# One landed page per order: ten pages make a task, 165 tasks (5 keywords x 33
+# One landed page per order: fifteen pages make a task, 165 tasks (5 keywords x 33
 # areas, the last one unknown) make a run.
 PAGE_BASE = """
 select *, cast(floor(task_no / 165) as bigint) as run,
@@ -25,8 +25,8 @@ select *, cast(floor(task_no / 165) as bigint) as run,
     when o_orderstatus = 'P' and page_id % 5 = 0 then 'refused'
     when page_id % 47 = 9 then 'numeric' when page_id % 59 = 13 then 'no_items'
     else 'page' end as kind
-from (select o_orderkey as page_id, cast(floor(o_orderkey / 10) as bigint) as task_no,
-        o_orderkey % 10 + 1 as page, o_custkey % 8 as n_items,
+from (select o_orderkey as page_id, cast(floor(o_orderkey / 15) as bigint) as task_no,
+        o_orderkey % 15 + 1 as page, o_custkey % 8 as n_items,
         o_custkey, o_orderstatus, o_orderdate, o_orderpriority
       from {orders}) o
 """
@@ -149,8 +149,9 @@ from {customer}
 # The configuration of each run of PAGE_BASE: all areas, or two named ones.
 RUN_CONFIG = """
 select run, 'Python,Java,Data,Sales,Design' as kws,
-  case when run % 2 = 0 then '000000' else '010000,330000' end as cities
-from (select distinct cast(floor(o_orderkey / 1650) as bigint) as run from {orders}) r
+  case when run % 2 = 0 then '000000' else '010000,330000' end as cities,
+  case run % 3 when 0 then 14 when 1 then 3 end as max_page
+from (select distinct cast(floor(o_orderkey / 2475) as bigint) as run from {orders}) r
 """
 
 # Lines of "<digits>":"<name>" text.

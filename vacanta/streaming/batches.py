@@ -6,37 +6,58 @@ run again after a failure leaves one result and not two.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove the folder of a batch that nothing reads any more."""
+    store, folder = _folder(spark, batch_path(path, batch_id))
+    store.delete(folder, True)
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Everything the batches wrote, with ``batch_id``; no rows before the first batch."""
+    whole = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
+    store, folder = _folder(spark, path)
+    if not store.exists(folder):
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).option("basePath", path).parquet(path)
+
+
 def write_batches(
     stream: DataFrame,
     path: str,
     checkpoint: str,
     transform: Callable[[DataFrame, int], DataFrame] | None = None,
-    output_mode: str = "append",
+    keep: bool = False,
 ) -> None:
     """Process everything that has landed, then stop.
 
-    ``transform`` may run several jobs on a batch; the batch is kept for them,
-    so its files are read once. What a lost executor kept is read again.
+    With ``keep`` a batch is kept for a ``transform`` that runs several jobs on
+    it, so its files are read once. What a lost executor kept is read again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = transform(batch.persist(), batch_id) if transform else batch
+        rows = batch.persist() if keep else batch
         try:
+            out = transform(rows, batch_id) if transform else rows
             out.write.mode("overwrite").parquet(batch_path(path, batch_id))
         finally:
-            if transform:
+            if keep:
                 batch.unpersist()
 
     query = (
-        stream.writeStream.outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
+        stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()

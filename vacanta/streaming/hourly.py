@@ -1,45 +1,21 @@
-"""Hourly request statistics as events arrive."""
+"""Hourly request statistics as events arrive.
+
+Counts and sums add up, so each batch stores its own part of every hour it saw
+and reading adds the parts. That is exact for any order of arrival, however
+late, and keeps no state.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacanta.functions.times import hour_label
-from vacanta.streaming.batches import write_batches
-
+from vacanta.operators.requests import hourly_stats
+from vacanta.streaming.batches import read_batches, write_batches
 
-def hourly_windows(log: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Tumbling hour windows per source; state is kept ``lateness`` behind the newest event.
 
-    Windows start at whole hours of UTC. Moments are shifted by the zone's offset
-    for the grouping and back for the label, so that hours are those of the wall
-    clock in zones with an odd half hour, too.
-    """
-    zone = F.current_timezone()
-    stamped = log.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone))
-    return (
-        stamped.withWatermark("ts", lateness)
-        .groupBy("source", F.window("ts", "1 hour").alias("w"))
-        .agg(
-            F.count("*").alias("requests"),
-            F.count_if("success").alias("success"),
-            F.coalesce(F.sum(F.when(F.col("success"), F.col("jobs_count"))), F.lit(0)).alias(
-                "jobs"
-            ),
-        )
-        .withColumn("hour", hour_label(F.to_utc_timestamp("w.start", zone)))
-        .select("source", "hour", "requests", "success", "jobs")
+def hourly_so_far(log: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Statistics over everything that has landed, by source and hour."""
+    write_batches(log, path, checkpoint, transform=lambda batch, _: hourly_stats(batch))
+    parts = read_batches(log.sparkSession, path, hourly_stats(log).schema)
+    return parts.groupBy("source", "hour").agg(
+        *[F.sum(n).alias(n) for n in ("requests", "success", "jobs")]
     )
-
-
-def hourly_so_far(
-    log: DataFrame, path: str, checkpoint: str, lateness: str = "1 day"
-) -> DataFrame:
-    """Statistics after the last batch.
-
-    Update mode writes every hour a batch changed, also hours whose window is
-    still open; the newest batch of an hour holds its current numbers.
-    """
-    write_batches(hourly_windows(log, lateness), path, checkpoint, output_mode="update")
-    updates = log.sparkSession.read.parquet(path)
-    newest = F.max_by(F.struct("requests", "success", "jobs"), "batch_id").alias("newest")
-    return updates.groupBy("source", "hour").agg(newest).select("source", "hour", "newest.*")

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from vacanta.operators.envelope import explode_items
 from vacanta.operators.listings import clean_items
-from vacanta.streaming.batches import write_batches
+from vacanta.streaming.batches import read_batches, write_batches
 
-SALTS = 64
+BUCKETS = 16
 
 
 def stream_listings(responses: DataFrame, areas: DataFrame) -> DataFrame:
@@ -17,35 +17,38 @@ def stream_listings(responses: DataFrame, areas: DataFrame) -> DataFrame:
 
 def ingest(responses: DataFrame, areas: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Append the cleaned listings of every landed response to ``path``."""
-    write_batches(stream_listings(responses, areas), path, checkpoint)
-    return responses.sparkSession.read.parquet(path).drop("batch_id")
+    rows = stream_listings(responses, areas)
+    write_batches(rows, path, checkpoint)
+    return read_batches(responses.sparkSession, path, rows.schema).drop("batch_id")
 
 
-def stream_first_seen(
-    items: DataFrame, key: str, event_time: str = "landed_at", within: str = "1 day"
+def write_first_seen(
+    items: DataFrame, key: str, path: str, checkpoint: str, order: tuple[str, ...] = ("page_id",)
 ) -> DataFrame:
-    """First arrival of each key; copies up to ``within`` later are dropped.
-
-    ``event_time`` must not be NULL, or Spark would forget the key at once: the
-    dates inside postings will not do, the time a page landed does.
+    """First arrival of each key: of the earliest batch, and there the least by ``order``.
 
-    A stream dedupe has no map side, so all copies of a key would meet in one
-    task. A first pass per (key, salt) spreads them; at most ``SALTS`` copies of
-    a key reach the second pass. The salt decides only which copy goes on, so it
-    may be the number of the task that read the row.
+    A batch keeps one row per key, merged on the map side, and stores those
+    whose key no earlier batch stored. Stored keys lie in buckets by their
+    hash and a batch reads the buckets it touches. Nothing is forgotten, so a
+    copy may come at any time. Rows without key are left out.
     """
-    keyed = items.where(F.col(key).isNotNull())
-    return (
-        keyed.withColumn("salt", F.spark_partition_id() % SALTS)
-        .withWatermark(event_time, within)
-        .dropDuplicatesWithinWatermark([key, "salt"])
-        .dropDuplicatesWithinWatermark([key])
-        .drop("salt")
-    )
-
-
-def write_first_seen(
-    items: DataFrame, key: str, path: str, checkpoint: str, within: str = "1 day"
-) -> DataFrame:
-    write_batches(stream_first_seen(items, key, within=within), path, checkpoint)
-    return items.sparkSession.read.parquet(path).drop("batch_id")
+    spark = items.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+    others = [c for c in items.columns if c != key and c not in order]
+    stored = items.select(key, *order, *others, bucket).schema
+
+    def fold(batch: DataFrame, batch_id: int) -> DataFrame:
+        first = (
+            batch.where(F.col(key).isNotNull())
+            .groupBy(key)
+            .agg(F.min(F.struct(*order, *others)).alias("first"))
+            .select(key, "first.*", bucket)
+        )
+        known = read_batches(spark, path, stored).where(F.col("batch_id") < batch_id)
+        # At most BUCKETS numbers.
+        touched = [r[0] for r in first.select("bucket").distinct().collect()] if batch_id else []
+        known = known.where(F.col("bucket").isin(touched)).select("bucket", key)
+        return first.join(known, ["bucket", key], "left_anti").select(*[f.name for f in stored])
+
+    write_batches(items, path, checkpoint, transform=fold, keep=True)
+    return read_batches(spark, path, stored).drop("batch_id", "bucket")

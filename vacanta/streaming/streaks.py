@@ -7,16 +7,25 @@ state of batch n is a table of its own, built from that of batch n-1, so a
 rerun batch starts from the same state.
 
 Rows count in the order they arrive: by batch, and by ``seq`` inside a batch.
+A row that comes after a later one of its source was folded still counts at
+its arrival; ``overtaken`` says how many there were.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vacanta.fixed_values import ALERT_STREAK
-from vacanta.operators.ordered import CHUNK_ROWS, failure_runs, failures_with_streak
-from vacanta.streaming.batches import batch_path, write_batches
+from vacanta.operators.ordered import (
+    CHUNK_ROWS,
+    failure_runs,
+    failures_with_streak,
+    join_by_source,
+)
+from vacanta.streaming.batches import batch_path, drop_batch, read_batches, write_batches
 
-STATE = "source bigint, current_streak bigint, max_streak bigint"
+STATE = "source bigint, current_streak bigint, max_streak bigint, last_seq bigint, overtaken bigint"
+ALERTS = "source bigint, seq bigint, streak bigint"
 
 
 def _state_before(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame:
@@ -26,10 +35,18 @@ def _state_before(spark: SparkSession, state_path: str, batch_id: int) -> DataFr
 
 
 def latest_state(spark: SparkSession, path: str) -> DataFrame:
-    """State after the newest batch."""
-    states = spark.read.parquet(f"{path}/state")
+    """State after the newest batch; only the last two are there."""
+    states = read_batches(spark, f"{path}/state", StructType.fromDDL(STATE))
     newest = states.agg(F.max("batch_id")).first()[0]
-    return states.where(F.col("batch_id") == newest).drop("batch_id")
+    return states.where(F.col("batch_id") == F.lit(newest)).drop("batch_id")
+
+
+def _arrivals(batch: DataFrame, state: DataFrame) -> DataFrame:
+    """Per source: the highest ``seq`` so far, and rows that came too late for their place."""
+    known = join_by_source(batch, state.select("source", "last_seq"), "left")
+    return known.groupBy("source").agg(
+        F.max("seq").alias("seq"), F.count_if(F.col("seq") < F.col("last_seq")).alias("late")
+    )
 
 
 def follow_streaks(
@@ -44,12 +61,22 @@ def follow_streaks(
     spark = checks.sparkSession
 
     def fold(batch: DataFrame, batch_id: int) -> DataFrame:
-        state = _state_before(batch.sparkSession, state_path, batch_id)
-        failure_runs(batch, "ok", chunk_rows, before=state).write.mode("overwrite").parquet(
-            batch_path(state_path, batch_id)
+        state = _state_before(spark, state_path, batch_id)
+        runs = failure_runs(batch, "ok", chunk_rows, before=state.drop("last_seq", "overtaken"))
+        both = join_by_source(runs, state.select("source", "last_seq", "overtaken"), "left")
+        after = join_by_source(both, _arrivals(batch, state), "left").select(
+            "source",
+            "current_streak",
+            "max_streak",
+            F.greatest("last_seq", "seq").alias("last_seq"),
+            (F.coalesce("overtaken", F.lit(0)) + F.coalesce("late", F.lit(0))).alias("overtaken"),
         )
-        failures = failures_with_streak(batch, "ok", chunk_rows, before=state)
+        after.write.mode("overwrite").parquet(batch_path(state_path, batch_id))
+        # The state before the last is needed by no rerun.
+        drop_batch(spark, state_path, batch_id - 2)
+        failures = failures_with_streak(batch, "ok", chunk_rows, before=state.drop("last_seq", "overtaken"))
         return failures.where(F.col("streak") >= alert_streak).select("source", "seq", "streak")
 
-    write_batches(checks.select("source", "seq", "ok"), alert_path, checkpoint, transform=fold)
-    return latest_state(spark, path), spark.read.parquet(alert_path).drop("batch_id")
+    write_batches(checks.select("source", "seq", "ok"), alert_path, checkpoint, transform=fold, keep=True)
+    alerts = read_batches(spark, alert_path, StructType.fromDDL(ALERTS)).drop("batch_id")
+    return latest_state(spark, path), alerts
