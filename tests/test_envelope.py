@@ -74,11 +74,40 @@ def test_quality_counts(spark):
     counted = envelope.page_quality(responses(spark, CASES)).collect()
     # Plain text, the text that breaks off, and the array: none is a JSON object.
     assert {r["rule"]: r["rejected"] for r in counted} == {
-        "not_json": 3, "no_status": 3, "no_resultbody": 5, "bad_status": 5, "too_few_items": 7,
+        "not_json": 3, "wrong_shape": 0, "no_status": 3, "no_resultbody": 5, "bad_status": 5, "too_few_items": 7,
     }
     assert {r["pages"] for r in counted} == {10}
 
 
+GOOD = page([{"jobId": "a"}])
+
+
+def test_only_one_whole_strict_object_is_a_page(spark):
+    refused = [
+        GOOD + " garbage", GOOD + GOOD, GOOD + "," + GOOD, GOOD + "]", GOOD.replace('"', "'"),
+        GOOD.replace('"a"', "NaN"), "[" + GOOD + "]", "/*c*/" + GOOD, "", "null", "5",
+    ]
+    assert envelope.valid_pages(responses(spark, refused)).count() == 0
+    assert envelope.valid_pages(responses(spark, [GOOD + " \n", "\n " + GOOD])).count() == 2
+    counted = {r["rule"]: r["rejected"] for r in envelope.page_quality(responses(spark, refused)).collect()}
+    assert counted["not_json"] == len(refused) - 1  # the empty one is no usable response
+
+
+def test_shapes_that_are_no_result(spark):
+    shapes = ['[]', '{"job":[]}', '{"job":{"items":{"a":1}}}', '{"job":{"items":[{"jobId":"a"},"text"]}}', '{"job":5}']
+    fine = ["null", "{}", '{"job":null}', '{"job":{}}', '{"job":{"items":null}}', '{"job":{"items":[]}}']
+    bodies = [f'{{"status":"1","resultbody":{x}}}' for x in shapes + fine]
+    counted = {r["rule"]: r["rejected"] for r in envelope.page_quality(responses(spark, bodies)).collect()}
+    assert counted["not_json"] == 0 and counted["wrong_shape"] == len(shapes)
+    assert envelope.valid_pages(responses(spark, bodies)).count() == 0
+
+
+def test_null_items_are_no_listings(spark):
+    df = responses(spark, [page([None, {"jobId": "a"}, None]), page([None])])
+    assert [r["jobId"] for r in envelope.explode_items(df, ["jobId"]).collect()] == ["a"]
+    assert [r["jobs_count"] for r in envelope.page_counts(df).collect()] == [1]
+
+
 def test_listing_rows_from_json(spark):
     items = [
         {"jobId": "1", "jobTags": ["a", "b"], "jobSalaryMin": "", "jobSalaryMax": " 3 ", "odd": 1},

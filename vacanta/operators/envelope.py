@@ -9,6 +9,7 @@ no rows).
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vacanta.fixed_values import (
     BLOCKED_CODES,
@@ -21,7 +22,7 @@ from vacanta.fixed_values import (
 from vacanta.functions.text import contains_ci, has_ink, is_bad_number
 from vacanta.schemas import envelope_schema
 
-RESPONSE_CLASSES = ["challenge", "ok", "invalid", "blocked", "http_error"]
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def _is_challenge() -> Column:
@@ -76,21 +77,38 @@ def usable_responses(responses: DataFrame, reject_error_word: bool = True) -> Da
 
 
 def parse_envelope(responses: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Replace ``body`` by ``status_json``, ``items``, ``has_result`` and ``is_json``.
+    """Replace ``body`` by ``status_json``, ``items``, ``has_result``, ``is_json``
+    and ``wrong_shape``.
 
     ``columns`` limits the item fields that are decoded. ``status_json`` is the
-    status as JSON text, so that ``"1"`` and ``1`` stay apart. Text that breaks
-    off gives nothing, not the part before the break.
+    status as JSON text, so that ``"1"`` and ``1`` stay apart. A body is taken
+    only as one whole JSON object: it is parsed as the single element of an
+    array, which text after the object breaks. NULL items are left out.
+    ``wrong_shape`` tells JSON whose result is no ``{job: {items: [{...}]}}``;
+    it looks at the text again, and only where no items were found.
     """
-    envelope = F.from_json("body", envelope_schema(columns))
+    text = F.concat(F.lit("["), F.col("body"), F.lit("]"))
+    closed = F.endswith(F.rtrim("body", F.lit(" \t\r\n")), F.lit("}"))
+    parsed = F.from_json(text, T.ArrayType(envelope_schema(columns)), STRICT_JSON)
     kept = [c for c in responses.columns if c != "body"]
-    whole = F.col("envelope").isNotNull() & F.col("envelope._corrupt_record").isNull()
-    return responses.select(*kept, envelope.alias("envelope")).select(
-        *kept,
-        F.when(whole, F.to_json("envelope.status")).alias("status_json"),
-        F.when(whole, F.col("envelope.resultbody.job.items")).alias("items"),
-        (whole & F.col("envelope.resultbody").isNotNull()).alias("has_result"),
-        whole.alias("is_json"),
+    one = F.when(F.size("parsed") == 1, F.get("parsed", F.lit(0)))
+    results = [F.get_json_object("body", f"$.{path}") for path in ("resultbody", "resultbody.job")]
+    wrong = F.get_json_object("body", "$.resultbody.job.items").isNotNull()
+    for found in results:
+        wrong = wrong | F.coalesce(~F.startswith(found, F.lit("{")), F.lit(False))
+    return (
+        responses.select(*kept, "body", F.when(closed, parsed).alias("parsed"))
+        .select(*kept, "body", one.alias("envelope"))
+        .select(
+            *kept,
+            F.to_json("envelope.status").alias("status_json"),
+            F.array_compact("envelope.resultbody.job.items").alias("items"),
+            F.col("envelope.resultbody").isNotNull().alias("has_result"),
+            F.col("envelope").isNotNull().alias("is_json"),
+            F.when(F.col("envelope").isNull() | F.col("envelope.resultbody.job.items").isNotNull(), False)
+            .otherwise(wrong)
+            .alias("wrong_shape"),
+        )
     )
 
 
@@ -138,11 +156,13 @@ def page_counts(responses: DataFrame) -> DataFrame:
 def page_quality(responses: DataFrame) -> DataFrame:
     """Per rule, how many usable responses break it.
 
-    ``not_json`` counts bodies that are no whole JSON object.
+    ``not_json`` counts bodies that are no whole JSON object, ``wrong_shape``
+    objects whose result has another form than items in a job.
     """
     parsed = parse_envelope(usable_responses(responses), columns=[])
     rules = {
         "not_json": ~F.col("is_json"),
+        "wrong_shape": F.col("wrong_shape"),
         "no_status": F.col("status_json").isNull(),
         "no_resultbody": ~F.col("has_result"),
         "bad_status": F.coalesce(F.col("status_json") != f'"{SUCCESS_STATUS}"', F.lit(True)),
@@ -184,7 +204,7 @@ def explode_items(
     value, found while the page is still one row.
     """
     parsed = parse_envelope(usable_responses(responses, reject_error_word), columns)
-    kept = [c for c in parsed.columns if c not in ("status_json", "items", "has_result", "is_json")]
+    kept = [c for c in parsed.columns if c not in ("status_json", "items", "has_result", "is_json", "wrong_shape")]
     if page_flags:
         parsed = parsed.withColumns({
             f"{c}_page_bad": F.exists(F.transform("items", _field(c)), is_bad_number)

@@ -244,10 +244,10 @@ from listing group by 1""",
 select page_id, run, kw, city, page, cast(status_code as bigint) as status_code,
   length(body) as body_chars, md5(body) as body_md5 from bodies""",
     "parse_envelope": f"""with {_PAGES}
-select page_id, kind <> 'broken' as is_json,
-  case kind when 'broken' then null when 'refused' then '"0"' when 'numeric' then '1' else '"1"' end
+select page_id, kind not in ('broken', 'trailing') as is_json,
+  case kind when 'broken' then null when 'trailing' then null when 'refused' then '"0"' when 'numeric' then '1' else '"1"' end
     as status_json,
-  case when kind not in ('broken', 'no_items') then n_items end as n_items
+  case when kind not in ('broken', 'trailing', 'no_items', 'list_result') then n_items end as n_items
 from pages0 where status_code = 200 and kind not in ('challenge', 'blank', 'error')""",
     "explode_items": f"""with {_ITEMS}
 select page_id, pos, {_values('jobId', 'jobName', 'companyName', 'jobDescribe', 'jobSalaryMin')}
@@ -280,12 +280,13 @@ from bodies group by 1, 2""",
     "page_quality": f"""with {_PAGES}, usable as (
   select * from pages0 where status_code = 200 and kind not in ('challenge', 'blank', 'error')),
 counted as (
-  select count(*) as pages, count(*) filter (where kind = 'broken') as not_json,
-    count(*) filter (where kind in ('broken', 'refused', 'numeric')) as bad_status,
-    count(*) filter (where kind in ('broken', 'no_items') or n_items = 0) as too_few_items
+  select count(*) as pages, count(*) filter (where kind in ('broken', 'trailing')) as not_json,
+    count(*) filter (where kind = 'list_result') as wrong_shape,
+    count(*) filter (where kind in ('broken', 'trailing', 'refused', 'numeric')) as bad_status,
+    count(*) filter (where kind in ('broken', 'trailing', 'no_items', 'list_result') or n_items = 0) as too_few_items
   from usable)
-select pages, unnest(['not_json', 'no_status', 'no_resultbody', 'bad_status', 'too_few_items']) as rule,
-  unnest([not_json, not_json, not_json, bad_status, too_few_items]) as rejected from counted""",
+select pages, unnest(['not_json', 'wrong_shape', 'no_status', 'no_resultbody', 'bad_status', 'too_few_items']) as rule,
+  unnest([not_json, wrong_shape, not_json, not_json + wrong_shape, bad_status, too_few_items]) as rejected from counted""",
     "page_counts": f"with {_OUTCOMES} select page_id, n_items as jobs_count from outcomes where good",
     "pages_until_bad": f"with {_TAKEN} select * from taken",
     "all_pages_until_bad": f"with {_OUTCOMES} {_READ_ALL}",

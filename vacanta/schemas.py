@@ -68,10 +68,9 @@ def item_schema(columns: list[str] | None = None) -> T.StructType:
 
 
 def envelope_schema(columns: list[str] | None = None) -> T.StructType:
-    """``{status, resultbody: {job: {items: [...]}}}`` plus the unparsable text."""
+    """``{status, resultbody: {job: {items: [...]}}}``"""
     job = T.StructType([T.StructField("items", T.ArrayType(item_schema(columns)))])
     return T.StructType([
         T.StructField("status", T.VariantType()),
         T.StructField("resultbody", T.StructType([T.StructField("job", job)])),
-        T.StructField("_corrupt_record", T.StringType()),
     ])

@@ -22,6 +22,7 @@ select *, cast(floor(task_no / 165) as bigint) as run,
     when 4 then 500 when 5 then 404 else 200 end as status_code,
   case when page_id % 41 = 7 then 'challenge' when page_id % 37 = 5 then 'blank'
     when page_id % 31 = 11 then 'error' when page_id % 43 = 2 then 'broken'
+    when page_id % 61 = 3 then 'trailing' when page_id % 67 = 4 then 'list_result'
     when o_orderstatus = 'P' and page_id % 5 = 0 then 'refused'
     when page_id % 47 = 9 then 'numeric' when page_id % 59 = 13 then 'no_items'
     else 'page' end as kind
@@ -89,8 +90,9 @@ PAGE_BODY = """case kind
   when 'error' then '{"msg":"Error"}'
   when 'broken' then '{"status":"1","resultbody":{"job":'
   when 'no_items' then '{"status":"1","resultbody":{"job":{}}}'
+  when 'list_result' then '{"status":"1","resultbody":[]}'
   else concat('{"status":', case kind when 'refused' then '"0"' when 'numeric' then '1' else '"1"' end,
-    ',"resultbody":{"job":{"items":[', items_text, ']}}}') end"""
+    ',"resultbody":{"job":{"items":[', items_text, ']}}}', case kind when 'trailing' then ' garbage' else '' end) end"""
 
 SPARK_ITEMS_TEXT = (
     "case when n_items = 0 then '' else array_join(transform(sequence(1, n_items), i -> "
