@@ -37,9 +37,9 @@ ALL_AREAS = "000000"
 # --- fixed values: responses -------------------------------------------------
 SUCCESS_STATUS = "1"
 BLOCKED_CODES = [403, 429, 503, 521]
+ANTI_SPIDER = "anti_spider_suspected"
 CHALLENGE_PATTERN = r"var arg1='([A-F0-9]+)';"
 ERROR_WORD = "error"
-REQUIRED_FIELDS = ["status", "resultbody"]
 MIN_ITEMS_PER_PAGE = 1
 PAGE_SIZE = 20
 DEFAULT_MAX_PAGE = 10

@@ -4,7 +4,7 @@ A log row is one check: ``seq, ts, source, ok, response_time, error``. A check
 whose ``ok`` is NULL has failed; rows without source are a source of their own.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacanta import fixed_values as fixed
@@ -148,13 +148,26 @@ def check_report(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     return join_by_source(both.withColumns(no_run), shown, "left")
 
 
+def missing_details(spark: SparkSession, error: str | None = None) -> DataFrame:
+    """What a check notes where there is no listing table, or none that can be read."""
+    return spark.createDataFrame(
+        [(error is not None, 0, 0, error)],
+        "table_exists boolean, table_row_count bigint, recent_inserts bigint, check_error string",
+    )
+
+
 def check_details(store: DataFrame, now: Column) -> DataFrame:
     """What a check notes about the listing table: rows, and rows of the last hour."""
     since = now - F.make_dt_interval(hours=F.lit(1))
     return store.agg(
         F.count("*").alias("table_row_count"),
         F.count_if(F.col("update_date") > since).alias("recent_inserts"),
-    ).select(F.lit(True).alias("table_exists"), "table_row_count", "recent_inserts")
+    ).select(
+        F.lit(True).alias("table_exists"),
+        "table_row_count",
+        "recent_inserts",
+        F.lit(None).cast("string").alias("check_error"),
+    )
 
 
 def slow_checks(log: DataFrame, seconds: float = fixed.SLOW_CHECK_SECONDS) -> DataFrame:

@@ -12,7 +12,6 @@ from vacanta.fixed_values import PAGE_SIZE
 # Search slot -> column compared for equality: in the declared form of a
 # listing, then in the form the pages carry.
 SEARCH_SLOTS = {
-    "jobArea": ("location_code", "jobAreaCode"),
     "salary": ("salary_range", "provideSalaryString"),
     "workYear": ("work_experience", "workYear"),
     "degree": ("degree_requirement", "degreeString"),
@@ -31,6 +30,18 @@ def _column(df: DataFrame, *names: str) -> str:
     raise ValueError(f"no column to search: {names}")
 
 
+def _in_area(view: DataFrame, code: str) -> Column:
+    """A province code (``050000``) covers its province, any other code its district."""
+    location = F.col(_column(view, "location_code", "jobAreaCode"))
+    if code.endswith("0000"):
+        if "province_code" in view.columns:
+            return F.col("province_code") == code
+        return F.startswith(location, F.lit(code[:2]))
+    if "province_code" in view.columns:  # names the folder to read
+        return (F.col("province_code") == f"{code[:2]}0000") & (location == code)
+    return location == code
+
+
 def by_company(view: DataFrame, company: str) -> DataFrame:
     return view.where(F.col("company_name") == company)
 
@@ -42,6 +53,20 @@ def by_location(view: DataFrame, location: str) -> DataFrame:
     )
 
 
+def after_row(view: DataFrame, update_date: str | None, job_id: str) -> DataFrame:
+    """Rows that follow a result row in search order, to page on from it.
+
+    A page is then its first ``page_size`` rows, however deep it lies; an offset
+    would carry all rows before it through one task.
+    """
+    later = F.col("job_id") > job_id
+    if update_date is None:
+        return view.where(F.col("update_date").isNull() & later)
+    at = F.lit(update_date).cast("timestamp_ntz")
+    older = F.col("update_date").isNull() | (F.col("update_date") < at)
+    return view.where(older | ((F.col("update_date") == at) & later))
+
+
 def by_salary_range(view: DataFrame, low: int, high: int) -> DataFrame:
     """Listings whose whole salary span lies in ``low`` ... ``high``."""
     return view.where((F.col("salary_min") >= low) & (F.col("salary_max") <= high))
@@ -66,14 +91,19 @@ def search_postings(
 ) -> DataFrame:
     """One result page: newest first, then by job id.
 
-    ``keyword`` is a case-insensitive part of the title; every other slot is
-    compared for equality, and a blank slot does not filter. ``view`` is a
+    ``keyword`` is a case-insensitive part of the title, ``jobArea`` a province
+    or a district; every other slot is compared for equality, and a blank slot
+    does not filter. ``sortType`` "1", the only order there is, may be named. ``view`` is a
     listing in either form with one row per job id, which makes the order total.
     """
     found = view
     if keyword:
         title = F.col(_column(view, "job_title", "jobName"))
         found = found.where(F.contains(F.lower(title), F.lower(F.lit(keyword))))
+    if slots.pop("sortType", "1") not in ("", "1"):
+        raise ValueError("only sortType 1, newest first, is known")
+    if area := slots.pop("jobArea", ""):
+        found = found.where(_in_area(view, area))
     for slot, value in slots.items():
         if value:
             found = found.where(F.col(_column(view, *SEARCH_SLOTS.get(slot, ()))) == value)

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +33,8 @@ def execute_sql(spark: SparkSession, statement: str, params=None, **frames: Data
 def table_profile(spark: SparkSession, names: list[str]) -> DataFrame:
     """``(table_name, table_exists, row_count)`` for each name.
 
-    A missing table is ``(false, 0)``; one that exists but cannot be opened is
-    ``(true, 0)``. All tables are counted by one aggregate with a map side; the
+    A missing table is ``(false, 0)``; one that exists but cannot be opened or
+    read is ``(true, 0)``. All tables are counted by one aggregate with a map side; the
     scans read no column.
     """
     exists = {name: spark.catalog.tableExists(name) for name in names}
@@ -47,7 +47,8 @@ def table_profile(spark: SparkSession, names: list[str]) -> DataFrame:
         if found:
             try:
                 rows = spark.table(name)
-            except AnalysisException:
+                rows.limit(1).count()  # one that cannot be read fails here, alone
+            except PySparkException:
                 continue
             frames.append(
                 rows.select(

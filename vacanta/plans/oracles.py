@@ -88,16 +88,29 @@ _READ_ALL = """select page_id, run, kw, city, page from (
     select *, min(case when not good then page else 1000 end)
       over (partition by run, kw, city) as first_bad from outcomes) o
   where page < first_bad"""
-_TAKEN = f"""{_OUTCOMES}, {_RUN_TASKS}, taken as (
-  select o.* from ({_READ_ALL}) o
+_LIMITED = f"""select o.* from ({_READ_ALL}) o
   left join (select *, greatest(coalesce(max_page, 10), 1) as last_page from tasks) t
     on t.run = o.run and t.kw = o.kw and t.city = o.city
-  where last_page is null or page <= last_page)"""
+  where last_page is null or page <= last_page"""
+_TAKEN = f"""{_OUTCOMES}, {_RUN_TASKS}, taken as ({_LIMITED})"""
 _STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 
 # --- logs ---------------------------------------------------------------------
 
 _REQ = f"req as ({_from_tables(samples.REQUEST_EVENT)})"
+# NULL is a source and no outcome is a failure, written out; rows without order are at the very end.
+_RAGGED_REQ = f"""ragged as ({_from_tables(samples.RAGGED_EVENT)}), req as (
+  select seq, ts, coalesce(source, -1) as source, coalesce(success, false) as success,
+    response_time, error_type, jobs_count from ragged)"""
+_PAGE_LOG = f"""{_OUTCOMES}, req as (
+  select page_id as seq, timestamp '2024-01-01 00:00:00' + to_minutes(page_id) as ts, run as source,
+    good as success, cast(null as double) as response_time,
+    case when good then null when kind = 'challenge' then 'anti_spider_suspected'
+      when status_code = 200 and kind in ('blank', 'error') then 'unusable_body'
+      when status_code = 200 then 'no_valid_items'
+      when status_code in (403, 429, 503, 521) then 'blocked_' || status_code
+      else 'http_error_' || status_code end as error_type,
+    case when good then n_items else 0 end as jobs_count from outcomes)"""
 _CHK = f"chk as ({_from_tables(samples.CHECK_EVENT)})"
 _TSK = f"tsk as ({_from_tables(samples.TASK_EVENT)})"
 _HOURS = """hours as (
@@ -360,6 +373,12 @@ where update_date > timestamp '1998-08-03 03:30:00' - interval 1 hour""",
     "search_postings": f"""with {_STORED} select {_FOUND} from stored
 where contains(lower(job_title), 'python 1') and company_type = 'Public'
 order by update_date desc nulls last, job_id limit 20 offset 20""",
+    "search_province": f"""with {_STORED} select {_FOUND} from stored where province_code = '050000'
+order by update_date desc nulls last, job_id limit 20""",
+    "search_after": f"""with {_STORED} select {_FOUND} from stored
+where update_date is null or update_date < timestamp '1998-07-01 00:00:00'
+  or (update_date = timestamp '1998-07-01 00:00:00' and job_id > 'J')
+order by update_date desc nulls last, job_id limit 15""",
     "search_listings": f"""with {_ITEMS}, raw as (
   select page_id, pos, {_values('jobId', 'jobName', 'jobType', 'industryType1', 'updateDateTime')}
   from items),
@@ -379,6 +398,33 @@ where salary_min >= 3000 and company_type = 'Private'""",
     ) + "\nunion all select 'given_nowhere', false, 0",
     "request_totals": f"""with {_SUMMARY} select source, total_requests, successful_requests,
   failed_requests, empty_responses, total_jobs, anti_spider_hits from sums""",
+    "log_balance": f"""with ragged as ({_from_tables(samples.RAGGED_EVENT)})
+select source, count(*) as total_requests, cast(count(*) filter (where success) as bigint) as successful_requests,
+  cast(count(*) filter (where success is not true) as bigint) as failed_requests,
+  cast(count(*) filter (where seq is null) as bigint) as without_order from ragged group by 1""",
+    "ragged_verdict": f"""with {_verdict('2024-01-31 00:00:00').replace(_REQ, _RAGGED_REQ)}
+select nullif(source, -1) as source, total_requests, failed_requests, consecutive_failures,
+  message as health_message from verdict""",
+    "page_request_totals": f"""with {_PAGE_LOG}
+select source, count(*) as total_requests, cast(count(*) filter (where success) as bigint) as successful_requests,
+  cast(count(*) filter (where not success) as bigint) as failed_requests, 0 as empty_responses,
+  cast(coalesce(sum(jobs_count), 0) as bigint) as total_jobs,
+  cast(count(*) filter (where contains(error_type, 'anti_spider') or contains(error_type, 'blocked')) as bigint)
+    as anti_spider_hits
+from req group by 1""",
+    "page_report": f"""with {_verdict('2024-06-01 00:00:00').replace(_REQ, _PAGE_LOG)}, {_RUN_TASKS}, taken as ({_LIMITED}),
+done as (
+  select t.run, count(*) filter (where p.run is not null) as completed, count(*) filter (where p.run is null) as failed
+  from tasks t left join (select distinct run, kw, city from taken) p
+    on p.run = t.run and p.kw = t.kw and p.city = t.city group by 1),
+{_ERRORS}, {_HOURS}
+select v.source, message as health_message, total_requests, total_jobs as total_jobs_crawled,
+  cast(coalesce(completed, 0) as bigint) as cities_completed, cast(coalesce(failed, 0) as bigint) as cities_failed,
+  consecutive_failures, coalesce(e.text, '') as errors, least(h.n, 24) as hours
+from verdict v left join done on done.run = v.source
+left join (select source, string_agg(error_type || '=' || failures, ';' order by error_type) as text
+  from errs group by 1) e on e.source = v.source
+left join (select source, count(*) as n from hours group by 1) h on h.source = v.source""",
     "success_rate": f"with {_SUMMARY} select source, success_rate from summary",
     "error_breakdown": f"with {_REQ}, {_ERRORS} select * from errs",
     "hourly_stats": f"with {_REQ}, {_HOURS} select * from hours",
@@ -424,7 +470,8 @@ select s.source, total_checks, success_rate, current_streak, max_streak,
   coalesce(last_errors, '') as last_errors
 from sums s join runs on runs.source = s.source left join shown on shown.source = s.source""",
     "check_details": f"""with {_STORED} select true as table_exists, count(*) as table_row_count,
-  count(*) filter (where update_date > timestamp '1998-08-03 03:30:00' - interval 1 hour) as recent_inserts
+  count(*) filter (where update_date > timestamp '1998-08-03 03:30:00' - interval 1 hour) as recent_inserts,
+  cast(null as varchar) as check_error
 from stored""",
     "stream_ingest": f"with {_LISTINGS} select * from listing",
     "stream_hourly": f"with {_REQ}, {_HOURS} select * from hours",

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.operators import checks, envelope, listings, requests, search, sql, tasks
+from vacanta.operators import checks, envelope, events, listings, requests, search, sql, tasks
 from vacanta.schemas import CHECK_EVENT, REQUEST_EVENT, STORED_LISTING, TASK_KEYS
 from vacanta.sources import samples, store
 from vacanta.sources.areas import area_dimension, city_codes
@@ -21,6 +21,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 NOW, LATER = "2024-01-31 00:00:00", "2024-02-01 00:00:00"
 LISTING_NOW = "1998-08-03 03:30:00"
+# A page a minute, by number.
+PAGE_MOMENT = "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(page_id as int))"
+PAGE_NOW = "2024-06-01 00:00:00"
+SEARCH_FROM = "1998-07-01 00:00:00"
 
 
 def _moment(text: str) -> Column:
@@ -349,6 +353,17 @@ def search_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _found(found)
 
 
+def search_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result page of one province."""
+    return _found(search.search_postings(_store(spark, sf_dir), jobArea="050000", sortType="1"))
+
+
+def search_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page that follows a given row."""
+    later = search.after_row(_store(spark, sf_dir), SEARCH_FROM, "J")
+    return _found(search.search_postings(later, page_size=15))
+
+
 def search_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same search on listings as the pages carry them."""
     items = _items(
@@ -408,6 +423,48 @@ def request_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.request_totals(_request_log(spark, sf_dir))
 
 
+def _ragged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return samples.shape(spark, sf_dir, samples.RAGGED_EVENT)
+
+
+def log_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events.log_balance(_ragged_log(spark, sf_dir))
+
+
+def ragged_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts over a log with rows that lack order, source or outcome."""
+    summary = requests.request_summary(_ragged_log(spark, sf_dir))
+    return requests.with_verdict(summary, _moment(NOW)).select(
+        "source", "total_requests", "failed_requests", "consecutive_failures", "health_message"
+    )
+
+
+def _page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.expr(f"{PAGE_MOMENT}")
+    return events.request_events(samples.landed_responses(spark, sf_dir), at)
+
+
+def page_request_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request totals of each run, from its landed pages."""
+    return requests.request_totals(_page_log(spark, sf_dir))
+
+
+def page_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of the report of each run, from its landed pages and tasks."""
+    landed = samples.landed_responses(spark, sf_dir)
+    tasks_ = events.task_events(_run_tasks(spark, sf_dir), _taken(spark, sf_dir), landed)
+    report = requests.report(_page_log(spark, sf_dir), tasks_, _moment(PAGE_NOW))
+    errors = F.transform(
+        F.array_sort(F.map_entries("error_breakdown")),
+        lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
+    )
+    return report.select(
+        "source", "health_message", "statistics.total_requests", "statistics.total_jobs_crawled",
+        "statistics.cities_completed", "statistics.cities_failed", "statistics.consecutive_failures",
+        F.array_join(errors, ";").alias("errors"), F.size("recent_hourly_stats").cast("bigint").alias("hours"),
+    )
+
+
 def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.success_rate(_request_log(spark, sf_dir))
 
@@ -650,10 +707,16 @@ QUERIES: dict[str, Query] = {
     "recent_inserts": recent_inserts,
     "search_postings": search_postings,
     "search_listings": search_listings,
+    "search_province": search_province,
+    "search_after": search_after,
     "sql_named": sql_named,
     "sql_positional": sql_positional,
     "table_profile": table_profile,
     "request_totals": request_totals,
+    "log_balance": log_balance,
+    "ragged_verdict": ragged_verdict,
+    "page_request_totals": page_request_totals,
+    "page_report": page_report,
     "success_rate": success_rate,
     "error_breakdown": error_breakdown,
     "hourly_stats": hourly_stats,

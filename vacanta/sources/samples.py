@@ -120,6 +120,14 @@ from (select *, case
       from (select *, user_id % 10 as source from {events}) s) e
 """
 
+# The same log with what recorded logs lack here and there: order, source, outcome.
+RAGGED_EVENT = f"""
+select case when seq % 11 <> 3 then seq end as seq, ts,
+  case when source <> 4 then source end as source, case when seq % 7 <> 2 then success end as success,
+  response_time, error_type, jobs_count
+from ({REQUEST_EVENT}) whole
+"""
+
 CHECK_EVENT = """
 select event_id as seq, ts, user_id % 10 as source, event_type <> 'error' as ok,
   value / 50 as response_time,
