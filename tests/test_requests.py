@@ -106,7 +106,7 @@ def test_recent_hours_are_the_last_with_traffic(logs):
 
 def test_streaks_means_errors(logs):
     log, per_source = logs
-    streaks = dict(map(tuple, requests.consecutive_failures(log, 16).collect()))
+    streaks = dict(map(tuple, requests.consecutive_failures(log).collect()))
     means = dict(map(tuple, requests.avg_response_time(log).collect()))
     lasts = dict(map(tuple, requests.last_success(log).collect()))
     errors = {(r["source"], r["error_type"]): r["failures"]

@@ -15,11 +15,11 @@ REQUIRED_COLUMNS = ["job_id", "job_title", "company_name", "location_code"]
 def decode_area(df: DataFrame, areas: DataFrame, code: str, name: str) -> DataFrame:
     """Area name of ``code``, or the code itself where the dimension lacks it.
 
-    ``areas`` is the dimension of 32 fixed rows, hence always broadcast.
+    The dimension has 32 rows, which Spark broadcasts by its own size check.
     """
     names = areas.select(F.col("code").alias("_code"), F.col("name").alias("_name"))
     return (
-        df.join(F.broadcast(names), F.col(code) == F.col("_code"), "left")
+        df.join(names, F.col(code) == F.col("_code"), "left")
         .withColumn(name, F.coalesce("_name", code))
         .drop("_code", "_name")
     )

@@ -15,7 +15,6 @@ from vacanta.functions.text import contains_ci
 from vacanta.functions.times import hour_label, hours_between, iso_text
 from vacanta.operators.ordered import (
     CHUNK_ROWS,
-    failure_runs,
     join_by_source,
     last_rows,
     running_totals,
@@ -101,10 +100,18 @@ def last_success(log: DataFrame) -> DataFrame:
     )
 
 
-def consecutive_failures(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Per source: failures since the last success."""
-    return failure_runs(log, "success", chunk_rows).select(
-        "source", F.col("current_streak").alias("consecutive_failures")
+def consecutive_failures(log: DataFrame) -> DataFrame:
+    """Per source: failures since the last success.
+
+    That needs no order of all rows: the last success of each source is an
+    aggregate, and the failures after it are counted where the rows lie.
+    """
+    rows = with_known(log.select("source", "seq", "success"), "success")
+    last = rows.groupBy("source").agg(F.max(F.when(F.col("success"), F.col("seq"))).alias("last_success"))
+    later = F.col("last_success").isNull() | (F.col("seq") > F.col("last_success"))
+    failed_since = ~F.col("success") & F.col("seq").isNotNull() & later
+    return join_by_source(rows, last, "left").groupBy("source").agg(
+        F.count_if(failed_since).alias("consecutive_failures")
     )
 
 
@@ -148,20 +155,10 @@ def task_totals(task_log: DataFrame) -> DataFrame:
     )
 
 
-def request_summary(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """One row per source with everything verdict and advice look at.
-
-    Totals are aggregated before their shuffle, the streak shuffles three
-    narrow columns, and the rest is one row per source.
-    """
-    totals = with_known(log, "success").groupBy("source").agg(
-        *[c.alias(n) for n, c in _total_columns().items()],
-        F.min("ts").alias("first_time"),
-    )
-    with_streak = join_by_source(totals, consecutive_failures(log, chunk_rows), "left")
+def _with_streak_and_mean(totals: DataFrame, log: DataFrame) -> DataFrame:
+    with_streak = join_by_source(totals, consecutive_failures(log), "left")
     return (
         join_by_source(with_streak, _mean_of_last(log), "left")
-        .withColumn("consecutive_failures", F.coalesce("consecutive_failures", F.lit(0)))
         .withColumn("avg_response_time", F.coalesce("mean", F.lit(0.0)))
         .withColumn(
             "success_rate", percent(F.col("successful_requests"), F.col("total_requests"))
@@ -170,6 +167,60 @@ def request_summary(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     )
 
 
+def request_summary(log: DataFrame) -> DataFrame:
+    """One row per source with everything verdict and advice look at.
+
+    Totals and streak are aggregated before their shuffle, and the rest is one
+    row per source.
+    """
+    totals = with_known(log, "success").groupBy("source").agg(
+        *[c.alias(n) for n, c in _total_columns().items()],
+        F.min("ts").alias("first_time"),
+    )
+    return _with_streak_and_mean(totals, log)
+
+
+def report_parts(log: DataFrame, hours: int = fixed.RECENT_HOURS) -> DataFrame:
+    """Per source: totals, ``error_breakdown`` and ``recent_hourly_stats``, from one scan.
+
+    One aggregate with grouping sets counts by source, by source and hour and
+    by source and error type, on the map side before its one shuffle. A
+    source's maps are gathered from its counted rows.
+    """
+    failed_type = F.when(~F.col("success") & (F.col("error_type") != ""), F.col("error_type"))
+    rows = with_known(log, "success").withColumns(
+        {"of_hour": F.date_trunc("hour", "ts"), "of_type": failed_type}
+    )
+    counted = rows.groupingSets(
+        [["source"], ["source", "of_hour"], ["source", "of_type"]], "source", "of_hour", "of_type"
+    ).agg(
+        *[c.alias(n) for n, c in _total_columns().items()],
+        F.min("ts").alias("first_time"),
+        F.grouping("of_hour").alias("no_hour"),
+        F.grouping("of_type").alias("no_type"),
+    )
+    whole = (F.col("no_hour") == 1) & (F.col("no_type") == 1)
+    by_hour, by_type = F.col("no_hour") == 0, (F.col("no_type") == 0) & F.col("of_type").isNotNull()
+    stats = F.struct(
+        F.col("total_requests").alias("requests"),
+        F.col("successful_requests").alias("success"),
+        F.col("total_jobs").alias("jobs"),
+    )
+    hour = F.struct(hour_label(F.col("of_hour")).alias("hour"), stats.alias("stats"))
+    error = F.struct("of_type", F.col("failed_requests").alias("failures"))
+    # The last hours of each source go on, cut per task before they meet.
+    newest = W.partitionBy("source", "no_hour", "no_type").orderBy(F.col("of_hour").desc_nulls_last())
+    kept = counted.withColumn("place", F.row_number().over(newest)).where(~by_hour | (F.col("place") <= hours))
+    names = [*_total_columns(), "first_time"]
+    return kept.groupBy("source").agg(
+        *[F.max(F.when(whole, F.col(n))).alias(n) for n in names],
+        F.map_from_entries(F.collect_list(F.when(by_type, error))).alias("error_breakdown"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(by_hour & F.col("of_hour").isNotNull(), hour)))).alias(
+            "recent_hourly_stats"
+        ),
+    )
+
+
 def _verdict_message(now: Column) -> Column:
     """First rule that holds; a source that never succeeded cannot be silent."""
     total = F.col("total_requests")
@@ -200,8 +251,8 @@ def with_verdict(summary: DataFrame, now: Column) -> DataFrame:
     )
 
 
-def health_verdict(log: DataFrame, now: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    return with_verdict(request_summary(log, chunk_rows), now).select(
+def health_verdict(log: DataFrame, now: Column) -> DataFrame:
+    return with_verdict(request_summary(log), now).select(
         "source", "health_status", "health_message"
     )
 
@@ -218,35 +269,22 @@ def _advice() -> Column:
     return F.array_compact(F.array(*[F.when(rule, F.lit(text)) for rule, text in rules]))
 
 
-def recommendations(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def recommendations(log: DataFrame) -> DataFrame:
     """One row per piece of advice, in order."""
-    return request_summary(log, chunk_rows).select(
+    return request_summary(log).select(
         "source", F.posexplode(_advice()).alias("place", "recommendation")
     )
 
 
-def report(
-    log: DataFrame, task_log: DataFrame, now: Column, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
+def report(log: DataFrame, task_log: DataFrame, now: Column) -> DataFrame:
     """The nested report, one document per source.
 
     The maps hold one entry per distinct error type and at most 24 hours; both
-    are counted before they are gathered.
+    are counted before they are gathered. The request log is scanned four
+    times: for all counts, twice for the streak, and for the last response times.
     """
-    errors = error_breakdown(log).groupBy("source").agg(
-        F.map_from_entries(F.collect_list(F.struct("error_type", "failures"))).alias(
-            "error_breakdown"
-        )
-    )
-    stats = F.struct("requests", "success", "jobs")
-    hours = recent_hours(log).groupBy("source").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("hour", stats)))).alias(
-            "recent_hourly_stats"
-        )
-    )
-    whole = with_verdict(request_summary(log, chunk_rows), now)
-    for part in (task_totals(task_log), errors, hours):
-        whole = join_by_source(whole, part, "left")
+    whole = with_verdict(_with_streak_and_mean(report_parts(log), log), now)
+    whole = join_by_source(whole, task_totals(task_log), "left")
     no_errors = F.create_map().cast("map<string,bigint>")
     return whole.select(
         "source",
