@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacanta.operators import checks, envelope, events, listings, requests, search, sql, tasks
-from vacanta.schemas import CHECK_EVENT, REQUEST_EVENT, STORED_LISTING, TASK_KEYS
-from vacanta.sources import samples, store
+from vacanta.schemas import CHECK_EVENT, REQUEST_EVENT, TASK_KEYS
+from vacanta.sources import samples, store, upsert
 from vacanta.sources.areas import area_dimension, city_codes
 from vacanta.sources.responses import read_responses, stream_log, stream_responses
 from vacanta.sources.workspace import new_folder
@@ -306,17 +306,11 @@ def save_fail_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store after a first load and an upsert of the pages that came later."""
     rows = samples.landed_responses(spark, sf_dir)
-    first, second = new_folder(spark, "listings"), new_folder(spark, "listings")
-    loads = [
-        listings.listing_view(
-            listings.clean_items(envelope.explode_items(pages), area_dimension(spark))
-        )
-        for pages in (rows.where("page <= 4"), rows.where("page > 4"))
-    ]
-    nothing = spark.createDataFrame([], STORED_LISTING)
-    store.upsert_listings(nothing, loads[0], first)
-    store.upsert_listings(store.read_listings(spark, first), loads[1], second)
-    return _found(store.read_listings(spark, second))
+    path = new_folder(spark, "upserted")
+    for pages in (rows.where("page <= 4"), rows.where("page > 4")):
+        cleaned = listings.clean_items(envelope.explode_items(pages), area_dimension(spark))
+        upsert.upsert(path, listings.listing_view(cleaned))
+    return _found(upsert.read_upserted(spark, path))
 
 
 FOUND = ["job_id", "page_id", "job_title", "company_name", "location_code", "salary_min", "salary_max"]
