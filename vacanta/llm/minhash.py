@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacanta.llm.common import park
+from vacanta.llm.common import bloom_bits, in_bloom, mix_bits, park, powers
 
 HASHES = 64
 MISS = 1e-6
@@ -39,8 +39,6 @@ _rng = np.random.default_rng(20)
 _SALTS = _rng.integers(0, 1 << 64, HASHES, dtype=np.uint64)[:, None]
 _FACTORS = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _ORDER = _rng.permutation(2 * HASHES)  # mixes minima and maxima in the bands
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -60,36 +58,15 @@ class Likeness(NamedTuple):
 
 # --- one text -----------------------------------------------------------------------
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Spreads the bits of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Powers:
-    up = np.ones(1, np.uint64)
-    down = np.ones(1, np.uint64)
-
-    @classmethod
-    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            for name, base in (("up", _BASE), ("down", _UNBASE)):
-                steps = np.full(max(n, 1 << 14), base)
-                steps[0] = 1
-                setattr(cls, name, np.cumprod(steps))
-        return cls.up, cls.down
-
-
 def _hash_piece(data: np.ndarray) -> np.ndarray:
     """Hash of each word of a piece: a polynomial of its bytes, any place alike."""
     data = _LOWER[data]
     inside = np.concatenate([[False], ~_SPACE[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    up, down = _Powers.upto(len(data) + 1)
+    up, down = powers(len(data) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])])
-    return _mix((sums[ends] - sums[starts]) * down[starts])
+    return mix_bits((sums[ends] - sums[starts]) * down[starts])
 
 
 def word_hashes(data: np.ndarray) -> np.ndarray:
@@ -118,7 +95,7 @@ def shingles(data: np.ndarray, words: int) -> np.ndarray:
     n = len(hashes) - width + 1
     total = np.full(n, width, np.uint64)
     for k in range(width):
-        total = _mix(total * np.uint64(0xD6E8FEB86659FD93) + hashes[k : k + n])
+        total = mix_bits(total * np.uint64(0xD6E8FEB86659FD93) + hashes[k : k + n])
     return np.unique(total)
 
 
@@ -139,7 +116,7 @@ def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
     bands = len(signature) // rows
     keys = np.arange(bands, dtype=np.uint64) + np.uint64(1)
     for column in signature[: bands * rows].reshape(bands, rows).T:
-        keys = _mix(keys * np.uint64(0xD6E8FEB86659FD93) + column)
+        keys = mix_bits(keys * np.uint64(0xD6E8FEB86659FD93) + column)
     return keys
 
 
@@ -161,7 +138,7 @@ def signatures(docs: DataFrame, like: Likeness) -> DataFrame:
                 found = shingles(_bytes(text), words)
                 counts.append(len(found))
                 first.append(found.sum(dtype=np.uint64))
-                second.append(_mix(found ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64))
+                second.append(mix_bits(found ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64))
                 keys.append(band_keys(found, rows).view(np.int64) if len(found) else np.zeros(0, np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             yield pa.record_batch(
@@ -179,20 +156,32 @@ def signatures(docs: DataFrame, like: Likeness) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def shingle_sets(docs: DataFrame, like: Likeness) -> DataFrame:
-    """doc_id and its whole set."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
+    """(doc_id, shingles) for the ids of ``wanted``.
+
+    A Bloom filter of fixed size picks the texts, so the rest is neither
+    hashed nor shuffled; the join leaves out what the filter let pass.
+    """
     words = like.words
+    bits = bloom_bits(wanted.select(F.xxhash64("doc_id").alias("hash")), "hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(_bytes(t), words).view(np.int64) for t in batch.column(1)]
+            picked = np.flatnonzero(in_bloom(bits, batch.column(2).to_numpy().view(np.uint64)))
+            sets = [shingles(_bytes(batch.column(1)[i]), words).view(np.int64) for i in picked.tolist()]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             yield pa.record_batch(
-                [batch.column(0), pa.ListArray.from_arrays(offsets, flat)], names=["doc_id", "shingles"]
+                [batch.column(0).take(pa.array(picked)), pa.ListArray.from_arrays(offsets, flat)],
+                names=["doc_id", "shingles"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+    keyed = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    keyed = keyed.withColumn("hash", F.xxhash64("doc_id"))
+    found = keyed.mapInArrow(run, "doc_id long, shingles array<long>").join(wanted, "doc_id", "left_semi")
+    # Of rows that repeat an id, the one that stands for it.
+    longest = found.groupBy("doc_id").agg(F.max(F.struct(F.size("shingles"), "shingles")).alias("s"))
+    return longest.select("doc_id", "s.shingles")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -326,11 +315,7 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     shared = park(shared_buckets(keyed), "shared")
     pairs = park(leader_pairs(shared), "pairs")
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
-    sets = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
-    sets = shingle_sets(sets, like)
-    # Of rows that repeat an id, the one that stands for it.
-    sets = sets.groupBy("doc_id").agg(F.max(F.struct(F.size("shingles"), "shingles")).alias("s"))
-    sets = park(sets.select("doc_id", "s.shingles"), "sets")
+    sets = park(shingle_sets(docs, wanted, like), "sets")
     links = park(confirmed(pairs, sets, like), "links")
     found = park(components(links), "components")
     more = park(remaining_links(shared, sets, found, like), "more")
