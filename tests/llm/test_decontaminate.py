@@ -4,6 +4,7 @@ import pytest
 
 from tests.llm.frames import PROSE, awkward, none
 from vacanta.llm import decontaminate
+from vacanta.llm.common import bloom_bits
 from vacanta.llm.queries import op9_decontaminate
 
 QUESTION = "Tomorrow morning Alice will buy 12 apples for 3 dollars each and then Alice walks 5 miles home. How much did she pay for the apples?"
@@ -55,7 +56,7 @@ def test_hits_far_apart_do_not_add_up(spark):
 
 def test_the_filter_knows_every_window(spark):
     parked = decontaminate.template_windows(items(spark), ["item_id"])
-    bits = decontaminate.bloom_bits(parked)
+    bits = bloom_bits(parked, "hash")
     assert decontaminate.template_windows(items(spark), ["item_id"], bits).count() == parked.count() > 0
 
 

@@ -7,16 +7,15 @@ each placeholder stood for comes along. A document holds an item if, in one
 stretch of it, enough of the item's windows occur with consistent slots: a
 value of the item must become the same value wherever it occurs.
 
-Before the join a Bloom filter of fixed size (``FILTER_BITS``) over the
-benchmark's windows leaves out nearly all windows of clean documents. A
+Before the join a Bloom filter of fixed size over the benchmark's windows leaves out nearly all windows of clean documents. A
 benchmark too large for the filter makes it useless, never wrong. Joins are
 left to Spark's own size checks.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,14 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacanta.llm.common import park
+from vacanta.llm.common import bloom_bits, in_bloom, mix_bits, park, powers
 
 WINDOW = 5
 LITERAL = 3  # tokens of a window that must be no placeholders
 COVERAGE = 0.5  # of an item's windows
-FILTER_BITS = 1 << 23
-SHIFTS = (0, 19, 38)  # of a hash, for its places in the filter
-KNOWN_TOKENS = 400_000  # remembered codes a task
+PIECE = 1 << 20  # characters of a text that are read at once
 
 # Fixed values.
 NUMBER_WORDS = (
@@ -50,70 +47,115 @@ NAMES = (
     "susan robert linda jack lucy sam ben kate mark julia daniel"
 ).split()
 
-TOKENS = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:\n]")
-_END, _LITERAL, _CAPITAL, _SLOT = 0, 1, 2, 3  # the two low bits of a code
+_END, _LITERAL, _CAPITAL, _SLOT = 0, 1, 2, 3  # the two low bits of a token's code
 _FACTORS = np.array([xxhash.xxh64_intdigest(f"place {k}") | 1 for k in range(WINDOW)], np.uint64)
-
-
-def _code(what: str, kind: int) -> int:
-    return xxhash.xxh64_intdigest(what) & ~3 | kind
-
-
-NUMBER_SLOT, UNIT_SLOT, NAME_SLOT = (_code(f"<{s}>", _SLOT) for s in ("number", "unit", "name"))
-
-
-class Codes(dict):
-    """Code of a token: its hash, and whether it is literal, a slot or the end of a sentence."""
-
-    def __missing__(self, token: str) -> int:
-        if len(self) > KNOWN_TOKENS:
-            self.clear()
-        lower = token.lower()
-        if token in ".!?:\n":
-            code = _code(token, _END)
-        elif token[0].isdigit() or lower in NUMBER_WORDS:
-            code = NUMBER_SLOT
-        elif lower in UNITS:
-            code = UNIT_SLOT
-        elif lower in NAMES and token[0].isupper():
-            code = NAME_SLOT
-        else:
-            # A capitalised word may turn out to be a name where it stands.
-            capital = len(token) > 1 and token[0].isupper() and token[1:].islower()
-            code = _code(lower, _CAPITAL if capital else _LITERAL)
-        self[token] = code
-        return code
-
-
-def windows(text: str, codes: Codes) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """(hash of each window, tokens, is a slot) of a text's template.
-
-    A capitalised word is a name unless it opens a sentence. Windows with
-    fewer than ``LITERAL`` literal tokens say too little: their hash is 0.
-    """
-    tokens = TOKENS.findall(text)
-    code = np.fromiter(map(codes.__getitem__, tokens), np.uint64, len(tokens))
-    kind = code & np.uint64(3)
-    opens = np.concatenate([[True], kind[:-1] == _END]) if len(kind) else np.zeros(0, bool)
-    capital = kind == _CAPITAL
-    name = capital & ~opens
-    # In a run of capitalised words, as in a headline, they are words.
-    near = np.concatenate([[False], capital[:-1]]) | np.concatenate([capital[1:], [False]]) if len(kind) else name
-    name &= ~near
-    code = np.where(name, np.uint64(NAME_SLOT), np.where(capital, code ^ np.uint64(_CAPITAL ^ _LITERAL), code))
-    word = kind != _END
-    code = code[word]
-    tokens = [t for t, w in zip(tokens, word, strict=True) if w]
-    slot = (code & np.uint64(3)) == _SLOT
-    n = max(0, len(code) - WINDOW + 1)
-    total, literal = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-    for k in range(WINDOW):
-        part = code[k : k + n]
-        total += (part ^ (part >> np.uint64(29))) * _FACTORS[k]
-        literal += ~slot[k : k + n]
-    total ^= total >> np.uint64(32)
-    total[literal < LITERAL] = 0
-    return total, tokens, slot
+NUMBER_SLOT, UNIT_SLOT, NAME_SLOT = (xxhash.xxh64_intdigest(f"<{s}>") & ~3 | _SLOT for s in ("number", "unit", "name"))
+
+
+class Letters(NamedTuple):
+    """What each character of the basic plane is: other, letter, digit or end of a sentence."""
+
+    kind: np.ndarray
+    lower: np.ndarray
+    upper: np.ndarray
+
+    @classmethod
+    def table(cls) -> Letters:
+        chars = [chr(i) for i in range(1 << 16)]
+        kind = np.array([c.isalpha() + 2 * c.isdecimal() for c in chars], np.uint8)
+        kind[[ord(c) for c in ".!?:\n"]] = 3
+        lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in chars], np.uint64)
+        return cls(kind, lower, np.array([c.isupper() for c in chars]))
+
+
+class Reader:
+    """Tokens and template windows of texts."""
+
+    def __init__(self):
+        self.letters = Letters.table()
+        words = [(NUMBER_WORDS, NUMBER_SLOT), (UNITS, UNIT_SLOT), (NAMES, NAME_SLOT)]
+        known = {}
+        for some, slot in words:
+            hashes = self._piece(" ".join(some))[0]
+            known |= dict.fromkeys(hashes.tolist(), slot)
+        self.known = np.array(sorted(known), np.uint64)
+        self.slots = np.array([known[h] for h in sorted(known)], np.uint64)
+
+    def _piece(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, kind, first, end, capital letters) of the tokens of some characters.
+
+        Runs of letters, runs of digits with points and commas between digits,
+        and single ends of sentences are tokens.
+        """
+        char = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), (1 << 16) - 1)
+        kind = self.letters.kind[char]
+        digit = kind == 2
+        point = (char == 46) | (char == 44)
+        point[1:-1] &= digit[:-2] & digit[2:]
+        point[[0, -1]] = False
+        kind = np.where(point, np.uint8(2), kind)
+        change = np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == 3), [True]])
+        edges = np.flatnonzero(change)
+        first, end = edges[:-1], edges[1:]
+        some = kind[first] != 0
+        first, end = first[some], end[some]
+        up, down = powers(len(char) + 1)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((self.letters.lower[char] + np.uint64(1)) * up[: len(char)])])
+        capitals = np.concatenate([[0], np.cumsum(self.letters.upper[char])])
+        hashes = mix_bits((sums[end] - sums[first]) * down[first])
+        return hashes, kind[first], first, end, capitals[end] - capitals[first]
+
+    def tokens(self, text: str):
+        """As ``_piece`` for a whole text, read ``PIECE`` characters and up to a space at a time.
+
+        A run of ``PIECE`` characters and more without any space may be cut.
+        """
+        if len(text) <= PIECE:
+            return self._piece(text) if text else None
+        found, at = [], 0
+        while at < len(text):
+            end = text.find(" ", at + PIECE, at + 2 * PIECE)
+            end = min(len(text), at + 2 * PIECE) if end < 0 else end
+            part = self._piece(text[at:end])
+            found.append((part[0], part[1], part[2] + at, part[3] + at, part[4]))
+            at = end
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash of each window, first, end and is a slot of each token) of a text's template.
+
+        A capitalised word is a name unless it opens a sentence. Windows with
+        fewer than ``LITERAL`` literal tokens say too little: their hash is 0.
+        """
+        found = self.tokens(text)
+        if found is None or not len(found[0]):
+            return np.zeros(0, np.uint64), *([np.zeros(0, np.int64)] * 3)
+        hashes, kind, first, end, capitals = found
+        word = kind == 1
+        code = hashes & ~np.uint64(3) | np.uint64(_LITERAL)
+        spot = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        special = word & (self.known[spot] == hashes) & ((self.slots[spot] != NAME_SLOT) | (capitals > 0))
+        code = np.where(special, self.slots[spot], code)
+        code = np.where(kind == 2, np.uint64(NUMBER_SLOT), code)
+        # One capital, the first letter: a name where it does not open a
+        # sentence. In a run of such words, as in a headline, they are words.
+        opening = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")[first], (1 << 16) - 1)
+        capital = word & ~special & (capitals == 1) & (end - first > 1) & self.letters.upper[opening]
+        stop = kind == 3
+        opens = np.concatenate([[True], stop[:-1]])
+        near = np.concatenate([[False], capital[:-1]]) | np.concatenate([capital[1:], [False]])
+        code = np.where(capital & ~opens & ~near, np.uint64(NAME_SLOT), code)
+        code, first, end = code[~stop], first[~stop], end[~stop]
+        slot = (code & np.uint64(3)) == _SLOT
+        n = max(0, len(code) - WINDOW + 1)
+        total, literal = np.zeros(n, np.uint64), np.zeros(n, np.int64)
+        for k in range(WINDOW):
+            part = code[k : k + n]
+            total += (part ^ (part >> np.uint64(29))) * _FACTORS[k]
+            literal += ~slot[k : k + n]
+        total ^= total >> np.uint64(32)
+        total[literal < LITERAL] = 0
+        return total, first, end, slot
 
 
 def template_windows(rows: DataFrame, key: list[str], bits: bytes | None = None) -> DataFrame:
@@ -124,22 +166,21 @@ def template_windows(rows: DataFrame, key: list[str], bits: bytes | None = None)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
-        known = np.frombuffer(bits, np.uint8) if bits is not None else None
+        reader = Reader()
         for batch in batches:
             row, at, hashes, slots, counts = [], [], [], [], []
             for i, text in enumerate(batch.column(len(key))):
-                found, tokens, slot = windows(text.as_py() or "", codes)
+                text = text.as_py() or ""
+                found, first, end, slot = reader.windows(text)
                 good = found != 0
-                if known is not None:
-                    for spot in _spots(found):
-                        good &= (known[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                if bits is not None:
+                    good &= in_bloom(bits, found)
                 usable = int((found != 0).sum())
                 for p in np.flatnonzero(good).tolist():
                     row.append(i)
                     at.append(p)
                     counts.append(usable)
-                    slots.append([tokens[k].lower() for k in range(p, p + WINDOW) if slot[k]])
+                    slots.append([text[first[k] : end[k]].lower() for k in range(p, p + WINDOW) if slot[k]])
                 hashes.append(found[good])
             picked = batch.select(range(len(key))).take(pa.array(row, pa.int64()))
             flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
@@ -155,25 +196,6 @@ def template_windows(rows: DataFrame, key: list[str], bits: bytes | None = None)
     return rows.select(*columns, "text").mapInArrow(run, schema)
 
 
-def _spots(hashes: np.ndarray) -> list[np.ndarray]:
-    """Three places of the Bloom filter per hash."""
-    return [(hashes >> np.uint64(shift)) % np.uint64(FILTER_BITS) for shift in SHIFTS]
-
-
-def bloom_bits(items: DataFrame) -> bytes:
-    """Filter over the hashes of ``items``; at most one number per byte reaches the driver."""
-    # FILTER_BITS is a power of two: the remainder is the low bits.
-    places = (F.shiftrightunsigned("hash", n).bitwiseAND(F.lit(FILTER_BITS - 1)) for n in SHIFTS)
-    spot = items.select(F.explode(F.array(*places)).alias("spot"))
-    byte = spot.groupBy(F.shiftright("spot", 3).alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(spot & 7 as int))")).alias("bits")
-    )
-    filled = bytearray(FILTER_BITS // 8)
-    for r in byte.toLocalIterator():
-        filled[r["byte"]] = r["bits"]
-    return bytes(filled)
-
-
 def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
     """Best stretch of one document for one item: covered share of the item's windows.
 
@@ -216,7 +238,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     on either side give no rows.
     """
     items = park(template_windows(benchmark, ["item_id"]), "items")
-    bits = bloom_bits(items)
+    bits = bloom_bits(items, "hash")
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
     # Most documents have no hit and leave nothing behind here.
     hits = park(template_windows(keyed, ["doc_id", "tie"], bits).drop("n_windows"), "hits")
