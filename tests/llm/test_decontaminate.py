@@ -39,6 +39,16 @@ def test_what_leaks_and_what_does_not(spark):
     assert got[3]["coverage"] == 0 and got[3]["best_item"] is None
 
 
+def test_copies_in_other_case(spark):
+    names = "In which year did Einstein meet Bohr at Solvay and discuss with Heisenberg the work of Dirac on Maxwell?"
+    german = "Welche Straße führt vom Bahnhof durch den Wald zum Schloss, wenn der Fluss im Frühling die Brücke sperrt?"
+    benchmark = items(spark, [(6, names), (7, german)])
+    filler = " " + (PROSE + ". ") * 2
+    got = leaked(spark, [filler + f + filler for t in (names, german) for f in (t, t.lower(), t.upper())], benchmark)
+    assert [r["best_item"] for r in got.values()] == [6, 6, 6, 7, 7, 7]
+    assert [r["coverage"] for r in got.values()] == [1.0] * 6
+
+
 def test_slots_must_agree(spark):
     rows = decontaminate.pd.DataFrame(
         [(1, 1, 1, k, k, 10, [a], [b]) for k, (a, b) in enumerate([("tom", "ann")] * 6 + [("tom", "sue")] * 3)],

@@ -7,6 +7,10 @@ each placeholder stood for comes along. A document holds an item if, in one
 stretch of it, enough of the item's windows occur with consistent slots: a
 value of the item must become the same value wherever it occurs.
 
+What is a name depends on letter case. So windows of the plain words, without
+placeholders and without case, are joined beside the template windows; of the
+two coverages the better one counts.
+
 Before the join a Bloom filter of fixed size over the benchmark's windows leaves out nearly all windows of clean documents. A
 benchmark too large for the filter makes it useless, never wrong. Joins are
 left to Spark's own size checks.
@@ -47,6 +51,8 @@ NAMES = (
     "susan robert linda jack lucy sam ben kate mark julia daniel"
 ).split()
 
+TEMPLATE, PLAIN = 0, 1  # kinds of windows
+
 _END, _LITERAL, _CAPITAL, _SLOT = 0, 1, 2, 3  # the two low bits of a token's code
 _FACTORS = np.array([xxhash.xxh64_intdigest(f"place {k}") | 1 for k in range(WINDOW)], np.uint64)
 NUMBER_SLOT, UNIT_SLOT, NAME_SLOT = (xxhash.xxh64_intdigest(f"<{s}>") & ~3 | _SLOT for s in ("number", "unit", "name"))
@@ -56,7 +62,7 @@ class Letters(NamedTuple):
     """What each character of the basic plane is: other, letter, digit or end of a sentence."""
 
     kind: np.ndarray
-    lower: np.ndarray
+    folded: np.ndarray
     upper: np.ndarray
 
     @classmethod
@@ -64,12 +70,27 @@ class Letters(NamedTuple):
         chars = [chr(i) for i in range(1 << 16)]
         kind = np.array([c.isalpha() + 2 * c.isdecimal() for c in chars], np.uint8)
         kind[[ord(c) for c in ".!?:\n"]] = 3
-        lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in chars], np.uint64)
-        return cls(kind, lower, np.array([c.isupper() for c in chars]))
+        folded = np.array([ord(c.casefold()) if len(c.casefold()) == 1 else ord(c) for c in chars], np.uint64)
+        return cls(kind, folded, np.array([c.isupper() for c in chars]))
+
+
+def unsharp(text: str) -> str:
+    """The text with ss for the sharp s, the one common letter whose upper case is two."""
+    return text.replace("ß", "ss").replace("ẞ", "ss")
+
+
+def sequences(hashes: np.ndarray, length: int) -> np.ndarray:
+    """Hash of each ``length`` consecutive tokens."""
+    n = len(hashes) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = powers(len(hashes) + 1)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[: len(hashes)])])
+    return mix_bits((sums[length:] - sums[:n]) * down[:n] + np.uint64(length))
 
 
 class Reader:
-    """Tokens and template windows of texts."""
+    """Tokens and windows of texts."""
 
     def __init__(self):
         self.letters = Letters.table()
@@ -100,7 +121,7 @@ class Reader:
         some = kind[first] != 0
         first, end = first[some], end[some]
         up, down = powers(len(char) + 1)
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((self.letters.lower[char] + np.uint64(1)) * up[: len(char)])])
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((self.letters.folded[char] + np.uint64(1)) * up[: len(char)])])
         capitals = np.concatenate([[0], np.cumsum(self.letters.upper[char])])
         hashes = mix_bits((sums[end] - sums[first]) * down[first])
         return hashes, kind[first], first, end, capitals[end] - capitals[first]
@@ -121,15 +142,16 @@ class Reader:
             at = end
         return tuple(map(np.concatenate, zip(*found, strict=True)))
 
-    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hash of each window, first, end and is a slot of each token) of a text's template.
+    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash of each template window, of each plain window; first, end and is a slot of each token) of a text.
 
-        A capitalised word is a name unless it opens a sentence. Windows with
-        fewer than ``LITERAL`` literal tokens say too little: their hash is 0.
+        In templates a capitalised word is a name unless it opens a sentence,
+        and windows with fewer than ``LITERAL`` literal tokens say too little:
+        their hash is 0.
         """
         found = self.tokens(text)
         if found is None or not len(found[0]):
-            return np.zeros(0, np.uint64), *([np.zeros(0, np.int64)] * 3)
+            return *([np.zeros(0, np.uint64)] * 2), *([np.zeros(0, np.int64)] * 3)
         hashes, kind, first, end, capitals = found
         word = kind == 1
         code = hashes & ~np.uint64(3) | np.uint64(_LITERAL)
@@ -155,12 +177,13 @@ class Reader:
             literal += ~slot[k : k + n]
         total ^= total >> np.uint64(32)
         total[literal < LITERAL] = 0
-        return total, first, end, slot
+        return total, sequences(hashes[~stop], WINDOW), first, end, slot
 
 
 def template_windows(rows: DataFrame, key: list[str], bits: bytes | None = None) -> DataFrame:
-    """``key`` columns, n_windows, at, hash and slots (values in order) per window of ``rows.text``.
+    """``key`` columns, kind, n_windows, at, hash and slots (values in order) per window of ``rows.text``.
 
+    ``n_windows`` counts the usable windows of the kind in the text.
     With ``bits`` only windows that the Bloom filter knows. A null or short
     text has no windows.
     """
@@ -168,30 +191,33 @@ def template_windows(rows: DataFrame, key: list[str], bits: bytes | None = None)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            row, at, hashes, slots, counts = [], [], [], [], []
+            row, kinds, at, hashes, slots, counts = [], [], [], [], [], []
             for i, text in enumerate(batch.column(len(key))):
-                text = text.as_py() or ""
-                found, first, end, slot = reader.windows(text)
-                good = found != 0
-                if bits is not None:
-                    good &= in_bloom(bits, found)
-                usable = int((found != 0).sum())
-                for p in np.flatnonzero(good).tolist():
-                    row.append(i)
-                    at.append(p)
-                    counts.append(usable)
-                    slots.append([text[first[k] : end[k]].lower() for k in range(p, p + WINDOW) if slot[k]])
-                hashes.append(found[good])
+                text = unsharp(text.as_py() or "")
+                template, plain, first, end, slot = reader.windows(text)
+                for kind, found in ((TEMPLATE, template), (PLAIN, plain)):
+                    good = found != 0
+                    usable = int(good.sum())
+                    if bits is not None:
+                        good &= in_bloom(bits, found)
+                    for p in np.flatnonzero(good).tolist():
+                        row.append(i)
+                        kinds.append(kind)
+                        at.append(p)
+                        counts.append(usable)
+                        places = range(p, p + WINDOW) if kind == TEMPLATE else ()
+                        slots.append([text[first[k] : end[k]].lower() for k in places if slot[k]])
+                    hashes.append(found[good])
             picked = batch.select(range(len(key))).take(pa.array(row, pa.int64()))
             flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [*picked.columns, pa.array(counts, pa.int64()), pa.array(at, pa.int64()),
+                [*picked.columns, pa.array(kinds, pa.int32()), pa.array(counts, pa.int64()), pa.array(at, pa.int64()),
                  pa.array(flat.view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
-                names=[*key, "n_windows", "at", "hash", "slots"],
+                names=[*key, "kind", "n_windows", "at", "hash", "slots"],
             )
 
-    kinds = ", ".join(f"`{c}` long" for c in key)
-    schema = f"{kinds}, n_windows long, at long, hash long, slots array<string>"
+    keys = ", ".join(f"`{c}` long" for c in key)
+    schema = f"{keys}, kind int, n_windows long, at long, hash long, slots array<string>"
     columns = [F.col(c).cast("long").alias(c) for c in key]
     return rows.select(*columns, "text").mapInArrow(run, schema)
 
@@ -228,6 +254,12 @@ def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def _better(rows: pd.DataFrame) -> pd.DataFrame:
+    """The kind of windows of one document and one item that covers more of the item."""
+    found = pd.concat([_consistent(part) for _, part in rows.groupby("kind")])
+    return found.sort_values("coverage", ascending=False, kind="stable").head(1)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, tie, item_id, coverage, first_token, last_token) of documents that hold items.
 
@@ -243,12 +275,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     # Most documents have no hit and leave nothing behind here.
     hits = park(template_windows(keyed, ["doc_id", "tie"], bits).drop("n_windows"), "hits")
     ours = items.select(
-        "item_id", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
+        "item_id", "kind", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
         F.col("n_windows").alias("item_windows"),
     )
-    met = hits.join(ours, "hash").where(F.size("slots") == F.size("item_slots")).drop("hash").distinct()
+    met = hits.join(ours, ["kind", "hash"]).where(F.size("slots") == F.size("item_slots")).drop("hash").distinct()
     shape = "doc_id long, tie long, item_id long, coverage double, first_token long, last_token long"
-    held = met.groupBy("doc_id", "tie", "item_id").applyInPandas(_consistent, shape)
+    held = met.groupBy("doc_id", "tie", "item_id").applyInPandas(_better, shape)
     return held.where(F.col("coverage") >= coverage)
 
 
