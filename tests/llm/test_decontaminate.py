@@ -49,6 +49,20 @@ def test_copies_in_other_case(spark):
     assert [r["coverage"] for r in got.values()] == [1.0] * 6
 
 
+def test_items_without_a_window(spark):
+    texts = ["Compute 12 + 35 * 7 - 4 = ?", "Wer war Sokrates?", "中国的首都是哪里", "小明有12个苹果，小红有7个，一共有多少", "Zebra"]
+    benchmark = items(spark, list(enumerate(texts, 10)))
+    filler = (PROSE + ". ") * 2
+    found = [
+        filler + texts[0] + filler, filler + texts[1].upper() + filler, "例如中国的首都是哪里呢？", "请问小明有12个苹果，小红有7个，一共有多少个？",
+        "Which animal? zebra! " + filler, "it is too short here " + filler,
+    ]
+    missed = ["the zebra runs", "too short there", "中国的首都", "哪里是中国的首都", "Wer war damals Sokrates?", "12 + 35 * 7", "日本", "???"]
+    got = leaked(spark, found + missed, benchmark)
+    assert [got[i]["best_item"] for i in range(6)] == [10, 11, 12, 13, 14, 5]
+    assert not any(got[i]["leaked"] for i in range(6, 6 + len(missed)))
+
+
 def test_slots_must_agree(spark):
     rows = decontaminate.pd.DataFrame(
         [(1, 1, 1, k, k, 10, [a], [b]) for k, (a, b) in enumerate([("tom", "ann")] * 6 + [("tom", "sue")] * 3)],

@@ -11,6 +11,10 @@ What is a name depends on letter case. So windows of the plain words, without
 placeholders and without case, are joined beside the template windows; of the
 two coverages the better one counts.
 
+Items too short for a window, and items in scripts without spaces, where words
+have no edges, are also looked for whole: one hash of all their words or, in
+such scripts, characters, joined with the sequences of that length.
+
 Before the join a Bloom filter of fixed size over the benchmark's windows leaves out nearly all windows of clean documents. A
 benchmark too large for the filter makes it useless, never wrong. Joins are
 left to Spark's own size checks.
@@ -18,7 +22,7 @@ left to Spark's own size checks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -51,7 +55,13 @@ NAMES = (
     "susan robert linda jack lucy sam ben kate mark julia daniel"
 ).split()
 
-TEMPLATE, PLAIN = 0, 1  # kinds of windows
+TEMPLATE, PLAIN, WHOLE, ANCHOR = 0, 1, 2, 3  # kinds of windows; an anchor opens a whole item
+
+# Thai, Lao, Tibetan, Burmese, Khmer, kana and Chinese characters in the basic plane.
+SPACELESS = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+)
 
 _END, _LITERAL, _CAPITAL, _SLOT = 0, 1, 2, 3  # the two low bits of a token's code
 _FACTORS = np.array([xxhash.xxh64_intdigest(f"place {k}") | 1 for k in range(WINDOW)], np.uint64)
@@ -64,14 +74,18 @@ class Letters(NamedTuple):
     kind: np.ndarray
     folded: np.ndarray
     upper: np.ndarray
+    alone: np.ndarray  # letters of scripts without spaces
 
     @classmethod
     def table(cls) -> Letters:
         chars = [chr(i) for i in range(1 << 16)]
         kind = np.array([c.isalpha() + 2 * c.isdecimal() for c in chars], np.uint8)
-        kind[[ord(c) for c in ".!?:\n"]] = 3
+        kind[[ord(c) for c in ".!?:\n。！？："]] = 3
         folded = np.array([ord(c.casefold()) if len(c.casefold()) == 1 else ord(c) for c in chars], np.uint64)
-        return cls(kind, folded, np.array([c.isupper() for c in chars]))
+        alone = np.zeros(len(chars), bool)
+        for low, high in SPACELESS:
+            alone[low : high + 1] = kind[low : high + 1] == 1
+        return cls(kind, folded, np.array([c.isupper() for c in chars]), alone)
 
 
 def unsharp(text: str) -> str:
@@ -79,14 +93,36 @@ def unsharp(text: str) -> str:
     return text.replace("ß", "ss").replace("ẞ", "ss")
 
 
-def sequences(hashes: np.ndarray, length: int) -> np.ndarray:
-    """Hash of each ``length`` consecutive tokens."""
-    n = len(hashes) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    up, down = powers(len(hashes) + 1)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[: len(hashes)])])
-    return mix_bits((sums[length:] - sums[:n]) * down[:n] + np.uint64(length))
+def running(hashes: np.ndarray) -> np.ndarray:
+    """Sums from which ``sequences`` takes the hashes of stretches of tokens."""
+    up, _ = powers(len(hashes) + 1)
+    return np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[: len(hashes)])])
+
+
+def sequences(sums: np.ndarray, length: int, starts: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each ``length`` consecutive tokens, or of those at ``starts``."""
+    _, down = powers(len(sums))
+    n = max(0, len(sums) - length)
+    if starts is None:
+        return mix_bits((sums[length : length + n] - sums[:n]) * down[:n] + np.uint64(length))
+    return mix_bits((sums[starts + length] - sums[starts]) * down[starts] + np.uint64(length))
+
+
+class Words(NamedTuple):
+    """Tokens without ends of sentences; whether each opens and closes a sentence."""
+
+    hashes: np.ndarray
+    first: np.ndarray
+    opens: np.ndarray
+    closes: np.ndarray
+
+    @classmethod
+    def of(cls, found: tuple | None) -> Words:
+        if found is None or not len(found[0]):
+            return cls(np.zeros(0, np.uint64), *([np.zeros(0, np.int64)] * 3))
+        stop = found[1] == 3
+        opens, closes = np.concatenate([[True], stop[:-1]]), np.concatenate([stop[1:], [True]])
+        return cls(found[0][~stop], found[2][~stop], opens[~stop], closes[~stop])
 
 
 class Reader:
@@ -102,11 +138,12 @@ class Reader:
         self.known = np.array(sorted(known), np.uint64)
         self.slots = np.array([known[h] for h in sorted(known)], np.uint64)
 
-    def _piece(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _piece(self, text: str, fine: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hash, kind, first, end, capital letters) of the tokens of some characters.
 
         Runs of letters, runs of digits with points and commas between digits,
-        and single ends of sentences are tokens.
+        and single ends of sentences are tokens; with ``fine`` also each
+        letter of a script without spaces.
         """
         char = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), (1 << 16) - 1)
         kind = self.letters.kind[char]
@@ -116,6 +153,9 @@ class Reader:
         point[[0, -1]] = False
         kind = np.where(point, np.uint8(2), kind)
         change = np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == 3), [True]])
+        if fine:
+            alone = self.letters.alone[char]
+            change[1:-1] |= alone[1:] | alone[:-1]
         edges = np.flatnonzero(change)
         first, end = edges[:-1], edges[1:]
         some = kind[first] != 0
@@ -126,24 +166,65 @@ class Reader:
         hashes = mix_bits((sums[end] - sums[first]) * down[first])
         return hashes, kind[first], first, end, capitals[end] - capitals[first]
 
-    def tokens(self, text: str):
+    def tokens(self, text: str, fine: bool = False):
         """As ``_piece`` for a whole text, read ``PIECE`` characters and up to a space at a time.
 
         A run of ``PIECE`` characters and more without any space may be cut.
         """
         if len(text) <= PIECE:
-            return self._piece(text) if text else None
+            return self._piece(text, fine) if text else None
         found, at = [], 0
         while at < len(text):
             end = text.find(" ", at + PIECE, at + 2 * PIECE)
             end = min(len(text), at + 2 * PIECE) if end < 0 else end
-            part = self._piece(text[at:end])
+            part = self._piece(text[at:end], fine)
             found.append((part[0], part[1], part[2] + at, part[3] + at, part[4]))
             at = end
         return tuple(map(np.concatenate, zip(*found, strict=True)))
 
-    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hash of each template window, of each plain window; first, end and is a slot of each token) of a text.
+    def spaceless(self, text: str) -> bool:
+        """Whether a text has letters of a script without spaces."""
+        if text.isascii():
+            return False
+        char = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        return bool(char.max() >= SPACELESS[0][0] and self.letters.alone[np.minimum(char, (1 << 16) - 1)].any())
+
+    def own_key(self, text: str) -> list[tuple[int, int, int]]:
+        """(kind, hash, length) by which an item is looked for whole, if it is."""
+        spaceless = self.spaceless(text)
+        words = Words.of(self.tokens(text, spaceless))
+        length = len(words.hashes)
+        if not length or (length >= WINDOW and not spaceless):
+            return []
+        sums = running(words.hashes)
+        keys = [(WHOLE, int(sequences(sums, length)[0]), length)]
+        if length >= WINDOW:
+            keys.append((ANCHOR, int(sequences(sums, WINDOW)[0]), WINDOW))
+        return keys
+
+    def whole(self, text: str, words: Words, lengths: list[int], bits: bytes) -> Iterator[tuple[int, int, np.uint64]]:
+        """(first, last token, hash) of the sequences of some lengths that the Bloom filter knows.
+
+        One or two words alone are no question: such items must be a sentence
+        of their own.
+        """
+        fine = words
+        if spaceless := self.spaceless(text):
+            fine = Words.of(self.tokens(text, True))
+        sums, n = running(fine.hashes), len(fine.hashes)
+        anchors = np.flatnonzero(in_bloom(bits, sequences(sums, WINDOW))) if spaceless else np.zeros(0, np.int64)
+        for length in lengths:
+            starts = np.arange(max(0, n - length + 1)) if length < WINDOW else anchors[anchors + length <= n]
+            if length < LITERAL:
+                starts = starts[(fine.opens[starts] & fine.closes[starts + length - 1]).astype(bool)]
+            hashes = sequences(sums, length, starts)
+            known = in_bloom(bits, hashes)
+            for p, found in zip(starts[known].tolist(), hashes[known], strict=True):
+                ends = np.searchsorted(words.first, fine.first[[p, p + length - 1]], "right") - 1
+                yield int(ends[0]), int(ends[1]), found
+
+    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, Words]:
+        """(hash of each template window, of each plain window; first, end and is a slot of each token; words) of a text.
 
         In templates a capitalised word is a name unless it opens a sentence,
         and windows with fewer than ``LITERAL`` literal tokens say too little:
@@ -151,7 +232,7 @@ class Reader:
         """
         found = self.tokens(text)
         if found is None or not len(found[0]):
-            return *([np.zeros(0, np.uint64)] * 2), *([np.zeros(0, np.int64)] * 3)
+            return *([np.zeros(0, np.uint64)] * 2), *([np.zeros(0, np.int64)] * 3), Words.of(None)
         hashes, kind, first, end, capitals = found
         word = kind == 1
         code = hashes & ~np.uint64(3) | np.uint64(_LITERAL)
@@ -177,24 +258,28 @@ class Reader:
             literal += ~slot[k : k + n]
         total ^= total >> np.uint64(32)
         total[literal < LITERAL] = 0
-        return total, sequences(hashes[~stop], WINDOW), first, end, slot
+        words = Words.of(found)
+        return total, sequences(running(words.hashes), WINDOW), first, end, slot, words
 
 
-def template_windows(rows: DataFrame, key: list[str], bits: bytes | None = None) -> DataFrame:
-    """``key`` columns, kind, n_windows, at, hash and slots (values in order) per window of ``rows.text``.
+def template_windows(
+    rows: DataFrame, key: list[str], bits: bytes | None = None, lengths: Iterable[int] = ()
+) -> DataFrame:
+    """``key`` columns, kind, n_windows, at, last, hash and slots (values in order) per window of ``rows.text``.
 
     ``n_windows`` counts the usable windows of the kind in the text.
-    With ``bits`` only windows that the Bloom filter knows. A null or short
-    text has no windows.
+    With ``bits`` only windows that the Bloom filter knows, and sequences of
+    ``lengths`` tokens that it knows. A null or short text has no windows.
     """
+    lengths = sorted(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            row, kinds, at, hashes, slots, counts = [], [], [], [], [], []
+            row, kinds, at, last, hashes, slots, counts = [], [], [], [], [], [], []
             for i, text in enumerate(batch.column(len(key))):
                 text = unsharp(text.as_py() or "")
-                template, plain, first, end, slot = reader.windows(text)
+                template, plain, first, end, slot, words = reader.windows(text)
                 for kind, found in ((TEMPLATE, template), (PLAIN, plain)):
                     good = found != 0
                     usable = int(good.sum())
@@ -204,24 +289,55 @@ def template_windows(rows: DataFrame, key: list[str], bits: bytes | None = None)
                         row.append(i)
                         kinds.append(kind)
                         at.append(p)
+                        last.append(p + WINDOW - 1)
                         counts.append(usable)
                         places = range(p, p + WINDOW) if kind == TEMPLATE else ()
                         slots.append([text[first[k] : end[k]].lower() for k in places if slot[k]])
                     hashes.append(found[good])
+                for p, q, found in reader.whole(text, words, lengths, bits) if lengths else ():
+                    row.append(i)
+                    kinds.append(WHOLE)
+                    at.append(p)
+                    last.append(q)
+                    counts.append(1)
+                    slots.append([])
+                    hashes.append(np.array([found]))
             picked = batch.select(range(len(key))).take(pa.array(row, pa.int64()))
             flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [*picked.columns, pa.array(kinds, pa.int32()), pa.array(counts, pa.int64()), pa.array(at, pa.int64()),
-                 pa.array(flat.view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
-                names=[*key, "kind", "n_windows", "at", "hash", "slots"],
+                 pa.array(last, pa.int64()), pa.array(flat.view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
+                names=[*key, "kind", "n_windows", "at", "last", "hash", "slots"],
             )
 
     keys = ", ".join(f"`{c}` long" for c in key)
-    schema = f"{keys}, kind int, n_windows long, at long, hash long, slots array<string>"
+    schema = f"{keys}, kind int, n_windows long, at long, last long, hash long, slots array<string>"
     columns = [F.col(c).cast("long").alias(c) for c in key]
     return rows.select(*columns, "text").mapInArrow(run, schema)
 
 
+def whole_items(benchmark: DataFrame) -> DataFrame:
+    """As ``template_windows``: the keys of the items that are looked for whole."""
+
+    schema = "item_id long, kind int, n_windows long, at long, last long, hash long, slots array<string>"
+    shape = pa.schema([
+        ("item_id", pa.int64()), ("kind", pa.int32()), ("n_windows", pa.int64()), ("at", pa.int64()),
+        ("last", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader()
+        for batch in batches:
+            rows = [
+                (item, kind, 1, 0, length - 1, int(np.uint64(key).astype(np.int64)), [])
+                for item, text in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+                for kind, key, length in reader.own_key(unsharp(text or ""))
+            ]
+            yield pa.RecordBatch.from_pylist([dict(zip(shape.names, row, strict=True)) for row in rows], shape)
+
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(run, schema)
+
+
 def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
     """Best stretch of one document for one item: covered share of the item's windows.
 
@@ -256,7 +372,15 @@ def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _better(rows: pd.DataFrame) -> pd.DataFrame:
     """The kind of windows of one document and one item that covers more of the item."""
-    found = pd.concat([_consistent(part) for _, part in rows.groupby("kind")])
+    parts = {kind: part for kind, part in rows.groupby("kind")}
+    found = [_consistent(part) for kind, part in parts.items() if kind != WHOLE]
+    if WHOLE in parts:
+        first = parts[WHOLE].sort_values("at").head(1)
+        names = {"at": "first_token", "last": "last_token"}
+        found.append(first.assign(coverage=1.0).rename(columns=names)[
+            ["doc_id", "tie", "item_id", "coverage", "first_token", "last_token"]
+        ])
+    found = pd.concat(found)
     return found.sort_values("coverage", ascending=False, kind="stable").head(1)
 
 
@@ -266,14 +390,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other
     columns are not read. ``tie`` is the hash of the text: it tells rows
     without or with the same doc_id apart, and equal rows are found once.
-    Null texts and texts shorter than a window hold and leak nothing. No rows
-    on either side give no rows.
+    Null texts and texts without letters and digits hold and leak nothing. No
+    rows on either side give no rows.
     """
-    items = park(template_windows(benchmark, ["item_id"]), "items")
+    items = park(template_windows(benchmark, ["item_id"]).union(whole_items(benchmark)), "items")
     bits = bloom_bits(items, "hash")
+    lengths = [r["n"] for r in items.where(F.col("kind") == WHOLE).select((F.col("last") + 1).alias("n")).distinct().collect()]
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
     # Most documents have no hit and leave nothing behind here.
-    hits = park(template_windows(keyed, ["doc_id", "tie"], bits).drop("n_windows"), "hits")
+    hits = park(template_windows(keyed, ["doc_id", "tie"], bits, lengths).drop("n_windows"), "hits")
     ours = items.select(
         "item_id", "kind", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
         F.col("n_windows").alias("item_windows"),
