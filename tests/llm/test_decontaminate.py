@@ -71,6 +71,22 @@ def test_slots_must_agree(spark):
     assert decontaminate._consistent(rows)["coverage"].tolist() == [0.6]
 
 
+def test_copies_that_follow_each_other():
+    # Three copies of twelve windows with two slots each. The vote of all for
+    # each slot is a tie; its largest value stands in the first or the last copy.
+    word = lambda copy, n: ("z" if copy == n % 2 * 2 else "y" if copy == 1 else "a") + str(n)
+    hits = [
+        (1, 1, 1, copy * 16 + k, k, 12, [f"n{n}" for n in (k, (k + 1) % 12)], [word(copy, n) for n in (k, (k + 1) % 12)])
+        for copy in range(3) for k in range(12)
+    ]
+    columns = ["doc_id", "tie", "item_id", "at", "item_at", "item_windows", "item_slots", "slots"]
+    got = decontaminate._consistent(decontaminate.pd.DataFrame(hits, columns=columns))
+    assert got[["coverage", "first_token", "last_token"]].values.tolist() == [[1.0, 0, 15]]
+    # A word more in the middle of each copy.
+    longer = [(*h[:3], h[3] + h[3] // 16 + (h[4] > 5), *h[4:]) for h in hits]
+    assert decontaminate._consistent(decontaminate.pd.DataFrame(longer, columns=columns))["coverage"].tolist() == [1.0]
+
+
 def test_hits_far_apart_do_not_add_up(spark):
     words = OTHER.split()
     filler = " " + " ".join(f"f{i} g h" for i in range(200)) + " "

@@ -4,7 +4,7 @@ Numbers, names and units become typed placeholders, so a question asked again
 with other values has the template windows of the original. Windows of
 ``WINDOW`` tokens of all documents and all items meet in a hash join; what
 each placeholder stood for comes along. A document holds an item if, in one
-stretch of it, enough of the item's windows occur with consistent slots: a
+stretch or alignment of it, enough of the item's windows occur with consistent slots: a
 value of the item must become the same value wherever it occurs.
 
 What is a name depends on letter case. So windows of the plain words, without
@@ -338,31 +338,55 @@ def whole_items(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(run, schema)
 
 
-def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
-    """Best stretch of one document for one item: covered share of the item's windows.
+def _agreeing(hits: list[tuple]) -> set[int]:
+    """Places in the item of the hits (at, item_at, item's slots, document's) whose slots agree.
 
-    Stretches are cut where the next hit is further away than the item is
-    long. In a stretch each value of the item keeps the value it mostly
-    becomes, and windows that say otherwise do not count.
+    Each value of the item keeps the value it mostly becomes, and windows
+    that say otherwise do not count.
+    """
+    votes: dict[str, dict[str, int]] = {}
+    for _, _, ours, theirs in hits:
+        for a, b in zip(ours, theirs, strict=True):
+            votes.setdefault(a, {}).setdefault(b, 0)
+            votes[a][b] += 1
+    means = {a: max(v, key=lambda b: (v[b], b)) for a, v in votes.items()}
+    return {p for _, p, ours, theirs in hits if all(means[a] == b for a, b in zip(ours, theirs, strict=True))}
+
+
+def _groups(hits: list[tuple], item: int) -> Iterator[list[tuple]]:
+    """Hits that may be one copy of an item of so many windows.
+
+    Stretches, cut where the next hit is further away than the item is long;
+    and, as copies may follow each other directly, hits at like distances from
+    their places in the item: the same distance, and a few or up to half an
+    item of words more or less.
     """
+    cuts = [k for k in range(1, len(hits)) if hits[k][0] - hits[k - 1][0] > item + WINDOW]
+    for low, high in zip([0, *cuts], [*cuts, len(hits)], strict=True):
+        yield hits[low:high]
+    hits = sorted(hits, key=lambda h: h[0] - h[1])
+    shifts = np.array([h[0] - h[1] for h in hits])
+    centres = np.unique(shifts)
+    if len(centres) == 1 and not cuts:
+        return
+    for width in sorted({0, WINDOW, item // 2}):
+        lows, highs = np.searchsorted(shifts, centres - width), np.searchsorted(shifts, centres + width, "right")
+        for low, high in dict.fromkeys(zip(lows.tolist(), highs.tolist(), strict=True)):
+            yield hits[low:high]
+
+
+def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
+    """Best copy of one item in one document: covered share of the item's windows."""
     rows = rows.sort_values(["at", "item_at"], kind="stable")
     item = int(rows["item_windows"].iloc[0])
-    cut = (rows["at"].diff().fillna(0) > item + WINDOW).cumsum()
+    hits = list(zip(*(rows[c].tolist() for c in ("at", "item_at", "item_slots", "slots")), strict=True))
     best, place = 0, (0, 0)
-    for _, part in rows.groupby(cut):
-        votes: dict[str, dict[str, int]] = {}
-        for ours, theirs in zip(part["item_slots"], part["slots"], strict=True):
-            for a, b in zip(ours, theirs, strict=True):
-                votes.setdefault(a, {}).setdefault(b, 0)
-                votes[a][b] += 1
-        means = {a: max(v, key=lambda b: (v[b], b)) for a, v in votes.items()}
-        good = [
-            at
-            for at, ours, theirs in zip(part["item_at"], part["item_slots"], part["slots"], strict=True)
-            if all(means[a] == b for a, b in zip(ours, theirs, strict=True))
-        ]
-        if len(set(good)) > best:
-            best, place = len(set(good)), (int(part["at"].min()), int(part["at"].max()) + WINDOW - 1)
+    for group in _groups(hits, item):
+        if best >= item:
+            break
+        if len(group) > best and (covered := len(_agreeing(group))) > best:
+            places = [h[0] for h in group]
+            best, place = covered, (min(places), max(places) + WINDOW - 1)
     first = rows.iloc[0]
     return pd.DataFrame(
         [[first["doc_id"], first["tie"], first["item_id"], best / item, *place]],
