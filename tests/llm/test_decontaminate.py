@@ -87,6 +87,21 @@ def test_copies_that_follow_each_other():
     assert decontaminate._consistent(decontaminate.pd.DataFrame(longer, columns=columns))["coverage"].tolist() == [1.0]
 
 
+def test_a_long_run_of_a_longer_item(spark):
+    words = [f"{a}{b}" for a in ("ba", "ce", "di", "fo", "gu", "ha", "je", "ki", "lo", "mu") for b in "bcdfghjklmnpqrstvwxz"]
+    benchmark = items(spark, [(8, " ".join(words))])
+    filler = " " + (PROSE + ". ") * 2
+    got = leaked(spark, [filler + " ".join(words[50 : 50 + n]) + filler for n in (90, 13, 12)], benchmark)
+    assert [(r["leaked"], r["best_item"]) for r in got.values()] == [(True, 8), (True, 8), (False, None)]
+    assert got[0]["coverage"] == 86 / 196
+
+
+def test_slots_of_a_run_must_agree():
+    hits = [(k, k, ["tom"], ["ann" if k < 7 else "sue"]) for k in range(20)]
+    assert decontaminate._longest_run(hits) == 13
+    assert decontaminate._longest_run([h for h in hits if h[0] != 10]) == 9
+
+
 def test_hits_far_apart_do_not_add_up(spark):
     words = OTHER.split()
     filler = " " + " ".join(f"f{i} g h" for i in range(200)) + " "

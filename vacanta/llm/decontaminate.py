@@ -5,7 +5,8 @@ with other values has the template windows of the original. Windows of
 ``WINDOW`` tokens of all documents and all items meet in a hash join; what
 each placeholder stood for comes along. A document holds an item if, in one
 stretch or alignment of it, enough of the item's windows occur with consistent slots: a
-value of the item must become the same value wherever it occurs.
+value of the item must become the same value wherever it occurs. So does a
+document with a run of ``RUN`` or more tokens of an item, however long that is.
 
 What is a name depends on letter case. So windows of the plain words, without
 placeholders and without case, are joined beside the template windows; of the
@@ -37,6 +38,7 @@ from vacanta.llm.common import bloom_bits, in_bloom, mix_bits, park, powers
 WINDOW = 5
 LITERAL = 3  # tokens of a window that must be no placeholders
 COVERAGE = 0.5  # of an item's windows
+RUN = 13  # consecutive tokens of an item that are a leak, whatever share of it
 PIECE = 1 << 20  # characters of a text that are read at once
 
 # Fixed values.
@@ -375,8 +377,32 @@ def _groups(hits: list[tuple], item: int) -> Iterator[list[tuple]]:
             yield hits[low:high]
 
 
+def _longest_run(hits: list[tuple]) -> int:
+    """Windows of the longest run of consecutive ones with agreeing slots."""
+    best = 0
+    shift, start, end = None, 0, 0  # of the run
+    means: dict[str, tuple[str, int]] = {}  # value in the document, last seen at
+    for at, item_at, ours, theirs in sorted(hits, key=lambda h: (h[0] - h[1], h[0])):
+        if at - item_at != shift or at != end:
+            shift, start, means = at - item_at, at, {}
+        end = at + 1
+        here: dict[str, str] = {}
+        for a, b in zip(ours, theirs, strict=True):
+            if here.setdefault(a, b) != b:
+                start = end  # disagrees with itself
+            elif a in means and means[a][0] != b:
+                start = max(start, means[a][1] + 1)
+        for a, b in here.items():
+            means[a] = (b, at)
+        if start == end:
+            means = {}
+        if end - start > best:
+            best = end - start
+    return best
+
+
 def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
-    """Best copy of one item in one document: covered share of the item's windows."""
+    """Best copy of one item in one document: covered share of the item's windows, longest run of tokens."""
     rows = rows.sort_values(["at", "item_at"], kind="stable")
     item = int(rows["item_windows"].iloc[0])
     hits = list(zip(*(rows[c].tolist() for c in ("at", "item_at", "item_slots", "slots")), strict=True))
@@ -387,10 +413,11 @@ def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
         if len(group) > best and (covered := len(_agreeing(group))) > best:
             places = [h[0] for h in group]
             best, place = covered, (min(places), max(places) + WINDOW - 1)
+    windows = _longest_run(hits)
     first = rows.iloc[0]
     return pd.DataFrame(
-        [[first["doc_id"], first["tie"], first["item_id"], best / item, *place]],
-        columns=["doc_id", "tie", "item_id", "coverage", "first_token", "last_token"],
+        [[first["doc_id"], first["tie"], first["item_id"], best / item, *place, windows + WINDOW - 1 if windows else 0]],
+        columns=["doc_id", "tie", "item_id", "coverage", "first_token", "last_token", "run"],
     )
 
 
@@ -401,15 +428,17 @@ def _better(rows: pd.DataFrame) -> pd.DataFrame:
     if WHOLE in parts:
         first = parts[WHOLE].sort_values("at").head(1)
         names = {"at": "first_token", "last": "last_token"}
-        found.append(first.assign(coverage=1.0).rename(columns=names)[
-            ["doc_id", "tie", "item_id", "coverage", "first_token", "last_token"]
+        found.append(first.assign(coverage=1.0, run=first["last"] + 1 - first["at"]).rename(columns=names)[
+            ["doc_id", "tie", "item_id", "coverage", "first_token", "last_token", "run"]
         ])
     found = pd.concat(found)
-    return found.sort_values("coverage", ascending=False, kind="stable").head(1)
+    return found.sort_values("coverage", ascending=False, kind="stable").head(1).assign(run=found["run"].max())
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """(doc_id, tie, item_id, coverage, first_token, last_token) of documents that hold items.
+    """(doc_id, tie, item_id, coverage, first_token, last_token, run) of documents that hold items.
+
+    They hold ``coverage`` of an item's windows or a run of ``RUN`` tokens.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other
     columns are not read. ``tie`` is the hash of the text: it tells rows
@@ -428,13 +457,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
         F.col("n_windows").alias("item_windows"),
     )
     met = hits.join(ours, ["kind", "hash"]).where(F.size("slots") == F.size("item_slots")).drop("hash").distinct()
-    shape = "doc_id long, tie long, item_id long, coverage double, first_token long, last_token long"
+    shape = "doc_id long, tie long, item_id long, coverage double, first_token long, last_token long, run long"
     held = met.groupBy("doc_id", "tie", "item_id").applyInPandas(_better, shape)
-    return held.where(F.col("coverage") >= coverage)
+    return held.where((F.col("coverage") >= coverage) | (F.col("run") >= RUN))
 
 
 def mark_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """Per row of ``docs``: doc_id, leaked, n_items, best_item, coverage (0 without hit)."""
+    """Per row of ``docs``: doc_id, leaked, n_items, best_item, coverage (0 where nothing leaked)."""
     leaks = find_leaks(docs, benchmark, coverage).groupBy(F.col("doc_id").alias("id"), "tie").agg(
         F.count("*").alias("n_items"), F.max(F.struct("coverage", -F.col("item_id"))).alias("best")
     )
