@@ -11,6 +11,7 @@ from vacanta.llm import (
     byte_cnn,
     decontaminate,
     license_scan,
+    line_dedup,
     minhash,
     mixing,
     quality_rules,
@@ -116,6 +117,12 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(byte_cnn.score(docs, net), 0.3)
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, those dropped, and the checksum of what is kept."""
+    kept = line_dedup.dedupe_lines(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
@@ -127,9 +134,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_byte_cnn": op10_byte_cnn,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op2_url_filter": url_filter.oracle(),
     "op4_quality_rules": quality_rules.oracle(),
+    "op12_line_dedup": line_dedup.oracle(),
 }
