@@ -1,0 +1,103 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tests.compare import duck, duck_table, spark_table, table
+from vacanta.llm import centroids, queries
+
+EMBEDDINGS = "vec_id long, embedding array<float>, cluster string, distance long, v string"
+
+
+def brute(rows, k=16, rounds=3):
+    """All distances by plain integers."""
+    kept = []
+    for vec_id, x in rows:
+        if x is not None and len(x) == 64 and all(c is not None and math.isfinite(c) for c in x):
+            kept.append((vec_id, [math.floor(64 * float(np.float32(c))) for c in x]))
+    name = lambda i: (1, "") if i is None else (0, hashlib.sha256(f"1:{i}".encode()).hexdigest())
+    means = [v for _, v in sorted(kept, key=lambda r: (name(r[0]), r[1]))[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, m)), c) for c, m in enumerate(means))
+
+    for _ in range(rounds):
+        found = [nearest(v)[1] for _, v in kept]
+        for c in set(found):
+            mine = [v for (_, v), f in zip(kept, found) if f == c]
+            means[c] = [sum(column) // len(mine) for column in zip(*mine)]
+    out = [(i, *reversed(nearest(v))) for i, v in kept]
+    spread = {c: sum(d for _, f, d in out if f == c) for _, c, _ in out}
+    sha = {c: hashlib.sha256(",".join(map(str, means[c])).encode()).hexdigest() for c in spread}
+    return [(i, c, d, spread[c], sum(spread.values()), sha[c]) for i, c, d in out]
+
+
+COLUMNS = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+
+
+def run(spark, rows):
+    frame = spark.createDataFrame([(i, x, "mine", 7, "v") for i, x in rows], EMBEDDINGS).repartition(3)
+    vectors = centroids.integer_vectors(frame)
+    return centroids.with_inertia(*centroids.cluster(vectors)).select(*COLUMNS)
+
+
+def vectors_of(seed, n, values):
+    rng = random.Random(seed)
+    return [(i, [rng.choice(values) for _ in range(64)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 16, 60])
+def test_awkward_vectors_against_all_distances(spark, n):
+    rows = vectors_of(n, n, [-1.5, -0.01, 0.0, 0.01, 0.3])
+    if n:
+        one = rows[0][1]
+        rows += [
+            (1, one), (1, one), (1, rows[-1][1]), (None, one), (None, [0.5] * 64), (100, None), (101, []), (102, [0.1] * 63),
+            (103, [0.1] * 65), (104, [float("nan"), *one[1:]]), (105, [float("-inf"), *one[1:]]), (106, [None, *one[1:]]),
+            (2**62, [1e5] * 64), (-5, [-1e5] * 64),
+        ]
+    assert spark_table(run(spark, rows)) == table(COLUMNS, brute(rows))
+
+
+def test_ties_go_to_the_smaller_number(spark):
+    # Whole numbers on a small grid: many vectors lie halfway between centroids.
+    rows = vectors_of(5, 150, [0.0, 1 / 64]) + vectors_of(6, 150, [0.0, 0.0, 0.0, 2 / 64])
+    assert spark_table(run(spark, rows)) == table(COLUMNS, brute(rows))
+
+
+def test_components_no_long_can_square_are_left_out(spark):
+    rows = [(1, [0.0] * 64), (2, [3e38] * 64), (3, [float(2**21)] * 64), (4, [float(-(2**21))] * 64), (5, [2.0**21 + 1] * 64)]
+    got = run(spark, rows).collect()
+    assert sorted(r["vec_id"] for r in got) == [1, 3, 4]
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 16, 100])
+def test_search_equals_all_distances(seed, k):
+    rng = np.random.default_rng(seed)
+    width, span = [(2, 3), (2, 40), (64, 2), (64, 200), (3, 1 << 27), (1, 5)][seed]
+    means = rng.integers(-span, span + 1, (k, width))
+    points = rng.integers(-span, span + 1, (500, width))
+    means[k // 2] = means[0]  # equal centroids
+    nearest, square, _ = centroids.search(centroids.build_tree(means), points)
+    gaps = points[:, None, :] - means[None]
+    every = (gaps * gaps).sum(2)
+    assert (nearest == every.argmin(1)).all() and (square == every.min(1)).all()
+
+
+def test_the_tree_saves_distances_where_centroids_lie_apart():
+    rng = np.random.default_rng(1)
+    means = rng.integers(-5000, 5000, (16, 3))
+    points = means[rng.integers(0, 16, 2000)] + rng.integers(-30, 31, (2000, 3))
+    _, _, taken = centroids.search(centroids.build_tree(means), points)
+    assert taken < 2000 * 16 * 0.6
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, sf):
+    sf_dir = f"/root/testdata/{sf}"
+    want = duck_table(duck(sf_dir), queries.ORACLES["op11_centroids"])
+    assert spark_table(queries.QUERIES["op11_centroids"](spark, sf_dir)) == want
+    assert len(want[1]) > 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vacanta.llm import (
     byte_cnn,
+    centroids,
     decontaminate,
     license_scan,
     line_dedup,
@@ -117,6 +118,13 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(byte_cnn.score(docs, net), 0.3)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every whole vector after three rounds, and the inertias."""
+    vectors = centroids.integer_vectors(read(spark, sf_dir, "embeddings"))
+    clustered = centroids.with_inertia(*centroids.cluster(vectors))
+    return clustered.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, those dropped, and the checksum of what is kept."""
     kept = line_dedup.dedupe_lines(read(spark, sf_dir, "documents"))
@@ -134,11 +142,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_byte_cnn": op10_byte_cnn,
+    "op11_centroids": op11_centroids,
     "op12_line_dedup": op12_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op2_url_filter": url_filter.oracle(),
     "op4_quality_rules": quality_rules.oracle(),
+    "op11_centroids": centroids.oracle(),
     "op12_line_dedup": line_dedup.oracle(),
 }
