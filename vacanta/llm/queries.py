@@ -11,6 +11,7 @@ from vacanta.llm import (
     byte_cnn,
     centroids,
     decontaminate,
+    lexical_search,
     license_scan,
     line_dedup,
     minhash,
@@ -131,6 +132,12 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for every benchmark item."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
@@ -144,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_cnn": op10_byte_cnn,
     "op11_centroids": op11_centroids,
     "op12_line_dedup": op12_line_dedup,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -151,4 +159,5 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": quality_rules.oracle(),
     "op11_centroids": centroids.oracle(),
     "op12_line_dedup": line_dedup.oracle(),
+    "op13_lexical_search": lexical_search.oracle(),
 }
