@@ -136,3 +136,28 @@ def test_rows_without_order_or_outcome(spark):
     got = {r["source"]: (r["current_streak"], r["max_streak"]) for r in ordered.failure_runs(log, "ok").collect()}
     assert got == {1: (1, 1), None: (1, 1)}
     assert {r["source"]: r["rows"] for r in ordered.rows_without_order(log).collect()} == {1: 1, None: 2}
+
+
+@pytest.mark.parametrize("fold,levels", [(2, 3), (5, 2), (1 << 17, 2)])
+def test_runs_and_totals_from_one_fold(spark, monkeypatch, fold, levels):
+    monkeypatch.setattr(ordered, "FOLD", fold)
+    monkeypatch.setattr(ordered, "FOLD_LEVELS", levels)
+    rows = [(None if s == 3 else s, None if i % 17 == 0 else seq - 300, None if i % 13 == 0 else ok)
+            for i, (s, seq, ok) in enumerate(random_log(21))] + [(77, None, True), (77, None, False)]
+    totals = {"rows": F.count("*"), "good": F.count_if("ok"), "first": F.min("seq")}
+    merges = {"rows": F.sum("rows"), "good": F.sum("good"), "first": F.min("first")}
+    got = ordered.runs_and_totals(frame(spark, rows), "ok", totals, merges, 7).collect()
+    want = {}
+    for source in {r[0] for r in rows}:
+        mine = [(seq, bool(ok)) for s, seq, ok in rows if s == source]
+        history = sorted(h for h in mine if h[0] is not None)
+        want[source] = (len(mine), sum(ok for _, ok in mine), min((h[0] for h in history), default=None), *runs(history))
+    assert {r["source"]: tuple(r)[1:] for r in got} == want
+
+
+@pytest.mark.parametrize("limit", [1, 2, 3, 9])
+def test_streaks_from_a_length_on(spark, limit):
+    rows = random_log(31)
+    got = ordered.failures_with_streak(frame(spark, rows), "ok", 16, at_least=limit).collect()
+    want = {(s, seq, n) for s, h in by_source(rows).items() for seq, n in places(h).items() if n >= limit}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)

@@ -61,3 +61,10 @@ def test_scans_read_only_what_is_used(spark, sf_dir):
 
 def test_keys_name_a_task():
     assert TASK_KEYS == ["run", "kw", "city"]
+
+
+@pytest.mark.parametrize(
+    "name,scans", [("failure_runs", 1), ("consecutive_failures", 1), ("check_report", 2), ("diagnosis", 2), ("health_verdict", 2)]
+)
+def test_totals_and_runs_share_a_scan(spark, sf_dir, name, scans):
+    assert plan(spark, sf_dir, name).count("FileScan") == scans

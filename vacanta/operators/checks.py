@@ -11,45 +11,58 @@ from vacanta import fixed_values as fixed
 from vacanta.functions.numbers import percent, round_exact
 from vacanta.functions.text import contains_ci
 from vacanta.operators.ordered import (
-    CHUNK_ROWS,
+    CODE_ROWS,
     failure_runs,
     failures_with_streak,
     join_by_source,
     last_rows,
+    runs_and_totals,
     with_known,
 )
 
 
-def check_totals(log: DataFrame) -> DataFrame:
-    """Per source: counts, success rate and last check, success and failure."""
-    counts = with_known(log, "ok").groupBy("source").agg(
-        F.count("*").alias("total_checks"),
-        F.count_if("ok").alias("successful_checks"),
-        F.count_if(~F.col("ok")).alias("failed_checks"),
-        F.max("ts").alias("last_check_time"),
-        F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_success_time"),
-        F.max(F.when(~F.col("ok"), F.col("ts"))).alias("last_failure_time"),
-    )
+def _totals() -> dict[str, Column]:
+    return {
+        "total_checks": F.count("*"),
+        "successful_checks": F.count_if("ok"),
+        "failed_checks": F.count_if(~F.col("ok")),
+        "last_check_time": F.max("ts"),
+        "last_success_time": F.max(F.when(F.col("ok"), F.col("ts"))),
+        "last_failure_time": F.max(F.when(~F.col("ok"), F.col("ts"))),
+    }
+
+
+def _with_rate(counts: DataFrame) -> DataFrame:
     return counts.withColumn(
         "success_rate", percent(F.col("successful_checks"), F.col("total_checks"))
     )
 
 
-def check_runs(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def check_totals(log: DataFrame) -> DataFrame:
+    """Per source: counts, success rate and last check, success and failure."""
+    return _with_rate(
+        with_known(log, "ok").groupBy("source").agg(*[c.alias(n) for n, c in _totals().items()])
+    )
+
+
+def check_summary(log: DataFrame, chunk_rows: int = CODE_ROWS) -> DataFrame:
+    """``check_totals`` with the current and the longest run of failures, from one scan."""
+    totals = _totals()
+    merges = {n: F.max(n) if n.endswith("_time") else F.sum(n) for n in totals}
+    rows = log.select("source", "seq", "ts", "ok")
+    return _with_rate(runs_and_totals(rows, "ok", totals, merges, chunk_rows))
+
+
+def check_runs(log: DataFrame, chunk_rows: int = CODE_ROWS) -> DataFrame:
     """Per source: current and longest run of failed checks."""
     return failure_runs(log, "ok", chunk_rows)
 
 
 def streak_alerts(
-    log: DataFrame, limit: int = fixed.ALERT_STREAK, chunk_rows: int = CHUNK_ROWS
+    log: DataFrame, limit: int = fixed.ALERT_STREAK, chunk_rows: int = CODE_ROWS
 ) -> DataFrame:
     """Every failed check that is at least the ``limit``-th in a row."""
-    rows = log.select("source", "seq", "ok")
-    return (
-        failures_with_streak(rows, "ok", chunk_rows)
-        .where(F.col("streak") >= limit)
-        .select("source", "seq", "streak")
-    )
+    return failures_with_streak(log, "ok", chunk_rows, at_least=limit)
 
 
 def last_errors(log: DataFrame, n: int = fixed.ERRORS_KEPT) -> DataFrame:
@@ -77,7 +90,7 @@ def error_patterns(log: DataFrame, n: int = fixed.ERRORS_ANALYSED) -> DataFrame:
     )
 
 
-def diagnosis(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def diagnosis(log: DataFrame, chunk_rows: int = CODE_ROWS) -> DataFrame:
     """Findings and suggestions per source, one line per row.
 
     ``kind`` is ``diagnosis`` or ``suggestion``; ``line_no`` orders the lines.
@@ -101,9 +114,8 @@ def diagnosis(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
             F.collect_list(F.when(F.col("pattern").isNotNull(), F.struct("first_seq", line.alias("line"))))
         ).alias("patterns"),
     )
-    facts = join_by_source(check_totals(log), check_runs(log, chunk_rows), "left")
-    facts = join_by_source(facts, errors, "left")
-    streak, rate = F.coalesce("current_streak", F.lit(0)), F.col("success_rate")
+    facts = join_by_source(check_summary(log, chunk_rows), errors, "left")
+    streak, rate = F.col("current_streak"), F.col("success_rate")
     rate_text = round_exact(rate, 1).cast("string")
     pattern_lines = F.coalesce(F.col("patterns.line"), F.array().cast("array<string>"))
     none = F.array().cast("array<string>")
@@ -138,14 +150,12 @@ def diagnosis(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     ).select("source", "kind", F.posexplode("lines").alias("line_no", "line"))
 
 
-def check_report(log: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def check_report(log: DataFrame, chunk_rows: int = CODE_ROWS) -> DataFrame:
     """One row per source: totals, streaks and its last five errors, oldest first."""
     shown = last_errors(log, fixed.ERRORS_SHOWN).groupBy("source").agg(
         F.array_sort(F.collect_list(F.struct("seq", "ts", "error"))).alias("last_errors")
     )
-    both = join_by_source(check_totals(log), check_runs(log, chunk_rows), "left")
-    no_run = {n: F.coalesce(n, F.lit(0)) for n in ("current_streak", "max_streak")}
-    return join_by_source(both.withColumns(no_run), shown, "left")
+    return join_by_source(check_summary(log, chunk_rows), shown, "left")
 
 
 def missing_details(spark: SparkSession, error: str | None = None) -> DataFrame:

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 CHUNK_ROWS = 1 << 18
 FAN = 1 << 18
 LEVELS = 2  # 2^18 numbers a chunk, 2^36 a group, 2^54 a group of groups: 1024 of these at most
+CODE_ROWS = 1 << 14  # numbers of a chunk whose outcomes are gathered in one array
+FOLD, FOLD_LEVELS = 1 << 17, 2  # chunks folded to one: 2^48 numbers, 2^16 of these at most
 FIRST = -(1 << 62)  # a chunk before any other
 
 
@@ -114,86 +116,184 @@ def running_totals(
     return _plain(joined)
 
 
-def _failures_in_chunk(log: DataFrame, ok: str, chunk_rows: int) -> DataFrame:
-    """Rows with ``fails`` so far in the chunk, and ``base``: ``fails`` at the
-    last success so far (NULL before the first)."""
-    failed = (~F.col(ok)).cast("bigint")
-    return (
-        with_chunk(with_known(log, ok), chunk_rows)
-        .withColumn("fails", F.sum(failed).over(_so_far()))
-        .withColumn("base", F.max(F.when(F.col(ok), F.col("fails"))).over(_so_far()))
+# --- runs of failures ---------------------------------------------------------
+#
+# A stretch of the log is summed up by a segment: its number of rows ``n``, how
+# many failures it begins (``lead``) and ends (``trail``) with, its longest run
+# (``best``) and whether it holds a success at all (``broken``). Segments that
+# follow each other add up to one, in any grouping, so chunks are folded to
+# groups and groups to sources.
+
+SEGMENT = ("n", "lead", "trail", "best", "broken")
+
+
+def chunk_codes(
+    log: DataFrame, ok: str, chunk_rows: int = CODE_ROWS, totals: dict[str, Column] | None = None
+) -> DataFrame:
+    """One row per (keyed source, chunk): ``codes``, the outcomes in order, and totals.
+
+    A code is twice the row's place in its chunk, plus 1 for a success: four
+    bytes a row are shuffled. Rows without ``seq`` have no code and count in the
+    totals only, in chunk 0.
+    """
+    numbered = _keyed(with_known(log, ok)).withColumn("chunk", _part("seq", chunk_rows))
+    place = F.col("seq") - F.col("chunk") * chunk_rows
+    code = (place * 2 + F.col(ok).cast("bigint")).cast("int")
+    return numbered.groupBy("source", "chunk").agg(
+        F.sort_array(F.collect_list(code)).alias("codes"),
+        *[c.alias(name) for name, c in (totals or {}).items()],
     )
 
 
-def _chunk_carry(summary: DataFrame) -> DataFrame:
-    """Add ``carry``: length of the failure run that reaches a chunk's start."""
+def _successes(codes: Column) -> Column:
+    """Places of the successes among ``codes``."""
+    marked = F.transform(codes, lambda c, i: F.when(c.bitwiseAND(1) == 1, i))
+    return F.filter(marked, lambda i: i.isNotNull())
+
+
+def with_segment(chunks: DataFrame) -> DataFrame:
+    """Chunks of codes with the columns of their segment; ``codes`` stays."""
+    ends = F.concat("oks", F.array(F.size("codes")))
+    gaps = F.transform(ends, lambda end, i: end - F.when(i == 0, 0).otherwise(F.col("oks")[i - 1] + 1))
     return (
-        _with_before(summary, ["fails"], "base")
-        .withColumn("base_before", F.coalesce("base_before", F.lit(0)))
-        .withColumn("carry", F.col("fails_before") - F.col("base_before"))
+        chunks.withColumn("oks", _successes(F.col("codes")))
+        .withColumn("gaps", gaps)
+        .withColumns(
+            {
+                "n": F.size("codes").cast("bigint"),
+                "lead": F.element_at("gaps", 1).cast("bigint"),
+                "trail": F.element_at("gaps", -1).cast("bigint"),
+                "best": F.array_max("gaps").cast("bigint"),
+                "broken": F.size("oks") > 0,
+            }
+        )
+        .drop("gaps")
     )
 
 
-def chunk_runs(
-    log: DataFrame, ok: str, chunk_rows: int = CHUNK_ROWS, before: DataFrame | None = None
-) -> DataFrame:
-    """One row per (keyed source, chunk): ``fails``, ``base`` (failures up to the last
-    success, NULL without one), ``opening`` (failures before the first success)
-    and ``longest`` run that follows a success.
+def _then(a: Column, b: Column) -> Column:
+    """The segment of a stretch and the one that follows it."""
+    return F.struct(
+        (a["n"] + b["n"]).alias("n"),
+        F.when(a["broken"], a["lead"]).otherwise(a["n"] + b["lead"]).alias("lead"),
+        F.when(b["broken"], b["trail"]).otherwise(b["n"] + a["trail"]).alias("trail"),
+        F.greatest(a["best"], b["best"], a["trail"] + b["lead"]).alias("best"),
+        (a["broken"] | b["broken"]).alias("broken"),
+    )
+
 
-    Grouping by the window's own keys needs no second shuffle. ``before`` is an
-    earlier result of ``failure_runs``; it counts as a chunk ahead of all others.
+def _folded(group, merges: dict[str, Column]) -> DataFrame:
+    none = F.struct(*[F.lit(0).cast("bigint").alias(c) for c in SEGMENT[:-1]], F.lit(False).alias("broken"))
+    listed = F.sort_array(F.collect_list(F.struct("chunk", *SEGMENT)))
+    folded = group.agg(listed.alias("listed"), *[c.alias(name) for name, c in merges.items()])
+    return folded.withColumn("folded", F.aggregate("listed", none, _then)).select(
+        *[c for c in folded.columns if c != "listed"], "folded.*"
+    )
+
+
+def fold_segments(chunks: DataFrame, merges: dict[str, Column] | None = None) -> DataFrame:
+    """One segment per source, and per source the totals that ``merges`` names.
+
+    ``FOLD`` neighbouring chunks become one, the result again, and so on until
+    few are left of any source. After the first step, which takes a busy source
+    apart, a source stays in its partition.
     """
-    runs = (
-        _failures_in_chunk(log.select("source", "seq", ok), ok, chunk_rows)
-        .groupBy("source", "chunk")
-        .agg(
-            F.max("fails").alias("fails"),
-            F.max("base").alias("base"),
-            F.coalesce(F.max(F.when(F.col("base").isNull(), F.col("fails"))), F.lit(0)).alias(
-                "opening"
-            ),
-            F.coalesce(F.max(F.col("fails") - F.col("base")), F.lit(0)).alias("longest"),
-        )
+    merges = merges or {}
+    for level in range(FOLD_LEVELS):
+        groups = chunks.withColumn("up", _part("chunk", FOLD)).groupBy("source", "up")
+        chunks = _folded(groups, merges).withColumnRenamed("up", "chunk")
+        if level == 0:
+            chunks = chunks.repartition("source")
+    return _plain(_folded(chunks.groupBy("source"), merges))
+
+
+def _earlier(before: DataFrame) -> DataFrame:
+    """An earlier result of ``failure_runs`` as a chunk ahead of all others."""
+    return _keyed(before).select(
+        "source",
+        F.lit(FIRST).alias("chunk"),
+        F.col("current_streak").alias("n"),
+        F.lit(0).cast("bigint").alias("lead"),
+        F.col("current_streak").alias("trail"),
+        F.col("max_streak").alias("best"),
+        F.lit(True).alias("broken"),
     )
-    if before is None:
-        return runs
-    return runs.unionByName(
-        _keyed(before).select(
-            "source",
-            F.lit(FIRST).alias("chunk"),
-            F.col("current_streak").alias("fails"),
-            F.lit(None).cast("bigint").alias("base"),
-            F.col("current_streak").alias("opening"),
-            F.col("max_streak").alias("longest"),
-        )
+
+
+def runs_and_totals(
+    log: DataFrame,
+    ok: str,
+    totals: dict[str, Column],
+    merges: dict[str, Column],
+    chunk_rows: int = CODE_ROWS,
+) -> DataFrame:
+    """Per source, from one scan: ``totals``, added up by ``merges``, ``current_streak``
+    and ``max_streak``. Rows without ``seq`` count in the totals only."""
+    chunks = with_segment(chunk_codes(log, ok, chunk_rows, totals)).select("source", "chunk", *SEGMENT, *totals)
+    return fold_segments(chunks, merges).select(
+        "source", *totals, F.col("trail").alias("current_streak"), F.col("best").alias("max_streak")
     )
 
 
 def failure_runs(
-    log: DataFrame, ok: str, chunk_rows: int = CHUNK_ROWS, before: DataFrame | None = None
+    log: DataFrame, ok: str, chunk_rows: int = CODE_ROWS, before: DataFrame | None = None
 ) -> DataFrame:
     """Per source: ``current_streak`` (failures since the last success) and
     ``max_streak`` (longest run of failures)."""
-    runs = _chunk_carry(chunk_runs(log, ok, chunk_rows, before))
-    whole = runs.groupBy("source").agg(
-        (
-            F.sum("fails") - F.coalesce(F.max(F.col("fails_before") + F.col("base")), F.lit(0))
-        ).alias("current_streak"),
-        F.max(F.greatest("longest", F.col("carry") + F.col("opening"))).alias("max_streak"),
+    rows = log.select("source", "seq", ok).where("seq is not null")
+    chunks = with_segment(chunk_codes(rows, ok, chunk_rows)).select("source", "chunk", *SEGMENT)
+    if before is not None:
+        chunks = chunks.unionByName(_earlier(before))
+    return fold_segments(chunks).select(
+        "source", F.col("trail").alias("current_streak"), F.col("best").alias("max_streak")
+    )
+
+
+def chunk_carry(segments: DataFrame) -> DataFrame:
+    """Per (keyed source, chunk) ``carry``: length of the failure run that reaches its start."""
+    after_success = F.when(F.col("broken"), F.col("n") - F.col("trail"))
+    nodes = segments.select("source", "chunk", "n", after_success.alias("base"))
+    carry = F.col("n_before") - F.coalesce("base_before", F.lit(0))
+    return _with_before(nodes, ["n"], "base").select("source", "chunk", carry.alias("carry"))
+
+
+def streaks_of_chunks(chunks: DataFrame, at_least: int, chunk_rows: int = CODE_ROWS) -> DataFrame:
+    """Failures that are at least the ``at_least``-th of their run, from chunks with
+    ``codes``, ``oks`` and ``carry``."""
+    # A run reaches from behind a success, or from before the chunk, to the next one.
+    starts = F.concat(F.array(-F.col("carry") - 1), F.col("oks").cast("array<bigint>"))
+    spans = F.transform(
+        starts,
+        lambda s, i: F.struct(
+            s.alias("start"),
+            F.greatest(s + at_least, F.lit(0)).alias("from"),
+            F.coalesce(F.get("oks", i), F.size("codes")).cast("bigint").alias("end"),
+        ),
+    )
+    hits = F.transform(
+        F.filter(spans, lambda x: x["from"] < x["end"]),
+        lambda x: F.transform(
+            F.sequence(x["from"], x["end"] - 1),
+            lambda p: F.struct(F.get("codes", p.cast("int")).alias("code"), (p - x["start"]).alias("streak")),
+        ),
     )
-    return _plain(whole)
+    seq = F.col("chunk") * chunk_rows + F.shiftright("code", 1)
+    found = chunks.select("source", "chunk", F.inline(F.flatten(hits)))
+    return _plain(found.select("source", seq.alias("seq"), "streak"))
 
 
 def failures_with_streak(
-    log: DataFrame, ok: str, chunk_rows: int = CHUNK_ROWS, before: DataFrame | None = None
+    log: DataFrame, ok: str, chunk_rows: int = CODE_ROWS, before: DataFrame | None = None, at_least: int = 1
 ) -> DataFrame:
-    """Every failure with ``streak``, its place in its run of failures."""
-    runs = _chunk_carry(chunk_runs(log, ok, chunk_rows, before))
-    failures = _failures_in_chunk(log, ok, chunk_rows).where(~F.col(ok))
-    streak = F.col("fails") - F.coalesce(F.col("base"), -F.col("carry"))
-    joined = failures.join(runs.select("source", "chunk", "carry"), ["source", "chunk"])
-    return _plain(joined.withColumn("streak", streak).drop("chunk", "fails", "base", "carry"))
+    """``source, seq, streak`` of every failure that is at least the ``at_least``-th in a row."""
+    rows = log.select("source", "seq", ok).where("seq is not null")
+    chunks = with_segment(chunk_codes(rows, ok, chunk_rows))
+    segments = chunks.select("source", "chunk", *SEGMENT)
+    if before is not None:
+        # Its run has no success that any later chunk could see.
+        segments = segments.unionByName(_earlier(before).withColumn("broken", F.lit(False)))
+    joined = chunks.select("source", "chunk", "codes", "oks").join(chunk_carry(segments), ["source", "chunk"])
+    return streaks_of_chunks(joined, at_least, chunk_rows)
 
 
 def last_rows(log: DataFrame, n: int) -> DataFrame:

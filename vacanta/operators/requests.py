@@ -18,6 +18,7 @@ from vacanta.operators.ordered import (
     join_by_source,
     last_rows,
     running_totals,
+    runs_and_totals,
     with_known,
 )
 
@@ -101,18 +102,9 @@ def last_success(log: DataFrame) -> DataFrame:
 
 
 def consecutive_failures(log: DataFrame) -> DataFrame:
-    """Per source: failures since the last success.
-
-    That needs no order of all rows: the last success of each source is an
-    aggregate, and the failures after it are counted where the rows lie.
-    """
-    rows = with_known(log.select("source", "seq", "success"), "success")
-    last = rows.groupBy("source").agg(F.max(F.when(F.col("success"), F.col("seq"))).alias("last_success"))
-    later = F.col("last_success").isNull() | (F.col("seq") > F.col("last_success"))
-    failed_since = ~F.col("success") & F.col("seq").isNotNull() & later
-    return join_by_source(rows, last, "left").groupBy("source").agg(
-        F.count_if(failed_since).alias("consecutive_failures")
-    )
+    """Per source: failures since the last success; 0 where no row has an order."""
+    runs = runs_and_totals(log.select("source", "seq", "success"), "success", {}, {})
+    return runs.select("source", F.col("current_streak").alias("consecutive_failures"))
 
 
 def avg_response_time(log: DataFrame, n: int = fixed.RESPONSE_TIMES_KEPT) -> DataFrame:
@@ -155,10 +147,9 @@ def task_totals(task_log: DataFrame) -> DataFrame:
     )
 
 
-def _with_streak_and_mean(totals: DataFrame, log: DataFrame) -> DataFrame:
-    with_streak = join_by_source(totals, consecutive_failures(log), "left")
+def _with_mean(totals: DataFrame, log: DataFrame) -> DataFrame:
     return (
-        join_by_source(with_streak, _mean_of_last(log), "left")
+        join_by_source(totals, _mean_of_last(log), "left")
         .withColumn("avg_response_time", F.coalesce("mean", F.lit(0.0)))
         .withColumn(
             "success_rate", percent(F.col("successful_requests"), F.col("total_requests"))
@@ -170,14 +161,15 @@ def _with_streak_and_mean(totals: DataFrame, log: DataFrame) -> DataFrame:
 def request_summary(log: DataFrame) -> DataFrame:
     """One row per source with everything verdict and advice look at.
 
-    Totals and streak are aggregated before their shuffle, and the rest is one
-    row per source.
+    Totals and streak come from one scan, the last response times from another.
     """
-    totals = with_known(log, "success").groupBy("source").agg(
-        *[c.alias(n) for n, c in _total_columns().items()],
-        F.min("ts").alias("first_time"),
-    )
-    return _with_streak_and_mean(totals, log)
+    totals = {**_total_columns(), "first_time": F.min("ts")}
+    merges = {n: F.sum(n) for n in totals} | {
+        "last_success_time": F.max("last_success_time"), "first_time": F.min("first_time")
+    }
+    rows = log.select("source", "seq", "ts", "success", "error_type", "jobs_count")
+    runs = runs_and_totals(rows, "success", totals, merges)
+    return _with_mean(runs.withColumnRenamed("current_streak", "consecutive_failures").drop("max_streak"), log)
 
 
 def report_parts(log: DataFrame, hours: int = fixed.RECENT_HOURS) -> DataFrame:
@@ -280,10 +272,11 @@ def report(log: DataFrame, task_log: DataFrame, now: Column) -> DataFrame:
     """The nested report, one document per source.
 
     The maps hold one entry per distinct error type and at most 24 hours; both
-    are counted before they are gathered. The request log is scanned four
-    times: for all counts, twice for the streak, and for the last response times.
+    are counted before they are gathered. The request log is scanned three
+    times: for all counts, for the streak, and for the last response times.
     """
-    whole = with_verdict(_with_streak_and_mean(report_parts(log), log), now)
+    counted = join_by_source(report_parts(log), consecutive_failures(log), "left")
+    whole = with_verdict(_with_mean(counted, log), now)
     whole = join_by_source(whole, task_totals(task_log), "left")
     no_errors = F.create_map().cast("map<string,bigint>")
     return whole.select(

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from vacanta.fixed_values import ALERT_STREAK
 from vacanta.operators.ordered import (
-    CHUNK_ROWS,
+    CODE_ROWS,
     failure_runs,
     failures_with_streak,
     join_by_source,
@@ -54,7 +54,7 @@ def follow_streaks(
     path: str,
     checkpoint: str,
     alert_streak: int = ALERT_STREAK,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int = CODE_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Fold all landed checks; returns the final state and the alerts raised."""
     state_path, alert_path = f"{path}/state", f"{path}/alerts"
