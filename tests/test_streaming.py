@@ -1,5 +1,6 @@
 """Streams that take several micro-batches, against the batch operators."""
 
+import datetime
 import os
 
 import pytest
@@ -157,3 +158,44 @@ def test_an_old_file_brings_new_keys_and_no_copies(spark, tmp_path):
         stream = stream_files(spark, f"{tmp_path}/in", "jobId string, page_id long", files_per_batch=1)
         got = ingest.write_first_seen(stream, "jobId", f"{tmp_path}/out", f"{tmp_path}/offsets")
     assert sorted(map(tuple, got.collect())) == [("x", 1), ("y", 2), ("z", 3)]
+
+
+def log_rows(spark, rows):
+    """``(source, minute, success)`` as request log rows."""
+    ts = F.expr("timestamp_ntz '2024-03-10 00:00:00' + make_dt_interval(0, 0, cast(minute as int))")
+    frame = spark.createDataFrame(rows, "source long, minute long, success boolean")
+    return frame.select(
+        F.col("minute").alias("seq"), ts.alias("ts"), "source", "success", F.lit(1.0).alias("response_time"),
+        F.lit("").alias("error_type"), F.lit(0).cast("long").alias("jobs_count"),
+    )
+
+
+def test_a_silent_source_is_told_without_a_row_of_its_own(spark, tmp_path):
+    beat = [(1, m, True) for m in range(0, 601, 5)]
+    rows = [
+        *beat, (2, 3, True), (2, 20, True), (2, 150, False), (3, 7, False), (3, 300, False),
+        (None, 10, True), (4, 10, True), (4, 400, True), (5, 590, True), (6, 530, None),
+    ]
+    for low in range(0, 601, 100):
+        part = log_rows(spark, [r for r in rows if low <= r[1] < low + 100])
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+    stream = stream_log(spark, f"{tmp_path}/log", REQUEST_EVENT, files_per_batch=1)
+    told = streaks.watch_silence(stream, f"{tmp_path}/out", f"{tmp_path}/o", ok="success").collect()
+
+    def minute(moment):
+        return round((moment - datetime.datetime(2024, 3, 10)).total_seconds() / 60)
+
+    got = sorted(((r["source"], minute(r["last_success"]), minute(r["silent_at"])) for r in told), key=str)
+    # Source 4 falls silent twice; 3 and 6 never succeeded; 1 and 5 were heard of lately.
+    assert got == sorted([(2, 20, 80), (None, 10, 70), (4, 10, 70), (4, 400, 460)], key=str)
+
+
+def test_silence_goes_on_where_the_stream_stopped(spark, tmp_path):
+    told = None
+    for low, high in ((0, 30), (35, 140)):
+        rows = [(1, m, True) for m in range(low, high, 5)] + ([(2, 0, True)] if low == 0 else [])
+        log_rows(spark, rows).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        stream = stream_log(spark, f"{tmp_path}/log", REQUEST_EVENT)
+        told = streaks.watch_silence(stream, f"{tmp_path}/out", f"{tmp_path}/o", ok="success")
+        assert told.count() == (0 if low == 0 else 1)
+    assert told.first()["source"] == 2

@@ -207,7 +207,7 @@ def fold_segments(chunks: DataFrame, merges: dict[str, Column] | None = None) ->
     return _plain(_folded(chunks.groupBy("source"), merges))
 
 
-def _earlier(before: DataFrame) -> DataFrame:
+def earlier_runs(before: DataFrame, *also: str) -> DataFrame:
     """An earlier result of ``failure_runs`` as a chunk ahead of all others."""
     return _keyed(before).select(
         "source",
@@ -217,6 +217,7 @@ def _earlier(before: DataFrame) -> DataFrame:
         F.col("current_streak").alias("trail"),
         F.col("max_streak").alias("best"),
         F.lit(True).alias("broken"),
+        *also,
     )
 
 
@@ -243,23 +244,28 @@ def failure_runs(
     rows = log.select("source", "seq", ok).where("seq is not null")
     chunks = with_segment(chunk_codes(rows, ok, chunk_rows)).select("source", "chunk", *SEGMENT)
     if before is not None:
-        chunks = chunks.unionByName(_earlier(before))
+        chunks = chunks.unionByName(earlier_runs(before))
     return fold_segments(chunks).select(
         "source", F.col("trail").alias("current_streak"), F.col("best").alias("max_streak")
     )
 
 
-def chunk_carry(segments: DataFrame) -> DataFrame:
-    """Per (keyed source, chunk) ``carry``: length of the failure run that reaches its start."""
+def with_carry(segments: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """Adds ``carry``, the length of the failure run that reaches a chunk's start.
+
+    With fewer ``levels`` a source's windows see more rows: with one, a row per
+    2^32 numbers.
+    """
     after_success = F.when(F.col("broken"), F.col("n") - F.col("trail"))
-    nodes = segments.select("source", "chunk", "n", after_success.alias("base"))
+    nodes = _with_before(segments.withColumn("base", after_success), ["n"], "base", levels)
     carry = F.col("n_before") - F.coalesce("base_before", F.lit(0))
-    return _with_before(nodes, ["n"], "base").select("source", "chunk", carry.alias("carry"))
+    return nodes.withColumn("carry", carry).drop("n_before", "base", "base_before")
 
 
 def streaks_of_chunks(chunks: DataFrame, at_least: int, chunk_rows: int = CODE_ROWS) -> DataFrame:
     """Failures that are at least the ``at_least``-th of their run, from chunks with
-    ``codes``, ``oks`` and ``carry``."""
+    ``codes`` and ``carry``; an earlier run has no codes."""
+    chunks = chunks.where("codes is not null").withColumn("oks", _successes(F.col("codes")))
     # A run reaches from behind a success, or from before the chunk, to the next one.
     starts = F.concat(F.array(-F.col("carry") - 1), F.col("oks").cast("array<bigint>"))
     spans = F.transform(
@@ -287,13 +293,10 @@ def failures_with_streak(
 ) -> DataFrame:
     """``source, seq, streak`` of every failure that is at least the ``at_least``-th in a row."""
     rows = log.select("source", "seq", ok).where("seq is not null")
-    chunks = with_segment(chunk_codes(rows, ok, chunk_rows))
-    segments = chunks.select("source", "chunk", *SEGMENT)
+    chunks = with_segment(chunk_codes(rows, ok, chunk_rows)).drop("oks")
     if before is not None:
-        # Its run has no success that any later chunk could see.
-        segments = segments.unionByName(_earlier(before).withColumn("broken", F.lit(False)))
-    joined = chunks.select("source", "chunk", "codes", "oks").join(chunk_carry(segments), ["source", "chunk"])
-    return streaks_of_chunks(joined, at_least, chunk_rows)
+        chunks = chunks.unionByName(earlier_runs(before), allowMissingColumns=True)
+    return streaks_of_chunks(with_carry(chunks), at_least, chunk_rows)
 
 
 def last_rows(log: DataFrame, n: int) -> DataFrame:

@@ -475,6 +475,14 @@ from sums s join runs on runs.source = s.source left join shown on shown.source
 from stored""",
     "stream_ingest": f"with {_LISTINGS} select * from listing",
     "stream_hourly": f"with {_REQ}, {_HOURS} select * from hours",
+    "stream_closed_hours": f"""with {_REQ}, {_HOURS} select * from hours
+where hour < (select strftime(max(ts) - interval 10 minute, '%Y-%m-%d %H:00') from req)""",
+    "stream_silence": f"""with {_REQ}, last as (
+  select source, max(ts) filter (where success) as newest, (epoch_us(max(ts) filter (where success)) + 999) // 1000 as ms
+  from req group by source)
+select source, strftime(newest, {_STAMP}) as last_success,
+  strftime(make_timestamp(ms * 1000 + 3600000000), {_STAMP}) as silent_at
+from last where ms + 3600000 <= (select epoch_ms(max(ts)) - 600000 from req)""",
     "stream_streaks": f"with {_ISLANDS} select *, 0 as overtaken from runs",
     "stream_alerts": f"with {_ISLANDS} select source, seq, streak from placed where streak >= 3",
     "stream_dedupe": f"""with {_ITEMS}, ids as (select page_id, {_values('jobId')} from items)

@@ -640,6 +640,23 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly.hourly_so_far(log, new_folder(spark, "hours"), new_folder(spark, "offsets"))
 
 
+def stream_closed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours the watermark has closed, with what came too late for it added."""
+    path = _landed_log(spark, sf_dir, "request_log", _request_log(spark, sf_dir), newest_first=True)
+    log = stream_log(spark, path, REQUEST_EVENT, files_per_batch=SLICE_FILES)
+    closed = hourly.closed_hours(log, new_folder(spark, "closed"), new_folder(spark, "offsets"))
+    so_far = hourly.hourly_so_far(log, new_folder(spark, "hours"), new_folder(spark, "offsets"))
+    return hourly.exact_hours(closed, hourly.corrections(so_far, closed))
+
+
+def stream_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources without a success for an hour, by the stream's clock."""
+    path = _landed_log(spark, sf_dir, "request_log_by_time", _request_log(spark, sf_dir), newest_first=False)
+    log = stream_log(spark, path, REQUEST_EVENT, files_per_batch=SLICE_FILES)
+    told = streaks.watch_silence(log, new_folder(spark, "silence"), new_folder(spark, "offsets"), ok="success")
+    return _text(told, "last_success", "silent_at")
+
+
 def _streaks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     path = _landed_log(spark, sf_dir, "check_log", _check_log(spark, sf_dir), newest_first=False)
     log = stream_log(spark, path, CHECK_EVENT, files_per_batch=SLICE_FILES)
@@ -735,6 +752,8 @@ QUERIES: dict[str, Query] = {
     "check_details": check_details,
     "stream_ingest": stream_ingest,
     "stream_hourly": stream_hourly,
+    "stream_closed_hours": stream_closed_hours,
+    "stream_silence": stream_silence,
     "stream_streaks": stream_streaks,
     "stream_alerts": stream_alerts,
     "stream_dedupe": stream_dedupe,
