@@ -38,6 +38,15 @@ def task_grid(configs: DataFrame) -> DataFrame:
     )
 
 
+def within_limits(pages: DataFrame, task_keys: list[str], limits: DataFrame | None) -> DataFrame:
+    """Pages that their task asks for; all of them where it names no limit."""
+    if limits is None:
+        return pages
+    last = F.greatest(F.coalesce("max_page", F.lit(DEFAULT_MAX_PAGE)), F.lit(1))
+    named = limits.groupBy(*task_keys).agg(F.max(last).alias("last_page"))
+    return pages.join(named, task_keys, "left").where("last_page is null or page <= last_page")
+
+
 def pages_until_bad(
     outcomes: DataFrame, task_keys: list[str], limits: DataFrame | None = None
 ) -> DataFrame:
@@ -50,11 +59,7 @@ def pages_until_bad(
     into chunks of ``CHUNK_PAGES``: windows see one chunk, and one row per chunk
     says whether all chunks before it are whole.
     """
-    pages = outcomes.where("page >= 1")
-    if limits is not None:
-        last = F.greatest(F.coalesce("max_page", F.lit(DEFAULT_MAX_PAGE)), F.lit(1))
-        named = limits.groupBy(*task_keys).agg(F.max(last).alias("last_page"))
-        pages = pages.join(named, task_keys, "left").where("last_page is null or page <= last_page")
+    pages = within_limits(outcomes.where("page >= 1"), task_keys, limits)
     chunk = F.call_function("div", F.col("page") - 1, F.lit(CHUNK_PAGES))
     merged = (
         pages.groupBy(*task_keys, chunk.alias("chunk"), "page")

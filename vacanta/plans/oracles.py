@@ -490,3 +490,7 @@ select jobId, page_id from ids where jobId is not null
 qualify row_number() over (partition by jobId
   order by case page_id % 3 when 2 then 0 when 0 then 1 else 2 end, page_id) = 1""",
 }
+
+# What a stream has folded is what the batch form gives on all that has landed.
+ORACLES["stream_pages"] = ORACLES["pages_until_bad"]
+ORACLES["stream_completion"] = ORACLES["task_completion"]

@@ -15,7 +15,7 @@ from vacanta.sources import samples, store, upsert
 from vacanta.sources.areas import area_dimension, city_codes
 from vacanta.sources.responses import read_responses, stream_log, stream_responses
 from vacanta.sources.workspace import new_folder
-from vacanta.streaming import hourly, ingest, streaks
+from vacanta.streaming import frontier, hourly, ingest, streaks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -671,6 +671,23 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streaks(spark, sf_dir)[1]
 
 
+def _followed(spark: SparkSession, sf_dir: str) -> frontier.TaskPages:
+    """Tasks followed over pages of which a third lands at a time, every third page of a task."""
+    responses = stream_responses(spark, _landed_slices(spark, sf_dir), files_per_batch=SLICE_FILES)
+    limits = _run_tasks(spark, sf_dir)
+    return frontier.follow_tasks(
+        responses, TASK_KEYS, new_folder(spark, "tasks"), new_folder(spark, "offsets"), limits
+    )
+
+
+def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _followed(spark, sf_dir).taken()
+
+
+def stream_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _followed(spark, sf_dir).completion(_run_tasks(spark, sf_dir))
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = stream_responses(spark, _landed_slices(spark, sf_dir), files_per_batch=SLICE_FILES)
     items = envelope.explode_items(responses, ["jobId"]).select("jobId", "page_id")
@@ -757,4 +774,6 @@ QUERIES: dict[str, Query] = {
     "stream_streaks": stream_streaks,
     "stream_alerts": stream_alerts,
     "stream_dedupe": stream_dedupe,
+    "stream_pages": stream_pages,
+    "stream_completion": stream_completion,
 }
