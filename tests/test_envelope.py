@@ -189,3 +189,22 @@ def test_declared_form(spark):
     assert (got["salary_min"], got["salary_max"]) == (1999, None)
     assert str(got["publish_date"]) == "2024-01-02 00:00:00" and got["update_date"] is None
     assert got["created_at"] is not None
+
+
+def test_columns_and_schemas_of_page_groups(spark):
+    def page(number, status, items):
+        body = '{"status":%s,"resultbody":{"job":{"items":[%s]}}}' % (status, items)
+        return (number, 0, "k", "c", number % 2, 200, body)
+
+    rows = [
+        page(1, '"1"', '{"jobId":"a","n":1},{"jobId":null,"n":2.5},null,7'), page(3, '"1"', '{"x":["y"],"n":"t"}'),
+        page(2, '"1"', '{"jobId":"b"}'), page(4, "1", '{"numeric":1}'), page(6, '"0"', '{"refused":1}'),
+        (8, 0, "k", "c", 0, 200, "{broken"), (10, 0, "k", "c", 0, 404, page(1, '"1"', '{"z":1}')[-1]), (12, 0, "k", "c", 0, 200, None),
+    ]
+    pages = spark.createDataFrame(rows, RESPONSE)
+    got = {tuple(r) for r in envelope.item_columns(pages, "page").collect()}
+    assert got == {(1, "jobId", 1), (1, "n", 3), (1, "x", 1), (0, "jobId", 1)}
+    schemas = {r["page"]: r["item_schema"] for r in envelope.item_schemas(pages.where("page_id <> 1"), "page").collect()}
+    assert schemas == {1: "OBJECT<n: STRING, x: ARRAY<STRING>>", 0: "OBJECT<jobId: STRING>"}
+    plan = envelope.item_columns(pages, "page")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1

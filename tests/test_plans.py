@@ -68,3 +68,11 @@ def test_keys_name_a_task():
 )
 def test_totals_and_runs_share_a_scan(spark, sf_dir, name, scans):
     assert plan(spark, sf_dir, name).count("FileScan") == scans
+
+
+@pytest.mark.parametrize("name", ["union_pages", "page_report"])
+def test_bodies_of_several_page_groups_are_parsed_once(spark, sf_dir, name):
+    text = plan(spark, sf_dir, name)
+    assert text.count("from_json(") <= 1 and text.count("Union") == 0
+    if name == "union_pages":
+        assert text.count("FileScan") == 1

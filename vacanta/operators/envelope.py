@@ -215,3 +215,42 @@ def explode_items(
     return parsed.select(*kept, F.posexplode(good_items).alias("pos", "item")).select(
         *kept, "pos", "item.*"
     )
+
+
+def _variant_items(responses: DataFrame, group: tuple[str, ...]) -> DataFrame:
+    """Items of valid pages as VARIANT, each body parsed once."""
+
+    def items(pages: Column) -> Column:
+        status = F.try_variant_get(pages, "$[0].status", "variant")
+        named = F.try_variant_get(pages, "$[0].status", "string") == SUCCESS_STATUS
+        alone = F.try_variant_get(pages, "$[1]", "variant").isNull()
+        valid = (F.schema_of_variant(status) == "STRING") & named & alone
+        return F.when(valid, F.try_variant_get(pages, "$[0].resultbody.job.items", "array<variant>"))
+
+    # In brackets, so that text after the object is no JSON; as the one element of
+    # an array, so that what was parsed once is looked at several times.
+    parsed = F.try_parse_json(F.concat(F.lit("["), F.col("body"), F.lit("]")))
+    listed = F.transform(F.array(parsed), items)[0]
+    return usable_responses(responses).select(*group, F.explode(listed).alias("item"))
+
+
+def item_columns(responses: DataFrame, *group: str) -> DataFrame:
+    """Per group of pages the columns its items have: ``column_name`` and ``items``,
+    the number of items with a value other than null.
+
+    Keys that no schema declares are found as well.
+    """
+    keys = F.try_variant_get("item", "$", "map<string, variant>")
+    return (
+        _variant_items(responses, group)
+        .select(*group, F.explode(keys).alias("column_name", "value"))
+        .where(~F.is_variant_null("value"))
+        .groupBy(*group, "column_name")
+        .agg(F.count("*").alias("items"))
+    )
+
+
+def item_schemas(responses: DataFrame, *group: str) -> DataFrame:
+    """Per group of pages ``item_schema``, the merged schema of its items as text."""
+    items = _variant_items(responses, group)
+    return items.groupBy(*group).agg(F.schema_of_variant_agg("item").alias("item_schema"))

@@ -15,14 +15,14 @@ from vacanta.operators.requests import request_totals
 from vacanta.schemas import TASK_KEYS
 
 
-def request_events(responses: DataFrame, at: Column | None = None) -> DataFrame:
-    """One event per landed page; ``page_id`` is the call order.
+def page_facts(responses: DataFrame) -> DataFrame:
+    """What every landed page comes to, without its body: the page's columns, ``good``,
+    ``jobs_count`` and ``error_type``.
 
     A page that passes is a success with its number of items. The others fail,
     and the error type names the class of the response and its status, or
     ``no_valid_items`` for a usable body that is no good page.
     """
-    moment = F.lit(None).cast("timestamp_ntz") if at is None else at
     kind = response_class()
     status = F.col("status_code").cast("string")
     error = (
@@ -31,19 +31,41 @@ def request_events(responses: DataFrame, at: Column | None = None) -> DataFrame:
         .when(kind == "invalid", F.lit("unusable_body"))
         .otherwise(F.concat(kind, F.lit("_"), status))
     )
-    named = responses.withColumns({"error_type": error, "ts": moment})
-    outcome = page_outcomes(named)
-    return outcome.select(
+    outcome = page_outcomes(responses.withColumn("error_type", error))
+    return outcome.withColumns(
+        {
+            "error_type": F.when(~F.col("good"), F.col("error_type")),
+            "jobs_count": F.when(F.col("good"), F.col("jobs_count")).otherwise(0).cast("bigint"),
+        }
+    )
+
+
+def save_page_facts(responses: DataFrame, path: str) -> DataFrame:
+    """The facts, stored: what several reports look at, while bodies are parsed once."""
+    facts = page_facts(responses)
+    facts.write.mode("errorifexists").parquet(path)
+    return facts.sparkSession.read.schema(facts.schema).parquet(path)
+
+
+def events_of_facts(facts: DataFrame, at: Column | None = None) -> DataFrame:
+    """One event per page; ``page_id`` is the call order."""
+    moment = F.lit(None).cast("timestamp_ntz") if at is None else at
+    return facts.select(
         F.col("page_id").alias("seq"),
-        "ts",
+        moment.alias("ts"),
         F.col("run").alias("source"),
         F.col("good").alias("success"),
         F.lit(None).cast("double").alias("response_time"),
-        F.when(~F.col("good"), F.col("error_type")).alias("error_type"),
-        F.when(F.col("good"), F.col("jobs_count")).otherwise(0).cast("bigint").alias("jobs_count"),
+        "error_type",
+        "jobs_count",
     )
 
 
+def request_events(responses: DataFrame, at: Column | None = None) -> DataFrame:
+    """One event per landed page, straight from the bodies."""
+    return events_of_facts(page_facts(responses), at)
+
+
 def task_events(asked: DataFrame, taken: DataFrame, landed: DataFrame) -> DataFrame:
     """One event per asked task: did it take any page?
 

@@ -87,6 +87,29 @@ def union_pages(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def known_columns(items: DataFrame, groups: list[tuple[Column, list[str]]]) -> DataFrame:
+    """Items of one scan as if each group of pages had been read on its own, with the
+    columns it knows, and the frames appended: ``groups`` are (rule, columns).
+
+    An item belongs to the first group whose rule holds and has NULL in the
+    columns that group does not know; items of no group are left out.
+    """
+    number = F.lit(None).cast("int")
+    for n, (rule, _) in reversed(list(enumerate(groups))):
+        number = F.when(rule, n).otherwise(number)
+    wanted = list(dict.fromkeys(c for _, columns in groups for c in columns))
+    others = [c for c in items.columns if c not in wanted]
+    marked = items.withColumn("_group", number).where(F.col("_group").isNotNull())
+    return marked.select(
+        *others,
+        *[
+            F.when(F.col("_group").isin([n for n, (_, columns) in enumerate(groups) if c in columns]), F.col(c)).alias(c)
+            for c in wanted
+        ],
+    )
+
+
+
 def dedupe_latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The first row of each ``key`` by ``order``; rows without a key are no entity.
 

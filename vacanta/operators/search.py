@@ -1,7 +1,9 @@
 """Lookups and searches on stored listings.
 
 All are plain filters, so they reach the parquet scan: province folders are
-pruned, and location and salary filters skip row groups by their statistics.
+pruned; location, salary and date filters skip row groups by their statistics
+and company filters by Bloom filters (``sources/store.py`` says how the store is
+laid out). ``sources/title_index.py`` narrows a keyword search to some files.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -72,18 +74,26 @@ def by_salary_range(view: DataFrame, low: int, high: int) -> DataFrame:
     return view.where((F.col("salary_min") >= low) & (F.col("salary_max") <= high))
 
 
+def _on_days(view: DataFrame, day: str, low: Column, high: Column | None = None) -> DataFrame:
+    """The stored day, where the view has it, lets the scan skip what lies outside."""
+    if day not in view.columns:
+        return view
+    within = view.where(F.col(day) >= low.cast("date"))
+    return within if high is None else within.where(F.col(day) <= high.cast("date"))
+
+
 def by_publish_date(view: DataFrame, start: str, end: str) -> DataFrame:
     """Listings published from ``start`` up to, not including, ``end``."""
-    return view.where(
-        (F.col("publish_date") >= F.lit(start).cast("timestamp_ntz"))
-        & (F.col("publish_date") < F.lit(end).cast("timestamp_ntz"))
-    )
+    low, high = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    published = F.col("publish_date")
+    return _on_days(view, "publish_day", low, high).where((published >= low) & (published < high))
 
 
 def recent_inserts(view: DataFrame, now: Column, hours: int = 1) -> DataFrame:
     """Number of listings updated after ``now`` minus ``hours``."""
     since = now - F.make_dt_interval(hours=F.lit(hours))
-    return view.where(F.col("update_date") > since).agg(F.count("*").alias("recent_inserts"))
+    recent = _on_days(view, "update_day", since).where(F.col("update_date") > since)
+    return recent.agg(F.count("*").alias("recent_inserts"))
 
 
 def search_postings(

@@ -340,6 +340,10 @@ select page_id, pos, case when not bad_min then {_number('jobSalaryMin')} end as
   case when not bad_max then {_number('jobSalaryMax')} end as jobSalaryMax,
   case when bad_max then nullif(jobSalaryMax, '') end as jobSalaryMax_text
 from flagged""",
+    "page_columns": f"with {_ITEMS} " + " union all ".join(
+        f"select page, '{name}' as column_name, count({value}) as items from items group by page having count({value}) > 0"
+        for name, value in {**samples.ITEM_VALUES, "jobTags": samples.TAGS_VALUE, "madeUpKey": "1"}.items()
+    ),
     "union_pages": f"""with {_ITEMS}, raw as (
   select page, page_id, pos, {_values('jobId', 'jobName', 'companyName', 'term')} from items)
 select page_id, pos, jobId, case when page = 1 or page > 5 then jobName end as jobName,
@@ -373,6 +377,8 @@ where update_date > timestamp '1998-08-03 03:30:00' - interval 1 hour""",
     "search_postings": f"""with {_STORED} select {_FOUND} from stored
 where contains(lower(job_title), 'python 1') and company_type = 'Public'
 order by update_date desc nulls last, job_id limit 20 offset 20""",
+    "search_keyword": f"""with {_STORED} select {_FOUND} from stored
+where contains(lower(job_title), 'n 5-low 6') order by update_date desc nulls last, job_id limit 20""",
     "search_province": f"""with {_STORED} select {_FOUND} from stored where province_code = '050000'
 order by update_date desc nulls last, job_id limit 20""",
     "search_after": f"""with {_STORED} select {_FOUND} from stored

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vacanta.operators import checks, envelope, events, listings, requests, search, sql, tasks
 from vacanta.schemas import CHECK_EVENT, REQUEST_EVENT, TASK_KEYS
-from vacanta.sources import samples, store, upsert
+from vacanta.sources import samples, store, title_index, upsert
 from vacanta.sources.areas import area_dimension, city_codes
 from vacanta.sources.responses import read_responses, stream_log, stream_responses
 from vacanta.sources.workspace import new_folder
@@ -25,6 +25,7 @@ LISTING_NOW = "1998-08-03 03:30:00"
 PAGE_MOMENT = "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(page_id as int))"
 PAGE_NOW = "2024-06-01 00:00:00"
 SEARCH_FROM = "1998-07-01 00:00:00"
+KEYWORD = "n 5-LOW 6"
 
 
 def _moment(text: str) -> Column:
@@ -76,14 +77,31 @@ def _stored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _stores: dict[tuple[str, str], str] = {}
 
 
-def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
+_indexes: dict[tuple[str, str], str] = {}
+
+
+def _store_path(spark: SparkSession, sf_dir: str) -> str:
     """The listing store, written once per application and table set."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
         path = new_folder(spark, "listings")
         store.save_listings(_stored_rows(spark, sf_dir), path)
         _stores[key] = path
-    return store.read_listings(spark, _stores[key])
+    return _stores[key]
+
+
+def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.read_listings(spark, _store_path(spark, sf_dir))
+
+
+def _index_path(spark: SparkSession, sf_dir: str) -> str:
+    """The title index of that store."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _indexes:
+        path = new_folder(spark, "titles")
+        title_index.build_title_index(spark, _store_path(spark, sf_dir), path)
+        _indexes[key] = path
+    return _indexes[key]
 
 
 # --- sources ------------------------------------------------------------------
@@ -247,16 +265,21 @@ def cast_salary_by_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items appended from frames that know different columns."""
-    frames = [
-        _items(spark, sf_dir, *columns).where(rule).select("page_id", "pos", *columns)
-        for rule, columns in [
-            ("page = 1", ["jobId", "jobName"]),
-            ("page between 2 and 5", ["jobId", "companyName"]),
-            ("page > 5", ["jobId", "jobName", "term"]),
-        ]
+    """Items appended from groups of pages that know different columns."""
+    page = F.col("page")
+    groups = [
+        (page == 1, ["jobId", "jobName"]),
+        (page.between(2, 5), ["jobId", "companyName"]),
+        (page > 5, ["jobId", "jobName", "term"]),
     ]
-    return _big(listings.union_pages(frames), "pos")
+    items = _items(spark, sf_dir, "jobId", "jobName", "companyName", "term")
+    appended = listings.known_columns(items, groups)
+    return _big(appended.select("page_id", "pos", "jobId", "jobName", "companyName", "term"), "pos")
+
+
+def page_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that items have, by page number."""
+    return envelope.item_columns(samples.landed_responses(spark, sf_dir), "page")
 
 
 def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,6 +370,13 @@ def search_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _found(found)
 
 
+def search_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword search through the title index."""
+    paths = _store_path(spark, sf_dir), _index_path(spark, sf_dir)
+    view = title_index.listings_with(spark, *paths, KEYWORD)
+    return _found(search.search_postings(view, keyword=KEYWORD))
+
+
 def search_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A result page of one province."""
     return _found(search.search_postings(_store(spark, sf_dir), jobArea="050000", sortType="1"))
@@ -446,8 +476,11 @@ def page_request_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of the report of each run, from its landed pages and tasks."""
     landed = samples.landed_responses(spark, sf_dir)
-    tasks_ = events.task_events(_run_tasks(spark, sf_dir), _taken(spark, sf_dir), landed)
-    report = requests.report(_page_log(spark, sf_dir), tasks_, _moment(PAGE_NOW))
+    facts = events.save_page_facts(landed, new_folder(spark, "facts"))
+    taken = tasks.pages_until_bad(facts, TASK_KEYS, _run_tasks(spark, sf_dir))
+    tasks_ = events.task_events(_run_tasks(spark, sf_dir), taken, facts)
+    log = events.events_of_facts(facts, F.expr(PAGE_MOMENT))
+    report = requests.report(log, tasks_, _moment(PAGE_NOW))
     errors = F.transform(
         F.array_sort(F.map_entries("error_breakdown")),
         lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
@@ -721,6 +754,7 @@ QUERIES: dict[str, Query] = {
     "cast_salary_rejects": cast_salary_rejects,
     "cast_salary_by_page": cast_salary_by_page,
     "union_pages": union_pages,
+    "page_columns": page_columns,
     "listing_view": listing_view,
     "not_null_rejects": not_null_rejects,
     "dedupe_latest": dedupe_latest,
@@ -735,6 +769,7 @@ QUERIES: dict[str, Query] = {
     "recent_inserts": recent_inserts,
     "search_postings": search_postings,
     "search_listings": search_listings,
+    "search_keyword": search_keyword,
     "search_province": search_province,
     "search_after": search_after,
     "sql_named": sql_named,

@@ -54,6 +54,10 @@ STORED_LISTING = (
     " job_url string, company_url string, province_code string"
 )
 
+# The days in the files beside them: Spark sends comparisons of dates to Parquet,
+# of moments without zone it does not.
+STORED_DAYS = STORED_LISTING + ", publish_day date, update_day date"
+
 # What an item carries itself; search_kw and search_city come from the task.
 ITEM_COLUMNS = [c for c in LISTING_COLUMNS if c not in ("search_kw", "search_city")]
 

@@ -1,10 +1,11 @@
 """Saving to and reading from the store: files, catalog tables or a database."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vacanta.fixed_values import INSERT_BATCH
 from vacanta.operators.listings import dedupe_latest, newest_first, storable
-from vacanta.schemas import STORED_LISTING
+from vacanta.schemas import STORED_DAYS
 
 # How an existing table is treated, and the Spark save mode for it.
 SAVE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
@@ -65,17 +66,64 @@ def read_frame_jdbc(
     return reader.load()
 
 
-def save_listings(listings: DataFrame, path: str) -> None:
-    """Write the listing store: a folder per province, sorted by salary inside.
-
-    Range partitioning by (province, location, salary, id) splits a province
-    that holds most of the rows over many tasks, and gives files whose min/max
-    statistics let salary and location filters skip them.
+CURVE_BITS = 8  # of each column's steps on the curve
+# Names a row group's Bloom filter is sized for: 60 kB. More let it pass too much, never too little.
+BLOOM_NAMES = 50_000
+
+
+def _steps(df: DataFrame, columns: dict[str, Column]) -> list[Column]:
+    """Each column in ``2^CURVE_BITS`` equal steps from its least to its greatest value; NULL is 0."""
+    named = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
+    ends = named.agg(*[f(n).alias(f"{f.__name__}_{n}") for n in columns for f in (F.min, F.max)]).first()
+    steps = []
+    for name, column in columns.items():
+        low, high = ends[f"min_{name}"], ends[f"max_{name}"]
+        if low is None or low == high:
+            steps.append(F.lit(0))
+        else:  # width_bucket counts from 1, and the greatest value is past the last step
+            step = F.width_bucket(column.cast("double"), F.lit(low), F.lit(high), F.lit(1 << CURVE_BITS))
+            steps.append(F.coalesce(F.least(step, F.lit(1 << CURVE_BITS)) - 1, F.lit(0)))
+    return steps
+
+
+def curve_place(steps: list[Column]) -> Column:
+    """Place on the Z-order curve: the bits of all steps by turns, the highest first."""
+    place = F.lit(0).cast("bigint")
+    for bit in range(CURVE_BITS):
+        for i, step in enumerate(steps):
+            at = bit * len(steps) + len(steps) - 1 - i
+            one = F.shiftright(step.cast("bigint"), bit).bitwiseAND(1)
+            place = place.bitwiseOR(F.shiftleft(one, at))
+    return place
+
+
+def save_listings(listings: DataFrame, path: str, **options: str) -> None:
+    """Write the listing store: a folder per province, along a curve inside.
+
+    Each lookup column has its access path. The folder is the province's. Inside,
+    rows follow a Z-order curve of location, salary and day (of the update, else
+    of publication), so a row group spans a small part of each and its least and
+    greatest values let Spark skip it for ranges of any of the three. Company
+    names, looked up one at a time, have a Bloom filter (or a dictionary, where
+    they are few). Range partitioning splits a province with most of the rows
+    over many tasks. ``options`` are those of the Parquet writer.
     """
+    days = {"publish_day": F.col("publish_date").cast("date"), "update_day": F.col("update_date").cast("date")}
+    rows = listings.withColumns(days)
+    day = F.unix_date(F.coalesce("update_day", "publish_day"))
+    steps = _steps(
+        rows,
+        {"place": F.col("location_code").try_cast("bigint"), "salary": F.col("salary_min"), "day": day},
+    )
+    bloom = {"enabled": "true", "expected.ndv": str(BLOOM_NAMES)}
+    filters = {f"parquet.bloom.filter.{k}#company_name": v for k, v in bloom.items()}
     (
-        listings.repartitionByRange("province_code", "location_code", "salary_min", "job_id")
-        .sortWithinPartitions("province_code", "location_code", "salary_min")
+        rows.withColumn("_curve", curve_place(steps))
+        .repartitionByRange("province_code", "_curve", "job_id")
+        .sortWithinPartitions("province_code", "_curve")
+        .drop("_curve")
         .write.mode("errorifexists")
+        .options(**{**filters, **options})
         .partitionBy("province_code")
         .parquet(path)
     )
@@ -96,6 +144,8 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def read_listings(spark: SparkSession, path: str) -> DataFrame:
-    """The listing store; the declared schema keeps province codes as text."""
-    return spark.read.schema(STORED_LISTING).parquet(path)
+def read_listings(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """The listing store, or some of its files; the declared schema keeps province codes as text."""
+    if files is not None and not files:
+        return spark.createDataFrame([], STORED_DAYS)
+    return spark.read.schema(STORED_DAYS).option("basePath", path).parquet(*(files or [path]))
