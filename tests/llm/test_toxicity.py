@@ -88,3 +88,21 @@ def test_held_out_accuracy(spark):
     toxic = got[got.toxic == 1].predicted.mean()
     clean = got[got.toxic == 0].predicted.mean()
     assert toxic > 0.85 and clean < 0.02
+
+
+@pytest.mark.parametrize("gap", [10, 500, 1000, 100_000])
+def test_a_clause_is_read_whole(gap):
+    reader = toxicity.Reader(toxicity.default_model().lexicon)
+    filler = " ".join(["word"] * (gap // 5))
+    near, far = (reader.collect(f"he said {x} you idiot") for x in ("that", filler))
+    assert near == far
+
+
+def test_long_texts_do_not_use_up_the_sample(spark):
+    docs = [(i, ("long " * 50 if i % 10 else "short ") + str(i)) for i in range(600)]
+    docs += [(i, "another short one") for i in range(0, 600, 20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 20 // 10) for i in range(600)], "doc_id long, toxic int")
+    toxic, clean, share = toxicity.labelled_sample(frame, labels, "toxic", 20, 100)
+    assert len(toxic) == 20 and len(clean) == 20
+    assert all(len(t) <= 100 for t in toxic + clean) and 0 < share < 1

@@ -27,14 +27,14 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vacanta.llm.common import held_out
+from vacanta.llm.common import held_out, park
 
 SAMPLE = 1500
 SAMPLE_CHARS = 20_000
 LEXICON = 400  # learned entries at most
-LOOK_BACK = 600  # characters of a clause before a match that are read
 
 # Fixed values, by symbol.
 THREATS = (
@@ -224,17 +224,16 @@ class Reader:
             start = last + 1 - length
             if last < end or (start and text[start - 1].isalpha()):
                 continue
+            # The whole clause, however long: what stands between two clauses that
+            # are run is looked at once.
             begin = end
-            for stop in CLAUSE_END.finditer(text, max(end, start - LOOK_BACK), start):
+            for stop in CLAUSE_END.finditer(text, end, start):
                 begin = stop.end()
-            begin = max(begin, start - LOOK_BACK)
-            stop = CLAUSE_END.search(text, last, last + LOOK_BACK)
-            end = stop.start() if stop else min(len(text), last + LOOK_BACK)
-            while not stop and end < len(text) and text[end].isalpha():
-                end += 1
+            stop = CLAUSE_END.search(text, last)
+            end = stop.start() if stop else len(text)
             state = 0
-            for word in WORDS.findall(text, begin, end):
-                symbol, weight = self.symbol(word)
+            for word in WORDS.finditer(text, begin, end):
+                symbol, weight = self.symbol(word.group())
                 state, out = self.arcs[(state, symbol)]
                 if out in total:
                     total[out] += weight
@@ -278,9 +277,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
     """(texts of label 1, texts of label 0, share of label 1) for learning.
 
     At most ``bound`` texts a class, those with the smallest hash of their id,
-    none of a held-out row, each of at most ``chars`` characters. Labels other
-    than 0 and 1 and null ids are passed over; of several labels of an id the
-    largest counts.
+    none of a held-out row. Only ids with a text of at most ``chars`` characters
+    count towards the bound, and of several such texts of an id the least is
+    taken. Labels other than 0 and 1 and null ids are passed over; of several
+    labels of an id the largest counts.
     """
     known = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -289,11 +289,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
     )
     short = docs.where(F.col("text").isNotNull() & (F.length("text") <= chars)).select("doc_id", "text")
     counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
-    texts = {}
-    for value in (1, 0):
-        ids = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-        rows = short.join(F.broadcast(ids.select("doc_id")), "doc_id").orderBy("doc_id").limit(bound)
-        texts[value] = [r["text"] for r in rows.collect()]
+    # The ids alone meet the labels; only the texts of those picked go further.
+    first = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = (
+        known.join(short.select("doc_id").distinct(), "doc_id")
+        .withColumn("place", F.row_number().over(first))
+        .where(F.col("place") <= bound)
+        .select("doc_id", "label")
+    )
+    ids = park(picked, "sample")  # two times bound rows
+    rows = short.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    texts: dict[int, list[str]] = {1: [], 0: []}
+    for r in rows.orderBy("doc_id").collect():
+        texts[r["label"]].append(r["text"])
     total = sum(counts.values())
     return texts[1], texts[0], counts.get(1, 0) / total if total else 0.0
 
