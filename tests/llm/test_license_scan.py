@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -85,3 +86,25 @@ def test_query(spark, sf_dir):
         want = base(texts[r["doc_id"]])
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == want
         assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("licensed under cc by 3 0", "cc-by,cc-by-3.0"), ("licensed under cc by sa 3 0", "cc-by,cc-by-sa-3.0"),
+        ("licensed under cc by nd 2 0", "cc-by,cc-by-nd-2.0"), ("licenced under cc by 5 0", "cc-by"),
+        ("licensed under the gnu general public license version 1", "gpl,gpl-1.0"),
+        ("licensed under the apache license version 1 1", "apache-1.1"),
+        ("licensed under the apache license version 3 0", ""), ("released under the bit license", ""),
+        ("releasd under the mit licence", "mit"), ("licensed under the gnu lesser general public license", "gpl,lgpl"),
+    ],
+)
+def test_versions_and_names_are_not_edited(text, labels):
+    assert SCANNER.scan("some words " + text + " and more words")["labels"] == labels
+
+
+def test_many_phrases_take_linear_time():
+    started = time.perf_counter()
+    got = SCANNER.scan("cc by " * 80_000)
+    assert (got["n_base"], got["first_word"], got["last_word"]) == (80_000, 0, 159_998)
+    assert time.perf_counter() - started < 5

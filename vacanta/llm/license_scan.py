@@ -5,16 +5,19 @@ pieces, at least one of them stands in the text unchanged (pigeonhole), so one
 pass for all pieces of all notices finds every candidate. The regex library's
 bounded-error matching then looks at the few characters around a candidate,
 counts the edits and reports the span. Of overlapping spans the one with the
-fewest edits stays.
+fewest edits stays, and it must name the same license, variant and version as
+its notice: edits there are another license.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -46,10 +49,20 @@ NOTICES = [
     ("agpl", "licensed under the gnu affero general public license"),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
     ("epl", "made available under the terms of the eclipse public license"),
+    ("apache-1.1", "licensed under the apache license version 1 1"),
+    ("gpl-1.0", "licensed under the gnu general public license version 1"),
     ("cc-by-4.0", "licensed under cc by 4 0"),
     ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
     ("cc-by-nd-4.0", "licensed under cc by nd 4 0"),
+    ("cc-by-3.0", "licensed under cc by 3 0"),
+    ("cc-by-sa-3.0", "licensed under cc by sa 3 0"),
+    ("cc-by-nc-3.0", "licensed under cc by nc 3 0"),
+    ("cc-by-nd-3.0", "licensed under cc by nd 3 0"),
+    ("cc-by-2.0", "licensed under cc by 2 0"),
+    ("cc-by-sa-2.0", "licensed under cc by sa 2 0"),
+    ("cc-by-nc-2.0", "licensed under cc by nc 2 0"),
+    ("cc-by-nd-2.0", "licensed under cc by nd 2 0"),
     ("cc-by", "licensed under a creative commons attribution"),
     ("cc0", "to the extent possible under law the author has waived all copyright"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
@@ -57,6 +70,17 @@ NOTICES = [
     ("proprietary", "no part of this publication may be reproduced"),
 ]
 
+# Words that tell one license from another; an edit may not change them.
+TELLING = {
+    "apache", "mit", "bsd", "gnu", "lesser", "affero", "mozilla", "eclipse", "cc", "by", "sa", "nc", "nd", "creative",
+}
+
+
+def telling(words: list[str]) -> list[str]:
+    """Names, variants and versions among some words, in order."""
+    return [w for w in words if w in TELLING or w.isdigit()]
+
+
 RESULT = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
     "notices array<struct<label: string, first_word: long, last_word: long, edits: int>>"
@@ -70,6 +94,7 @@ class Found(NamedTuple):
     end: int
     edits: int
     length: int
+    telling: list[str]
 
 
 def pieces(notice: str, edits: int) -> list[tuple[int, str]]:
@@ -120,20 +145,31 @@ class Scanner:
                 window = (max(0, begin - edits), min(len(text), begin + len(words) + edits))
                 match = pattern.search(text, *window)
                 if match:
-                    found.append(Found(label, match.start(), match.end(), sum(match.fuzzy_counts), len(words)))
+                    found.append(Found(label, match.start(), match.end(), sum(match.fuzzy_counts), len(words), telling(words.split())))
                     looked[number] = begin + edits
-        kept: list[Found] = []
+        kept: list[Found] = []  # in order; none overlaps another
         for f in sorted(found, key=lambda f: (f.edits / f.length, -f.length, f.start)):
-            if all(f.end <= k.start or f.start >= k.end for k in kept):
-                kept.append(f)
-        return sorted(kept, key=lambda f: f.start)
+            at = bisect.bisect(kept, f.start, key=lambda k: k.start)
+            if (at == 0 or kept[at - 1].end <= f.start) and (at == len(kept) or kept[at].start >= f.end):
+                kept.insert(at, f)
+        return kept
+
+    def _same_license(self, found: Found, words: list[str], word_at) -> bool:
+        """Whether the words that tell licenses apart stand in the text as in the notice."""
+        there = words[word_at(found.start) : word_at(found.end - 1) + 1]
+        return telling(there) == found.telling
 
     def scan(self, text: str | None) -> dict:
         words = WORDS.findall((text or "").translate(ASCII_LOWER))
         normal = " ".join(words)
-        exact, fuzzy = self.exact(normal), self.fuzzy(normal)
-        word_at = lambda place: normal.count(" ", 0, place)
-        places = [word_at(at) for at, _ in exact]
+        starts = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])])  # place of each word
+
+        def word_at(place: int) -> int:
+            return int(np.searchsorted(starts, place, "right")) - 1
+
+        exact, fuzzy = self.exact(normal), [f for f in self.fuzzy(normal) if self._same_license(f, words, word_at)]
+        places = np.searchsorted(starts, [at for at, _ in exact], "right") - 1 if exact else []
+        places = [int(p) for p in places]
         base = {label for _, label in exact}
         return {
             "n_words": len(words),
