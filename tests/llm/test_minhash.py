@@ -109,3 +109,18 @@ def test_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     want = brute_components(texts, 3, 85)
     assert {r["doc_id"]: r["component_id"] for r in op7_minhash(spark, sf_dir).collect()} == want
+
+
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    near = b.replace("b50 ", "q ")
+    cases = [
+        ([(2, a), (2, c)], [[(2, a), (2, c)]]),
+        ([(1, b), (2, c), (2, b)], [[(1, b), (2, c)], [(2, b), (2, c)]]),
+        ([(5, a), (5, a), (5, b), (6, near), (5, None), (5, "")], [[(5, ""), (5, None), (5, a), (5, b)], [(5, ""), (5, None), (5, a), (6, near)]]),
+        ([(-3, a), (-3, b), (0, a)], [[(-3, a), (-3, b)], [(-3, b), (0, a)]]),
+    ]
+    for rows, allowed in cases:
+        docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, own string, tie long")
+        kept = sorted(((r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect()), key=str)
+        assert kept in [sorted(want, key=str) for want in allowed]

@@ -334,8 +334,38 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     return result.union(nameless)
 
 
+def _by_text(rows: DataFrame) -> DataFrame:
+    """``row, doc_id, text`` with an id of its own for every further text of a doc_id.
+
+    The further texts get numbers below all ids. They are stored, so every step
+    that follows sees the same ones.
+    """
+    tie = F.xxhash64("row.text")
+    plain = rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").alias("text"))
+    ties = rows.select(F.col("row.doc_id").cast("long").alias("of"), tie.alias("tie")).distinct()
+    per_id = ties.groupBy("of").agg(F.min("tie").alias("first"), F.max("tie").alias("last"))
+    several = park(per_id.where("first <> last").select("of", "first"), "several")
+    if several.isEmpty():
+        return plain
+    least = rows.agg(F.min(F.col("row.doc_id").cast("long"))).first()[0]
+    further = ties.join(several, "of").where("tie <> first").select("of", "tie")
+    further = park(further.withColumn("own", F.lit(least) - 1 - F.monotonically_increasing_id()), "further")
+    known = plain.withColumn("tie_", tie).join(
+        further, (F.col("doc_id") == F.col("of")) & (F.col("tie_") == F.col("tie")), "left"
+    )
+    return known.select("row", F.coalesce("own", "doc_id").alias("doc_id"), "text")
+
+
 def keep_one(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each component, with all columns."""
-    kept = near_duplicates(docs, like).where("kept and doc_id is not null").select(F.col("doc_id").alias("keep"))
-    named = docs.join(kept, docs["doc_id"] == kept["keep"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """The rows of ``docs`` that stay: one document of each component, with all columns.
+
+    Different texts of one doc_id are documents of their own; of rows alike in
+    id and text one stays. Null and empty texts are like nothing, and rows
+    without a doc_id stay as they are. No rows give no rows, and columns may
+    have any names.
+    """
+    rows = docs.where(docs["doc_id"].isNotNull()).select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    keyed = _by_text(rows)
+    kept = near_duplicates(keyed, like).where("kept").select(F.col("doc_id").alias("keep"))
+    named = keyed.join(kept, keyed["doc_id"] == kept["keep"], "left_semi").dropDuplicates(["doc_id"])
+    return named.select("row.*").unionByName(docs.where(docs["doc_id"].isNull()))
