@@ -40,6 +40,7 @@ LENGTH = 1024
 ROWS = 128  # sequences a batch
 END = 0
 KNOWN_WORDS = 320_000  # remembered encodings of a worker, twice; some 130 MB together
+LONG_WORD = 64  # characters; longer words are not remembered, which bounds the memory
 WORDS_AT_ONCE = 2_000
 CHARS_AT_ONCE = 500_000
 ODD_SPACE = re.compile(r"\s(?: |\Z)")  # white space before a space, or at the end
@@ -86,7 +87,8 @@ class Encoder:
             encoded = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
             ids = np.array(encoded.ids, self.type)
             ends = np.cumsum(self.lengths[ids])
-            places = np.cumsum([len(w.encode()) + 1 for w in some])
+            data = np.frombuffer(joined.encode(), np.uint8)
+            places = np.append(np.flatnonzero(data == 32)[1:], len(data))  # where each word ends
             cuts = ((np.searchsorted(ends, places) + 1) * self.type.itemsize).tolist()
             raw = ids.tobytes()
             self.known.update(zip(some, (raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
@@ -101,10 +103,14 @@ class Encoder:
         again = new.intersection(older)
         known.update(zip(again, map(older.__getitem__, again), strict=True))
         self.learn(list(new - again))
-        return [
+        encoded = [
             self.whole(text) if w is None else self.whole(w[0]) + b"".join([known[x] for x in w[1:]])
             for text, w in zip(texts, split, strict=True)
         ]
+        for word in new:
+            if len(word) > LONG_WORD:
+                known.pop(word, None)
+        return encoded
 
     def _odd(self, text: str) -> bool:
         return not text or ODD_SPACE.search(text) is not None or any(token in text for token in self.special)
@@ -161,6 +167,14 @@ def _runs(texts: pa.Array) -> Iterator[list[str]]:
         yield run
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder's URI with the file system that Spark resolves it against."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = path.makeQualified(store.getUri(), store.getWorkingDirectory()).toString()
+    return uri if "://" in uri else uri.replace(":/", ":///", 1)
+
+
 def place(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder's URI; a plain path is a local one."""
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
@@ -185,7 +199,7 @@ def write_tokens(
     an empty manifest.
     """
     spark = docs.sparkSession
-    folder = folder or new_folder(spark, "tokens")
+    folder = qualified(spark, folder or new_folder(spark, "tokens"))
     tokenizer = tokenizer or public_tokenizers.path(TOKENIZER)
     text = F.coalesce(F.col("text"), F.lit(""))
     ordered = (
