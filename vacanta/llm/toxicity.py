@@ -27,7 +27,6 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vacanta.llm.common import held_out, park
@@ -290,14 +289,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
     short = docs.where(F.col("text").isNotNull() & (F.length("text") <= chars)).select("doc_id", "text")
     counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     # The ids alone meet the labels; only the texts of those picked go further.
-    first = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (
-        known.join(short.select("doc_id").distinct(), "doc_id")
-        .withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= bound)
-        .select("doc_id", "label")
-    )
-    ids = park(picked, "sample")  # two times bound rows
+    usable = park(known.join(short.select("doc_id").distinct(), "doc_id"), "labelled")
+    picked = [
+        usable.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+        for value in (1, 0)
+    ]
+    ids = park(picked[0].unionByName(picked[1]).select("doc_id", "label"), "sample")  # two times bound rows
     rows = short.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     texts: dict[int, list[str]] = {1: [], 0: []}
     for r in rows.orderBy("doc_id").collect():
