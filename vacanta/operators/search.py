@@ -86,13 +86,13 @@ def by_publish_date(view: DataFrame, start: str, end: str) -> DataFrame:
     """Listings published from ``start`` up to, not including, ``end``."""
     low, high = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     published = F.col("publish_date")
-    return _on_days(view, "publish_day", low, high).where((published >= low) & (published < high))
+    return _on_days(view.where((published >= low) & (published < high)), "publish_day", low, high)
 
 
 def recent_inserts(view: DataFrame, now: Column, hours: int = 1) -> DataFrame:
     """Number of listings updated after ``now`` minus ``hours``."""
     since = now - F.make_dt_interval(hours=F.lit(hours))
-    recent = _on_days(view, "update_day", since).where(F.col("update_date") > since)
+    recent = _on_days(view.where(F.col("update_date") > since), "update_day", since)
     return recent.agg(F.count("*").alias("recent_inserts"))
 
 
