@@ -92,4 +92,5 @@ def test_registered():
     assert [n for n in driver.queries() if n.startswith("op")] == [
         "op1_sharding", "op2_url_filter", "op3_toxicity", "op4_quality_rules", "op5_token_files",
         "op6_mixing", "op7_minhash", "op8_license_scan", "op9_decontaminate", "op10_byte_cnn",
+        "op11_centroids", "op12_line_dedup", "op13_lexical_search",
     ]
