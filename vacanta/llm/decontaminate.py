@@ -16,14 +16,18 @@ Items too short for a window, and items in scripts without spaces, where words
 have no edges, are also looked for whole: one hash of all their words or, in
 such scripts, characters, joined with the sequences of that length.
 
-Before the join a Bloom filter of fixed size over the benchmark's windows leaves out nearly all windows of clean documents. A
-benchmark too large for the filter makes it useless, never wrong. Joins are
-left to Spark's own size checks.
+Before the join a Bloom filter of fixed size over the benchmark's windows leaves
+out nearly all windows of clean documents. A benchmark too large for the filter
+makes it useless, never wrong. Documents and items are candidates for each other
+where they share one of the item's anchors: windows chosen by how often documents
+have them, so that no leak is without one. Joins are left to Spark's own size
+checks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -40,6 +44,7 @@ LITERAL = 3  # tokens of a window that must be no placeholders
 COVERAGE = 0.5  # of an item's windows
 RUN = 13  # consecutive tokens of an item that are a leak, whatever share of it
 PIECE = 1 << 20  # characters of a text that are read at once
+CHARS_AT_ONCE = 1 << 16  # of short texts
 
 # Fixed values.
 NUMBER_WORDS = (
@@ -66,7 +71,6 @@ SPACELESS = (
 )
 
 _END, _LITERAL, _CAPITAL, _SLOT = 0, 1, 2, 3  # the two low bits of a token's code
-_FACTORS = np.array([xxhash.xxh64_intdigest(f"place {k}") | 1 for k in range(WINDOW)], np.uint64)
 NUMBER_SLOT, UNIT_SLOT, NAME_SLOT = (xxhash.xxh64_intdigest(f"<{s}>") & ~3 | _SLOT for s in ("number", "unit", "name"))
 
 
@@ -127,6 +131,24 @@ class Words(NamedTuple):
         return cls(found[0][~stop], found[2][~stop], opens[~stop], closes[~stop])
 
 
+class Tokens(NamedTuple):
+    """Tokens of some texts in one string, without ends of sentences.
+
+    ``begins`` has the first character of each text, ``tokens`` the first token
+    of each and the number of all; ``template`` and ``plain`` the windows' hashes.
+    """
+
+    text: str
+    begins: np.ndarray
+    tokens: np.ndarray
+    row: np.ndarray  # text of each token
+    end: np.ndarray
+    slot: np.ndarray
+    template: np.ndarray
+    plain: np.ndarray
+    words: Words
+
+
 class Reader:
     """Tokens and windows of texts."""
 
@@ -140,8 +162,8 @@ class Reader:
         self.known = np.array(sorted(known), np.uint64)
         self.slots = np.array([known[h] for h in sorted(known)], np.uint64)
 
-    def _piece(self, text: str, fine: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, kind, first, end, capital letters) of the tokens of some characters.
+    def _piece(self, text: str, fine: bool = False) -> tuple[np.ndarray, ...]:
+        """(hash, kind, first, end, capital letters, opens with one) of the tokens of some characters.
 
         Runs of letters, runs of digits with points and commas between digits,
         and single ends of sentences are tokens; with ``fine`` also each
@@ -164,9 +186,10 @@ class Reader:
         first, end = first[some], end[some]
         up, down = powers(len(char) + 1)
         sums = np.concatenate([[np.uint64(0)], np.cumsum((self.letters.folded[char] + np.uint64(1)) * up[: len(char)])])
-        capitals = np.concatenate([[0], np.cumsum(self.letters.upper[char])])
+        upper = self.letters.upper[char]
+        capitals = np.concatenate([[0], np.cumsum(upper, dtype=np.int32)])
         hashes = mix_bits((sums[end] - sums[first]) * down[first])
-        return hashes, kind[first], first, end, capitals[end] - capitals[first]
+        return hashes, kind[first], first, end, capitals[end] - capitals[first], upper[first]
 
     def tokens(self, text: str, fine: bool = False):
         """As ``_piece`` for a whole text, read ``PIECE`` characters and up to a space at a time.
@@ -180,20 +203,20 @@ class Reader:
             end = text.find(" ", at + PIECE, at + 2 * PIECE)
             end = min(len(text), at + 2 * PIECE) if end < 0 else end
             part = self._piece(text[at:end], fine)
-            found.append((part[0], part[1], part[2] + at, part[3] + at, part[4]))
+            found.append((*part[:2], part[2] + at, part[3] + at, *part[4:]))
             at = end
         return tuple(map(np.concatenate, zip(*found, strict=True)))
 
-    def spaceless(self, text: str) -> bool:
-        """Whether a text has letters of a script without spaces."""
+    def spaceless(self, text: str) -> np.ndarray:
+        """Places of the letters of scripts without spaces."""
         if text.isascii():
-            return False
+            return np.zeros(0, np.int64)
         char = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-        return bool(char.max() >= SPACELESS[0][0] and self.letters.alone[np.minimum(char, (1 << 16) - 1)].any())
+        return np.flatnonzero(self.letters.alone[np.minimum(char, (1 << 16) - 1)])
 
     def own_key(self, text: str) -> list[tuple[int, int, int]]:
         """(kind, hash, length) by which an item is looked for whole, if it is."""
-        spaceless = self.spaceless(text)
+        spaceless = len(self.spaceless(text)) > 0
         words = Words.of(self.tokens(text, spaceless))
         length = len(words.hashes)
         if not length or (length >= WINDOW and not spaceless):
@@ -204,39 +227,20 @@ class Reader:
             keys.append((ANCHOR, int(sequences(sums, WINDOW)[0]), WINDOW))
         return keys
 
-    def whole(self, text: str, words: Words, lengths: list[int], bits: bytes) -> Iterator[tuple[int, int, np.uint64]]:
-        """(first, last token, hash) of the sequences of some lengths that the Bloom filter knows.
-
-        One or two words alone are no question: such items must be a sentence
-        of their own.
-        """
-        fine = words
-        if spaceless := self.spaceless(text):
-            fine = Words.of(self.tokens(text, True))
-        sums, n = running(fine.hashes), len(fine.hashes)
-        anchors = np.flatnonzero(in_bloom(bits, sequences(sums, WINDOW))) if spaceless else np.zeros(0, np.int64)
-        for length in lengths:
-            starts = np.arange(max(0, n - length + 1)) if length < WINDOW else anchors[anchors + length <= n]
-            if length < LITERAL:
-                starts = starts[(fine.opens[starts] & fine.closes[starts + length - 1]).astype(bool)]
-            hashes = sequences(sums, length, starts)
-            known = in_bloom(bits, hashes)
-            for p, found in zip(starts[known].tolist(), hashes[known], strict=True):
-                ends = np.searchsorted(words.first, fine.first[[p, p + length - 1]], "right") - 1
-                yield int(ends[0]), int(ends[1]), found
-
-    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, Words]:
-        """(hash of each template window, of each plain window; first, end and is a slot of each token; words) of a text.
+    def read(self, texts: list[str]) -> Tokens | None:
+        """Tokens and windows of some texts, read as one.
 
-        In templates a capitalised word is a name unless it opens a sentence,
-        and windows with fewer than ``LITERAL`` literal tokens say too little:
-        their hash is 0.
+        A line feed, an end of a sentence, stands between them, so each has the
+        tokens that it has alone. In templates a capitalised word is a name unless it
+        opens a sentence, and windows with fewer than ``LITERAL`` literal tokens say
+        too little: their hash is 0, as is that of windows across two texts.
         """
+        text = "\n".join(texts)
         found = self.tokens(text)
         if found is None or not len(found[0]):
-            return *([np.zeros(0, np.uint64)] * 2), *([np.zeros(0, np.int64)] * 3), Words.of(None)
-        hashes, kind, first, end, capitals = found
-        word = kind == 1
+            return None
+        hashes, kind, first, end, capitals, opening = found
+        word, stop = kind == 1, kind == 3
         code = hashes & ~np.uint64(3) | np.uint64(_LITERAL)
         spot = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
         special = word & (self.known[spot] == hashes) & ((self.slots[spot] != NAME_SLOT) | (capitals > 0))
@@ -244,24 +248,79 @@ class Reader:
         code = np.where(kind == 2, np.uint64(NUMBER_SLOT), code)
         # One capital, the first letter: a name where it does not open a
         # sentence. In a run of such words, as in a headline, they are words.
-        opening = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")[first], (1 << 16) - 1)
-        capital = word & ~special & (capitals == 1) & (end - first > 1) & self.letters.upper[opening]
-        stop = kind == 3
-        opens = np.concatenate([[True], stop[:-1]])
+        capital = word & ~special & (capitals == 1) & (end - first > 1) & opening
+        opens, closes = np.concatenate([[True], stop[:-1]]), np.concatenate([stop[1:], [True]])
         near = np.concatenate([[False], capital[:-1]]) | np.concatenate([capital[1:], [False]])
         code = np.where(capital & ~opens & ~near, np.uint64(NAME_SLOT), code)
-        code, first, end = code[~stop], first[~stop], end[~stop]
+        kept = ~stop
+        code, first, end = code[kept], first[kept], end[kept]
+        words = Words(hashes[kept], first, opens[kept], closes[kept])
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        row = np.searchsorted(begins, first, "right") - 1
         slot = (code & np.uint64(3)) == _SLOT
-        n = max(0, len(code) - WINDOW + 1)
-        total, literal = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-        for k in range(WINDOW):
-            part = code[k : k + n]
-            total += (part ^ (part >> np.uint64(29))) * _FACTORS[k]
-            literal += ~slot[k : k + n]
-        total ^= total >> np.uint64(32)
-        total[literal < LITERAL] = 0
-        words = Words.of(found)
-        return total, sequences(running(words.hashes), WINDOW), first, end, slot, words
+        template, plain = (sequences(running(x), WINDOW) for x in (code, words.hashes))
+        n = len(plain)
+        across = row[:n] != row[WINDOW - 1 :][:n]
+        slots = np.concatenate([[0], np.cumsum(slot, dtype=np.int32)])
+        template[across | (slots[WINDOW:] - slots[:-WINDOW] > WINDOW - LITERAL if n else across)] = 0
+        plain[across] = 0
+        return Tokens(text, begins, np.searchsorted(row, np.arange(len(texts) + 1)), row, end, slot, template, plain, words)
+
+    def whole(self, read: Tokens, lengths: list[int], bits: bytes) -> Iterator[tuple[int, int, int, np.uint64]]:
+        """(text, first, last token in it, hash) of the sequences of some lengths that the Bloom filter knows.
+
+        One or two words alone are no question: such items must be a sentence
+        of their own.
+        """
+        rows = np.unique(np.searchsorted(read.begins, self.spaceless(read.text), "right") - 1)
+        spaced = ~np.isin(read.row, rows)
+        for first, last, found in self._known(read.words, lengths, bits, None, read.row, spaced):
+            i = read.row[first]
+            yield int(i), int(first - read.tokens[i]), int(last - read.tokens[i]), found
+        for i in rows.tolist():
+            low = int(read.begins[i])
+            high = int(read.begins[i + 1]) - 1 if i + 1 < len(read.begins) else len(read.text)
+            fine = Words.of(self.tokens(read.text[low:high], True))
+            anchors = np.flatnonzero(in_bloom(bits, sequences(running(fine.hashes), WINDOW)))
+            words = read.words.first[read.tokens[i] : read.tokens[i + 1]] - low
+            same = np.zeros(len(fine.hashes), np.int64)
+            for first, last, found in self._known(fine, lengths, bits, anchors, same, same == 0):
+                ends = np.searchsorted(words, fine.first[[first, last]], "right") - 1
+                yield i, int(ends[0]), int(ends[1]), found
+
+    @staticmethod
+    def _known(words, lengths, bits, anchors, row, usable) -> Iterator[tuple[int, int, np.uint64]]:
+        """(first, last token, hash) of the known sequences inside one text; long ones start at an anchor."""
+        sums, n = running(words.hashes), len(words.hashes)
+        for length in lengths:
+            if length < WINDOW:
+                starts = np.arange(max(0, n - length + 1))
+            elif anchors is not None:
+                starts = anchors[anchors + length <= n]
+            else:
+                continue
+            last = starts + length - 1
+            good = usable[starts] & (row[starts] == row[last])
+            if length < LITERAL:
+                good &= words.opens[starts].astype(bool) & words.closes[last].astype(bool)
+            starts = starts[good]
+            hashes = sequences(sums, length, starts)
+            known = in_bloom(bits, hashes)
+            for p, found in zip(starts[known].tolist(), hashes[known], strict=True):
+                yield p, p + length - 1, found
+
+
+def _runs(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(number of the first, texts) in turn, so many as make some ``CHARS_AT_ONCE`` characters; a null is empty."""
+    run, chars, at = [], 0, 0
+    for text in texts:
+        run.append(unsharp(text.as_py() or ""))
+        chars += len(run[-1])
+        if chars >= CHARS_AT_ONCE:
+            yield at, run
+            run, chars, at = [], 0, at + len(run)
+    if run:
+        yield at, run
 
 
 def template_windows(
@@ -279,31 +338,34 @@ def template_windows(
         reader = Reader()
         for batch in batches:
             row, kinds, at, last, hashes, slots, counts = [], [], [], [], [], [], []
-            for i, text in enumerate(batch.column(len(key))):
-                text = unsharp(text.as_py() or "")
-                template, plain, first, end, slot, words = reader.windows(text)
-                for kind, found in ((TEMPLATE, template), (PLAIN, plain)):
-                    good = found != 0
-                    usable = int(good.sum())
+            for low, texts in _runs(batch.column(len(key))):
+                read = reader.read(texts)
+                if read is None:
+                    continue
+                text, first, end, slot = read.text, read.words.first, read.end, read.slot
+                for kind, found in ((TEMPLATE, read.template), (PLAIN, read.plain)):
+                    good = np.flatnonzero(found)
+                    usable = np.bincount(read.row[good], minlength=len(texts))
                     if bits is not None:
-                        good &= in_bloom(bits, found)
-                    for p in np.flatnonzero(good).tolist():
-                        row.append(i)
-                        kinds.append(kind)
-                        at.append(p)
-                        last.append(p + WINDOW - 1)
-                        counts.append(usable)
+                        good = good[in_bloom(bits, found[good])]
+                    rows = read.row[good]
+                    row.append(rows + low)
+                    kinds.append(np.full(len(good), kind))
+                    at.append(good - read.tokens[rows])
+                    last.append(at[-1] + WINDOW - 1)
+                    counts.append(usable[rows])
+                    hashes.append(found[good])
+                    for p in good.tolist():
                         places = range(p, p + WINDOW) if kind == TEMPLATE else ()
                         slots.append([text[first[k] : end[k]].lower() for k in places if slot[k]])
-                    hashes.append(found[good])
-                for p, q, found in reader.whole(text, words, lengths, bits) if lengths else ():
-                    row.append(i)
-                    kinds.append(WHOLE)
-                    at.append(p)
-                    last.append(q)
-                    counts.append(1)
-                    slots.append([])
+                for i, p, q, found in reader.whole(read, lengths, bits) if lengths else ():
+                    for column, value in ((row, i + low), (kinds, WHOLE), (at, p), (last, q), (counts, 1)):
+                        column.append(np.array([value]))
                     hashes.append(np.array([found]))
+                    slots.append([])
+            row, kinds, at, last, counts = (
+                np.concatenate([np.zeros(0, np.int64), *x]) for x in (row, kinds, at, last, counts)
+            )
             picked = batch.select(range(len(key))).take(pa.array(row, pa.int64()))
             flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -401,11 +463,11 @@ def _longest_run(hits: list[tuple]) -> int:
     return best
 
 
-def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
-    """Best copy of one item in one document: covered share of the item's windows, longest run of tokens."""
-    rows = rows.sort_values(["at", "item_at"], kind="stable")
-    item = int(rows["item_windows"].iloc[0])
-    hits = list(zip(*(rows[c].tolist() for c in ("at", "item_at", "item_slots", "slots")), strict=True))
+def _best_copy(hits: list[tuple], item: int) -> tuple[float, int, int, int]:
+    """(covered share, first, last token, longest run of tokens) of the best copy of an item of so many windows.
+
+    ``hits`` are (at, item_at, item's slots, document's), by place.
+    """
     best, place = 0, (0, 0)
     for group in _groups(hits, item):
         if best >= item:
@@ -414,25 +476,93 @@ def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
             places = [h[0] for h in group]
             best, place = covered, (min(places), max(places) + WINDOW - 1)
     windows = _longest_run(hits)
-    first = rows.iloc[0]
-    return pd.DataFrame(
-        [[first["doc_id"], first["tie"], first["item_id"], best / item, *place, windows + WINDOW - 1 if windows else 0]],
-        columns=["doc_id", "tie", "item_id", "coverage", "first_token", "last_token", "run"],
-    )
+    return best / item, *place, windows + WINDOW - 1 if windows else 0
 
 
-def _better(rows: pd.DataFrame) -> pd.DataFrame:
+def _consistent(rows: pd.DataFrame) -> pd.DataFrame:
+    """``_best_copy`` of the hits of one kind that a frame has of one document and item."""
+    rows = rows.sort_values(["at", "item_at"], kind="stable")
+    hits = list(zip(*(rows[c].tolist() for c in ("at", "item_at", "item_slots", "slots")), strict=True))
+    found = _best_copy(hits, int(rows["item_windows"].iloc[0]))
+    return pd.DataFrame([found], columns=["coverage", "first_token", "last_token", "run"])
+
+
+def _better(rows: list[tuple]) -> list[tuple]:
     """The kind of windows of one document and one item that covers more of the item."""
-    parts = {kind: part for kind, part in rows.groupby("kind")}
-    found = [_consistent(part) for kind, part in parts.items() if kind != WHOLE]
-    if WHOLE in parts:
-        first = parts[WHOLE].sort_values("at").head(1)
-        names = {"at": "first_token", "last": "last_token"}
-        found.append(first.assign(coverage=1.0, run=first["last"] + 1 - first["at"]).rename(columns=names)[
-            ["doc_id", "tie", "item_id", "coverage", "first_token", "last_token", "run"]
-        ])
-    found = pd.concat(found)
-    return found.sort_values("coverage", ascending=False, kind="stable").head(1).assign(run=found["run"].max())
+    found = []
+    for kind in (TEMPLATE, PLAIN, WHOLE):
+        some = [r[4:] for r in rows if r[3] == kind]
+        if some and kind == WHOLE:
+            at, last = some[0][0], some[0][5]
+            found.append((1.0, at, last, last + 1 - at))
+        elif some:
+            found.append(_best_copy([hit[:4] for hit in some], some[0][4]))
+    best = max(found, key=lambda f: f[0])  # the first of equals
+    return [(*rows[0][:3], *best[:3], max(f[3] for f in found))]
+
+
+def _spread(places: list[int], costs: list[int]) -> Iterator[int]:
+    """Numbers of the cheapest windows such that each run of ``RUN`` tokens has one."""
+    span = RUN - WINDOW + 1
+    cuts = [k for k in range(1, len(places)) if places[k] != places[k - 1] + 1]
+    for low, high in zip([0, *cuts], [*cuts, len(places)], strict=True):
+        if high - low < span:
+            continue
+        best: list[tuple[int, int]] = []  # cost up to a window that is taken, the one taken before
+        for k in range(low, high):
+            before = min(((best[q - low][0], q) for q in range(max(low, k - span), k)), default=(0, -1))
+            best.append((costs[k] + 1 + (before[0] if k - low >= span else 0), before[1] if k - low >= span else -1))
+        at = min(range(high - span, high), key=lambda k: best[k - low][0])
+        while at >= 0:
+            yield at
+            at = best[at - low][1]
+
+
+def _anchors(rows: list[tuple], coverage: float) -> Iterator[tuple]:
+    """Windows of one item and kind of which every leak has one, the rarest that do.
+
+    A leak has ``coverage`` of the windows, so it misses too few to miss all of
+    any greater number of them; or it has a run, and ``_spread`` leaves none out.
+    """
+    total = rows[0][4]
+    needed = max(1, math.ceil(coverage * total - 1e-9))
+    costs = [r[5] for r in rows]
+    rarest = sorted(range(len(rows)), key=lambda k: (costs[k], k))[: max(0, total - needed + 1)]
+    for k in sorted({*rarest, *_spread([r[2] for r in rows], costs)}):
+        yield rows[k][0], rows[k][1], rows[k][3]
+
+
+def in_groups(
+    rows: DataFrame, key: list[str], order: list[str], judge: Callable[[list[tuple]], Iterable[tuple]], shape: str
+) -> DataFrame:
+    """What ``judge`` gives for the rows of each key, in order; only one key's rows are held at a time.
+
+    Rows are tuples of the columns in their order, which starts with ``key``.
+    """
+    types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+    schema = pa.schema([(name, types[kind]) for name, kind in (c.split() for c in shape.split(", "))])
+    n = len(key)
+
+    def table(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), schema, strict=True)], schema=schema
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, found = [], []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][:n] != row[:n]:
+                    found += judge(held)
+                    held = []
+                held.append(row)
+            if found:
+                yield table(found)
+                found = []
+        if held and (found := list(judge(held))):
+            yield table(found)
+
+    return rows.repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(run, shape)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -452,13 +582,32 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
     # Most documents have no hit and leave nothing behind here.
     hits = park(template_windows(keyed, ["doc_id", "tie"], bits, lengths).drop("n_windows"), "hits")
+    # A phrase that many items and documents share must not join each with
+    # each: candidates meet in rare windows only, and only theirs are compared.
+    seen = hits.groupBy("kind", "hash").agg(F.count("*").alias("n_hits"))
+    rated = items.join(seen, ["kind", "hash"], "left").select(
+        "item_id", "kind", "at", "hash", "n_windows", F.coalesce("n_hits", F.lit(0)).alias("n_hits")
+    )
+    anchors = in_groups(
+        rated, ["item_id", "kind"], ["at"], lambda rows: _anchors(rows, coverage), "item_id long, kind int, hash long"
+    )
+    pairs = hits.join(anchors, ["kind", "hash"]).select("doc_id", "tie", "item_id").distinct()
     ours = items.select(
         "item_id", "kind", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
         F.col("n_windows").alias("item_windows"),
     )
-    met = hits.join(ours, ["kind", "hash"]).where(F.size("slots") == F.size("item_slots")).drop("hash").distinct()
+    wanted = pairs.withColumnsRenamed({"doc_id": "id", "tie": "row"}).join(ours, "item_id")
+    wanted = wanted.withColumnsRenamed({"kind": "item_kind", "hash": "item_hash"})
+    theirs = hits.distinct()  # equal rows are one
+    same = (
+        theirs["doc_id"].eqNullSafe(wanted["id"]) & (theirs["tie"] == wanted["row"])
+        & (theirs["kind"] == wanted["item_kind"]) & (theirs["hash"] == wanted["item_hash"])
+    )
+    met = theirs.join(wanted, same).where(F.size("slots") == F.size("item_slots")).select(
+        "doc_id", "tie", "item_id", "kind", "at", "item_at", "item_slots", "slots", "item_windows", "last"
+    )
     shape = "doc_id long, tie long, item_id long, coverage double, first_token long, last_token long, run long"
-    held = met.groupBy("doc_id", "tie", "item_id").applyInPandas(_better, shape)
+    held = in_groups(met, ["doc_id", "tie", "item_id"], ["kind", "at", "item_at"], _better, shape)
     return held.where((F.col("coverage") >= coverage) | (F.col("run") >= RUN))
 
 
