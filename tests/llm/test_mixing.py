@@ -86,3 +86,23 @@ def test_query(spark, sf_dir):
     for r in rows:
         by.setdefault((r["source_size"], r["target"]), []).append(r["taken"])
     assert all(abs(sum(taken) - target) <= 0.5 for (_, target), taken in by.items())
+
+
+def test_columns_of_clashing_names(spark):
+    names = ["copy", "mix_text", "Mix_Shard", "to", "row", "mix_id", "times", "a.b"]
+    shape = "doc_id long, source string, text string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([(i, f"s{i % 2}", f"x y z{i}", *names) for i in range(60)], shape)
+    mixture = mixing.mix(docs, whole=True)
+    rows = mixing.mixed_rows(docs, mixture)
+    assert rows.columns == ["doc_id", "source", "text", "copy", "mix_text", "to", "row", "mix_id", "times", "a.b", "mix_shard", "mix_order"]
+    got = rows.collect()
+    assert len(got) > 60 and all(r["copy"] == "copy" and r["a.b"] == "a.b" and 0 <= r["mix_shard"] < 16 for r in got)
+
+
+def test_of_rows_alike_the_same_one_stays(spark):
+    rows = [(1, "a", "x y z", f"n{k}") for k in range(9)] + [(i, "a", "u v", "n") for i in range(2, 40)]
+    shape = "doc_id long, source string, text string, note string"
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, shape).repartition(4)
+        got = mixing.mixed_rows(docs, mixing.mix(docs, whole=True)).where("doc_id = 1").collect()
+        assert got and {r["note"] for r in got} == {"n0"}

@@ -63,3 +63,13 @@ def test_clean_prose_is_kept_and_each_rule_bites(spark):
     assert got["clean"]["kept"]
     for name in bad:
         assert name in got[name]["broken_rules"] and not got[name]["kept"]
+
+
+def test_columns_of_clashing_names(spark):
+    docs = spark.createDataFrame(
+        [("a b", 1, 2, 3, 4, None)], "text string, _counts int, N_words int, counts int, `a.b` int, kept string"
+    )
+    got = rules.apply_rules(docs)
+    assert got.columns[:4] == ["text", "_counts", "counts", "a.b"] and len({c.lower() for c in got.columns}) == len(got.columns)
+    row = got.collect()[0]
+    assert (row["_counts"], row["counts"], row["a.b"], row["n_words"], row["kept"]) == (1, 3, 4, 2, False)

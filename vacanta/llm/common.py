@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,17 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def column(name: str) -> Column:
+    """The column of that very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def others(docs: DataFrame, names: Iterable[str]) -> list[str]:
+    """The columns that are named like none of ``names``, in whatever case."""
+    taken = {n.lower() for n in names}
+    return [c for c in docs.columns if c.lower() not in taken]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacanta.llm.common import WORD, park
+from vacanta.llm.common import WORD, column, others, park
 
 BLOCKS = 512  # per source and level
 DOCS_PER_BLOCK = 32  # a source with fewer documents than BLOCKS of these gets fewer blocks
@@ -267,8 +267,11 @@ def mixed_rows(docs: DataFrame, mixture: Mix, seed: int = 7) -> DataFrame:
     """The rows of ``docs`` once per whole copy taken, with all their columns.
 
     Adds ``mix_shard`` and ``mix_order``, a random place in the shard; sort by
-    both to write the shards. Equal rows of ``docs`` count as one here, as
-    their copies are all decided together. Parts of documents are not given.
+    both to write the shards. Columns of ``docs`` of these names, in whatever case,
+    are replaced. Rows alike in id, source and text count as one here, as
+    their copies are all decided together; where their other columns differ,
+    the row whose JSON comes first stays. Parts of documents are not given. No
+    rows give no rows.
     """
     extra = F.array_repeat("extra_shard", F.col("extra").cast("int"))
     every = F.flatten(F.array_repeat("shards", F.col("times").cast("int")))
@@ -281,18 +284,18 @@ def mixed_rows(docs: DataFrame, mixture: Mix, seed: int = 7) -> DataFrame:
         .select(F.col("id").alias("mix_id"), "mix_source", F.col("tie").alias("mix_tie"), F.concat(every, extra).alias("to"), "times")
     )
     repeated = copies.where("times > 1").limit(1).count()
-    keyed = docs.withColumn("mix_text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    row = F.struct(*[column(c) for c in others(docs, ["mix_shard", "mix_order"])])
+    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    keyed = docs.select(
+        row.alias("row"), F.col("doc_id").alias("row_id"), F.col("source").alias("row_source"), text.alias("row_text")
+    )
     if repeated:
-        keyed = keyed.dropDuplicates(["doc_id", "source", "mix_text"])
+        keyed = keyed.groupBy("row_id", "row_source", "row_text").agg(F.min_by("row", F.to_json("row")).alias("row"))
     same = (
-        keyed["doc_id"].eqNullSafe(copies["mix_id"])
-        & (keyed["mix_text"] == copies["mix_tie"])
-        & keyed["source"].eqNullSafe(copies["mix_source"])
-    )
-    spot = F.xxhash64(F.lit(f"order {seed}"), "doc_id", "mix_text", "copy")
-    return (
-        keyed.join(copies, same)
-        .select(*[keyed[c] for c in docs.columns], "mix_text", F.posexplode("to").alias("copy", "mix_shard"))
-        .withColumn("mix_order", spot)
-        .drop("mix_text", "copy")
+        keyed["row_id"].eqNullSafe(copies["mix_id"])
+        & (keyed["row_text"] == copies["mix_tie"])
+        & keyed["row_source"].eqNullSafe(copies["mix_source"])
     )
+    spot = F.xxhash64(F.lit(f"order {seed}"), "row_id", "row_text", "copy")
+    taken = keyed.join(copies, same).select("row", "row_id", "row_text", F.posexplode("to").alias("copy", "mix_shard"))
+    return taken.select("row.*", "mix_shard", spot.alias("mix_order"))

@@ -13,6 +13,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vacanta.llm.common import column, others
+
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
@@ -153,17 +155,17 @@ def apply_rules(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
     Null and empty texts have no words and fail the base rule. Repeated rows
     are judged alike, no rows give no rows, and columns of ``docs`` named like
-    the results are replaced.
+    the results, in whatever case, are replaced.
     """
-    new = [*COUNTS, "base_failed", "broken_rules", "kept"]
-    kept_columns = [c for c in docs.columns if c not in new]
-    counted = docs.select(*[docs[c] for c in kept_columns], counts(docs["text"]).alias("_counts"))
+    mine = [column(c) for c in others(docs, [*COUNTS, "base_failed", "broken_rules", "kept"])]
+    name = "counts_" + "_".join(docs.columns)  # no column of docs has it
+    counted = docs.select(*mine, counts(F.col("text")).alias(name))
+    found = column(name)
     flat = counted.select(
-        *kept_columns,
-        *(F.col(f"_counts.words.{c}") for c in ("n_words", "word_chars", "n_stop_words", "n_repeat_words")),
-        *(F.col(f"_counts.lines.{c}") for c in ("n_lines", "n_dup_lines")),
-        "_counts.n_symbols",
-        "_counts.n_capitals",
+        *mine,
+        *(found["words"][c].alias(c) for c in ("n_words", "word_chars", "n_stop_words", "n_repeat_words")),
+        *(found["lines"][c].alias(c) for c in ("n_lines", "n_dup_lines")),
+        *(found[c].alias(c) for c in ("n_symbols", "n_capitals")),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     names = F.array_compact(F.array(*(F.when(broken(r), F.lit(r.name)) for r in rules)))
