@@ -1,0 +1,36 @@
+"""Landing, slices and stores spread their work and make their rows once."""
+
+from pyspark.sql import functions as F
+
+from vacanta.sources import samples
+
+ORDERS = (
+    "id as o_orderkey, id * 7 % 501 as o_custkey, case id % 3 when 0 then 'P' else 'F' end as o_orderstatus,"
+    " timestamp_ntz '1998-01-01 00:00:00' as o_orderdate, '1-URGENT' as o_orderpriority"
+)
+
+
+def _files(spark, path):
+    """Rows of every file below a folder."""
+    named = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file"))
+    return [r["count"] for r in named.count().collect()]
+
+
+def test_landing_is_spread_over_tasks_whatever_the_page_ids(spark, tmp_path):
+    same = spark.range(0, 4000, 1, 1).selectExpr(*ORDERS.replace("id as o_orderkey", "7L as o_orderkey").split(", "))
+    same.write.parquet(f"{tmp_path}/orders.parquet")
+    rows = _files(spark, samples.landed_path(spark, str(tmp_path)))
+    assert sum(rows) == 4000
+    assert len(rows) == spark.sparkContext.defaultParallelism
+    assert max(rows) - min(rows) <= len(rows)
+
+
+def test_the_text_of_items_is_that_of_each_item(spark):
+    nulls = ["case when id % 5 <> 0 then o_custkey end as o_custkey", "case when id % 7 <> 0 then o_orderkey end as o_orderkey"]
+    orders = spark.range(500).selectExpr("id", *ORDERS.split(", ")).selectExpr(
+        *nulls, "o_orderstatus", "o_orderdate", "case when id % 4 <> 0 then o_orderpriority end as o_orderpriority"
+    )
+    plain = f"case when n_items = 0 then '' else array_join(transform(sequence(1, n_items), i -> {samples._item_json()}), ',') end"
+    texts = spark.sql(samples.PAGE_BASE, orders=orders).selectExpr(f"{samples.SPARK_ITEMS_TEXT} as got", f"{plain} as wanted")
+    assert texts.where("not (got <=> wanted)").count() == 0
+    assert texts.where("got like '%madeUpKey%'").count() > 300

@@ -6,6 +6,8 @@ check can start from the same rows. ``{orders}``, ``{events}`` and
 one table: no join, no window, no collected group, whatever the size.
 """
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vacanta.sources.responses import read_responses
@@ -72,15 +74,20 @@ TAGS_VALUE = """case (page_id + i) % 8 when 0 then 'pension,day shift' when 1 th
   when 2 then 'flexible' when 3 then '5' when 6 then 'a,b' when 7 then 'x' end"""
 
 
-def _item_json() -> str:
-    parts = []
+def _item_parts() -> list[str]:
+    """The text of an item in parts; no part is NULL."""
+    parts = ["'{'"]
     for name, value in ITEM_VALUES.items():
         if name == "jobDescribe":  # line feed and quotes need JSON escapes
             value = "concat(o_orderpriority, chr(92), 'n', chr(92), '\"', kw, chr(92), '\" 数据')"
         parts.append(f"coalesce('\"{name}\":\"' || {value} || '\",', '')")
     # || is NULL when a side is NULL in every engine, concat is not.
     parts.append(f"coalesce('\"jobTags\":' || {TAGS_JSON} || ',', '')")
-    return "concat('{', " + ", ".join(parts) + ", '\"madeUpKey\":1}')"
+    return [*parts, "'\"madeUpKey\":1}'"]
+
+
+def _item_json() -> str:
+    return f"concat({', '.join(_item_parts())})"
 
 
 # Body text of a page, given the text of all its items.
@@ -94,10 +101,33 @@ PAGE_BODY = """case kind
   else concat('{"status":', case kind when 'refused' then '"0"' when 'numeric' then '1' else '"1"' end,
     ',"resultbody":{"job":{"items":[', items_text, ']}}}', case kind when 'trailing' then ' garbage' else '' end) end"""
 
-SPARK_ITEMS_TEXT = (
-    "case when n_items = 0 then '' else array_join(transform(sequence(1, n_items), i -> "
-    + _item_json() + "), ',') end"
-)
+
+
+def _spark_items_text() -> str:
+    """The text of all items of a page, as ``_item_json`` gives each.
+
+    Most keys have the same value in every item of a page. Runs of these are put
+    together once a page, as the one element of an array, and not once an item:
+    a lambda is not compiled, so its body is the cost of landing.
+    """
+    runs: list[tuple[bool, list[str]]] = []
+    for part in _item_parts():
+        by_item = re.search(r"\bi\b", re.sub(r"'[^']*'", "", part)) is not None
+        if not runs or runs[-1][0] != by_item:
+            runs.append((by_item, []))
+        runs[-1][1].append(part)
+    same, pieces = [], []
+    for by_item, parts in runs:
+        if by_item:
+            pieces += parts
+        else:
+            pieces.append(f"same.s{len(same)}")
+            same.append(f"concat({', '.join(parts)}) as s{len(same)}")
+    items = f"array_join(transform(sequence(1, n_items), i -> concat({', '.join(pieces)})), ',')"
+    return f"case when n_items = 0 then '' else transform(array(struct({', '.join(same)})), same -> {items})[0] end"
+
+
+SPARK_ITEMS_TEXT = _spark_items_text()
 DUCKDB_ITEMS_TEXT = (
     "array_to_string(list_transform(range(1, n_items + 1), lambda i: " + _item_json() + "), ',')"
 )
@@ -189,23 +219,34 @@ PAGES_PER_FILE = 20_000
 _landed: dict[tuple[str, str], str] = {}
 
 
+def page_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A narrow row per landed page, from which ``write_pages`` makes its text."""
+    return shape(spark, sf_dir, PAGE_BASE)
+
+
+def write_pages(pages: DataFrame, path: str, files: int, mode: str = "errorifexists") -> None:
+    """Write rows of ``page_base`` as landed responses into so many files of like size.
+
+    A page's text is some twenty times its row, so rows are spread before the
+    text is made, over as many tasks as files, and no text is ever shuffled.
+    """
+    (
+        pages.repartition(files)
+        .selectExpr("*", f"{SPARK_ITEMS_TEXT} as items_text")
+        .selectExpr("page_id", "run", "kw", "city", "page", "status_code", f"{PAGE_BODY} as body")
+        .write.mode(mode)
+        .parquet(path)
+    )
+
+
 def landed_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of landed responses, written once per application and table set."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         path = new_folder(spark, "landed")
-        # A page's text is some twenty times its row, so rows are spread first:
-        # one small file of orders would otherwise be written by one task.
-        pages = shape(spark, sf_dir, PAGE_BASE).repartition("page_id")
-        (
-            pages.selectExpr("*", f"{SPARK_ITEMS_TEXT} as items_text")
-            .selectExpr(
-                "page_id", "run", "kw", "city", "page", "status_code", f"{PAGE_BODY} as body"
-            )
-            .write.mode("errorifexists")
-            .option("maxRecordsPerFile", PAGES_PER_FILE)
-            .parquet(path)
-        )
+        pages = page_base(spark, sf_dir)
+        files = -(-pages.count() // PAGES_PER_FILE)
+        write_pages(pages, path, max(files, spark.sparkContext.defaultParallelism))
         _landed[key] = path
     return _landed[key]
 
