@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from vacanta.plans import queries
 from vacanta.sources import samples
 
 ORDERS = (
@@ -34,3 +35,17 @@ def test_the_text_of_items_is_that_of_each_item(spark):
     texts = spark.sql(samples.PAGE_BASE, orders=orders).selectExpr(f"{samples.SPARK_ITEMS_TEXT} as got", f"{plain} as wanted")
     assert texts.where("not (got <=> wanted)").count() == 0
     assert texts.where("got like '%madeUpKey%'").count() > 300
+
+
+def test_slices_have_more_files_the_more_pages_and_all_the_same(spark, tmp_path):
+    spark.range(9000).selectExpr(*ORDERS.split(", ")).write.parquet(f"{tmp_path}/orders.parquet")
+    path, files = queries._landed_slices(spark, str(tmp_path))
+    assert files == min(spark.sparkContext.defaultParallelism, 3)
+    slices = spark.read.parquet(path).select((F.col("page_id") % 3).alias("slice"), "_metadata.file_path").distinct()
+    assert {r["slice"]: r["count"] for r in slices.groupBy("slice").count().collect()} == {0: files, 1: files, 2: files}
+
+    items = queries._items(spark, str(tmp_path), "jobId").select("jobId", "page_id").where("jobId is not null")
+    arrived = F.array_position(F.array(*[F.lit(p) for p in queries.FIRST_SEEN_ORDER]), (F.col("page_id") % 3).cast("int"))
+    first = items.groupBy("jobId").agg(F.min_by("page_id", F.struct(arrived, "page_id")).alias("page_id"))
+    got = queries.stream_dedupe(spark, str(tmp_path)).select("jobId", "page_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, first.collect()))

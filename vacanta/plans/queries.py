@@ -626,7 +626,7 @@ def check_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams ------------------------------------------------------------------
 
-_logs: dict[tuple[str, str, str], str] = {}
+_logs: dict[tuple[str, str, str], str | tuple[str, int]] = {}
 FIRST_SEEN_ORDER = (2, 0, 1)  # page_id modulo 3, in order of arrival
 
 
@@ -647,18 +647,32 @@ def _landed_log(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame, ne
     return _logs[key]
 
 
-def _landed_slices(spark: SparkSession, sf_dir: str) -> str:
-    """Landed pages in slices, the youngest ids in the middle one."""
+def _landed_slices(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Landed pages in slices, the youngest ids in the middle one, and the files of a slice.
+
+    A slice has more files the more pages it has, all slices the same number, so
+    that a batch of so many files is a slice. With 1,000 pages a file in the
+    smallest slice none is left empty.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, "slices")
     if key not in _logs:
         path = new_folder(spark, "slices")
-        rows = samples.landed_responses(spark, sf_dir)
-        for part in FIRST_SEEN_ORDER:
-            rows.where(F.col("page_id") % 3 == part).repartition(SLICE_FILES).write.mode("append").parquet(path)
-        _logs[key] = path
+        pages = samples.page_base(spark, sf_dir)
+        parts = [pages.where(F.col("page_id") % 3 == part) for part in FIRST_SEEN_ORDER]
+        sizes = [part.count() for part in parts]
+        wanted = max(-(-max(sizes) // samples.PAGES_PER_FILE), spark.sparkContext.defaultParallelism)
+        files = max(SLICE_FILES, min(wanted, min(sizes) // 1000))
+        for part in parts:
+            samples.write_pages(part, path, files, mode="append")
+        _logs[key] = path, files
     return _logs[key]
 
 
+def _slice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, files = _landed_slices(spark, sf_dir)
+    return stream_responses(spark, path, files_per_batch=files)
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = stream_responses(spark, samples.landed_path(spark, sf_dir))
     rows = ingest.ingest(
@@ -706,7 +720,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _followed(spark: SparkSession, sf_dir: str) -> frontier.TaskPages:
     """Tasks followed over pages of which a third lands at a time, every third page of a task."""
-    responses = stream_responses(spark, _landed_slices(spark, sf_dir), files_per_batch=SLICE_FILES)
+    responses = _slice_stream(spark, sf_dir)
     limits = _run_tasks(spark, sf_dir)
     return frontier.follow_tasks(
         responses, TASK_KEYS, new_folder(spark, "tasks"), new_folder(spark, "offsets"), limits
@@ -722,7 +736,7 @@ def stream_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responses = stream_responses(spark, _landed_slices(spark, sf_dir), files_per_batch=SLICE_FILES)
+    responses = _slice_stream(spark, sf_dir)
     items = envelope.explode_items(responses, ["jobId"]).select("jobId", "page_id")
     return ingest.write_first_seen(
         items, "jobId", new_folder(spark, "first_seen"), new_folder(spark, "offsets")

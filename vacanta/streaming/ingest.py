@@ -40,12 +40,12 @@ def add_first_seen(index: LevelledTable, batch: DataFrame, batch_id: int, order:
     (key,) = index.key
     values = [f.name for f in index.schema if f.name != key]
     others = [c for c in values if c not in order]
-    first = (
-        batch.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(F.struct(*order, *others)).alias("first"))
-        .select(key, "first.*")
-    )
+    keyed = batch.where(F.col(key).isNotNull()).groupBy(key)
+    if len(values) == 1:  # a plain minimum is hashed, one of structs is sorted; NULL is least in both
+        value = F.col(values[0])
+        first = keyed.agg(F.when(~F.bool_or(value.isNull()), F.min(value)).alias(values[0]))
+    else:
+        first = keyed.agg(F.min(F.struct(*order, *others)).alias("first")).select(key, "first.*")
     known = index.runs(before=batch_id)
     touched = None
     if any(run.bits for run in known):
