@@ -3,12 +3,21 @@
 from pyspark.sql import functions as F
 
 from vacanta.plans import queries
-from vacanta.sources import samples
+from vacanta.sources import samples, store
 
 ORDERS = (
     "id as o_orderkey, id * 7 % 501 as o_custkey, case id % 3 when 0 then 'P' else 'F' end as o_orderstatus,"
     " timestamp_ntz '1998-01-01 00:00:00' as o_orderdate, '1-URGENT' as o_orderpriority"
 )
+VIEW = (
+    "id as page_id, 0 as pos, 'J' || id as job_id, 'title' as job_title, 'Company' as company_name,"
+    " 'Public' as company_type, '100+' as company_size, 1 as salary_min, 2 as salary_max, '1-2k' as salary_range,"
+    " '050200' as location_code, 'City' as city_name, 'District' as district, 'text' as job_describe,"
+    " '1 years' as work_experience, 'Master' as degree_requirement,"
+    " timestamp_ntz '1998-01-01 00:00:00' as publish_date, timestamp_ntz '1998-01-01 00:00:00' as update_date,"
+    " timestamp '2024-01-01 00:00:00' as created_at, '/j' as job_url, '/c' as company_url,"
+    " '050000' as province_code"
+)
 
 
 def _files(spark, path):
@@ -49,3 +58,18 @@ def test_slices_have_more_files_the_more_pages_and_all_the_same(spark, tmp_path)
     first = items.groupBy("jobId").agg(F.min_by("page_id", F.struct(arrived, "page_id")).alias("page_id"))
     got = queries.stream_dedupe(spark, str(tmp_path)).select("jobId", "page_id")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, first.collect()))
+
+
+def test_a_store_is_written_from_rows_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def count(n):
+        made.add(1)
+        return n
+
+    rows = spark.range(100).withColumn("id", count("id")).selectExpr(*VIEW.split(", "))
+    store.save_listings(rows, f"{tmp_path}/store")
+    assert store.read_listings(spark, f"{tmp_path}/store").count() == 100
+    assert made.value == 100
+    assert [p.name for p in tmp_path.iterdir()] == ["store"]

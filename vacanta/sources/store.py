@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from vacanta.fixed_values import INSERT_BATCH
 from vacanta.operators.listings import dedupe_latest, newest_first, storable
 from vacanta.schemas import STORED_DAYS
+from vacanta.streaming.batches import hadoop_folder
 
 # How an existing table is treated, and the Spark save mode for it.
 SAVE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
@@ -107,7 +108,20 @@ def save_listings(listings: DataFrame, path: str, **options: str) -> None:
     names, looked up one at a time, have a Bloom filter (or a dictionary, where
     they are few). Range partitioning splits a province with most of the rows
     over many tasks. ``options`` are those of the Parquet writer.
+
+    The ends of the columns, the sample for the ranges and the write each read
+    the rows, so these are staged beside ``path`` first: pages are parsed once.
     """
+    spark, staged = listings.sparkSession, f"{path.rstrip('/')}-staged"
+    listings.write.mode("overwrite").parquet(staged)
+    try:
+        _write_store(spark.read.schema(listings.schema).parquet(staged), path, options)
+    finally:
+        store, folder = hadoop_folder(spark, staged)
+        store.delete(folder, True)
+
+
+def _write_store(listings: DataFrame, path: str, options: dict[str, str]) -> None:
     days = {"publish_day": F.col("publish_date").cast("date"), "update_day": F.col("update_date").cast("date")}
     rows = listings.withColumns(days)
     day = F.unix_date(F.coalesce("update_day", "publish_day"))
