@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from vacanta.plans import queries
-from vacanta.sources import samples, store
+from vacanta.sources import samples, store, upsert
+from vacanta.sources.workspace import new_folder
 
 ORDERS = (
     "id as o_orderkey, id * 7 % 501 as o_custkey, case id % 3 when 0 then 'P' else 'F' end as o_orderstatus,"
@@ -73,3 +74,16 @@ def test_a_store_is_written_from_rows_made_once(spark, tmp_path):
     assert store.read_listings(spark, f"{tmp_path}/store").count() == 100
     assert made.value == 100
     assert [p.name for p in tmp_path.iterdir()] == ["store"]
+
+
+def test_a_load_writes_one_file_a_bucket(spark):
+    path = new_folder(spark, "upserted")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        touched = upsert.upsert(path, spark.range(2000).selectExpr(*VIEW.split(", ")))
+    finally:
+        spark.conf.unset(setting)
+    assert len(touched) == upsert.BUCKETS
+    assert len(_files(spark, f"{path}/data/load=0")) == upsert.BUCKETS
+    assert upsert.read_upserted(spark, path).count() == 2000

@@ -58,8 +58,9 @@ def upsert(path: str, arrived: DataFrame) -> list[int]:
         return []
     known = _read(spark, path, {b: live[b] for b in touched if b in live})
     merged = dedupe_latest(known.unionByName(came), "job_id", newest_first())
-    (
+    (  # a bucket is written by one task: one file, and not one from every task
         merged.withColumn("bucket", bucket)
+        .repartition("bucket")
         .write.mode("overwrite")
         .partitionBy("bucket")
         .parquet(f"{path}/data/load={load}")
