@@ -82,3 +82,42 @@ def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     got = op5_token_files(spark, sf_dir).orderBy("start").collect()
     assert [tuple(r) for r in got] == expected([tuple(r) for r in docs])
+
+
+WORDS = ["alpha", "Été", "groß", "x2", "don't"]
+MARKS = [".", ",", "!?", "|", ")", "###", "..."]
+
+
+def test_a_word_is_learned_once_whatever_marks_and_line_ends_are_beside_it(monkeypatch):
+    encoder = files.Encoder(public_tokenizers.path(files.TOKENIZER))
+    learned, learn = [], encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda words: learned.extend(words) or learn(words))
+    texts = [f"{a}{m}\n{a}{n} {a}{m}{n} {a}" for a in WORDS for m in MARKS for n in MARKS]
+    got = encoder.encode(texts)
+    assert [np.frombuffer(b, encoder.type).tolist() for b in got] == [ids(t)[:-1] for t in texts]
+    marks = {m + n for m in MARKS for n in ["", *MARKS]}
+    assert sorted(learned) == sorted({lead + a for lead in ("", " ", "\n") for a in WORDS} | marks)
+
+
+SPACES = [" ", " ", "\n", "  ", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", *map(chr, (0x1680, 0x2003, 0x2028, 0x3000))]
+OTHERS = [*WORDS, *MARKS, "'", "'s", "'re", "’", "“", "…", "×", "÷", "à", "ª", "½", "7", "é", "日本", "😀", "\x00", "​"]
+
+
+@pytest.mark.parametrize("remembered", [3, 1000])
+def test_random_texts_give_what_the_library_gives(monkeypatch, remembered):
+    monkeypatch.setattr(files, "KNOWN_WORDS", remembered)
+    random = np.random.default_rng(5)
+    encoder = files.Encoder(public_tokenizers.path(files.TOKENIZER))
+    parts = [*SPACES, *OTHERS, "<|endoftext|>", "<|endoftext", "|>", "y" * 70]
+    for _ in range(20):
+        texts = ["".join(random.choice(parts, random.integers(0, 12))) for _ in range(200)]
+        got = [np.frombuffer(b, encoder.type).tolist() for b in encoder.encode(texts)]
+        assert got == [ids(t)[:-1] for t in texts]
+
+
+def test_a_tokenizer_of_another_kind_gets_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = files.Encoder(path), Tokenizer.from_file(path)
+    for text in [*ODD, "A b.\nC  d, ｅ it's"]:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], encoder.type).tolist() == want

@@ -16,7 +16,6 @@ vocabulary allows.
 
 from __future__ import annotations
 
-import re
 import sys
 import uuid
 import zlib
@@ -27,6 +26,7 @@ from typing import NamedTuple
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -41,29 +41,72 @@ ROWS = 128  # sequences a batch
 END = 0
 KNOWN_WORDS = 320_000  # remembered encodings of a worker, twice; some 130 MB together
 LONG_WORD = 64  # characters; longer words are not remembered, which bounds the memory
-WORDS_AT_ONCE = 2_000
-CHARS_AT_ONCE = 500_000
-ODD_SPACE = re.compile(r"\s(?: |\Z)")  # white space before a space, or at the end
+WORDS_AT_ONCE = 500  # learned by one call
+BYTES_AT_ONCE = 4_000_000  # of texts whose distinct words are looked up together
+
+# What a byte that ends a word may be followed by, and what a byte that starts one
+# follows: white space after anything else, marks after letters and digits. A byte
+# of a longer character has to be looked at with the one before.
+_SPACES, _MARKS = b" \n", bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+_SPACE, _MARK, _SPACE_IF, _MARK_IF = 1, 2, 4, 8
+_ENDS, _STARTS = np.zeros(256, np.uint8), np.zeros(256, np.uint8)
+_ENDS[33:127] = _SPACE
+_ENDS[[c for c in range(128) if chr(c).isalnum()]] |= _MARK
+_ENDS[128:] = _SPACE_IF | _MARK_IF
+_STARTS[list(_SPACES)] = _SPACE | _SPACE_IF
+_STARTS[list(_MARKS)] = _MARK | _MARK_IF
+# Last two bytes of the white space beyond ASCII; some other characters end alike.
+_WIDE_SPACE = np.zeros((256, 256), bool)
+_WIDE_SPACE[np.ix_([0xC2, 0x80, 0x81, 0x9A, 0xA0], [*range(0x80, 0x8B), 0x8E, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF])] = True
+# Letters of two bytes, U+00C0 to U+00FF without the signs of times and division.
+_LATIN = np.zeros((256, 256), bool)
+_LATIN[0xC3, 0x80:0xC0] = True
+_LATIN[0xC3, [0x97, 0xB7]] = False
+
+
+def word_starts(data: np.ndarray) -> np.ndarray:
+    """Whether a word starts at each byte of some texts, the end included.
+
+    A byte-level tokenizer's pattern never joins what lies on two sides of
+    these places, nor do the ids of one side depend on the other: white space
+    after something else, and a mark (no apostrophe, as in ``'s``) after a
+    letter or digit. Where that is in doubt, no word starts.
+    """
+    starts = np.zeros(len(data) + 1, bool)
+    found = _ENDS[data[:-1]] & _STARTS[data[1:]]
+    starts[1 : len(data)] = found & (_SPACE | _MARK) != 0
+    at = np.flatnonzero(found & (_SPACE_IF | _MARK_IF)) + 1
+    pair = data[at - 2], data[at - 1]
+    starts[at] = np.where(found[at - 1] & _SPACE_IF, ~_WIDE_SPACE[pair], _LATIN[pair])
+    return starts
 
 
 class Encoder:
     """Ids of whole texts as bytes, by the tokenizers library.
 
-    The tokenizer never joins what lies on two sides of the start of white
-    space. A text whose white space is single spaces before words is
-    therefore the ids of its space-led words in turn, and each distinct word
-    goes to the library once, many words to a call. Any other text, and one
-    with a special token in it, goes there whole.
+    With a byte-level tokenizer a text is the ids of its words in turn (see
+    ``word_starts``), and each distinct word goes to the library once, many
+    words to a call. A text with a special token in it goes there whole, and
+    so does every text with a tokenizer of another kind.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Bytes that each id stands for: one per character of a byte-level token.
         vocabulary = self.tokenizer.get_vocab()
+        before = self.tokenizer.pre_tokenizer
+        self.splits = (
+            self.tokenizer.normalizer is None
+            and isinstance(before, pre_tokenizers.ByteLevel)
+            and before.use_regex
+            and not before.add_prefix_space
+            and vocabulary.keys() >= set(before.alphabet())
+            and not any(c.isspace() for c in "".join(self.special))
+        )
+        # Bytes that each id stands for: one per character of a byte-level token.
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.lengths[list(vocabulary.values())] = [len(token) for token in vocabulary]
         # Words of late, and those before them: what is met again stays.
@@ -77,43 +120,89 @@ class Encoder:
         return state.setdefault("encoders", {}).get(path) or state["encoders"].setdefault(path, cls(path))
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        """Encode words, each led by a space, many as one text; ids are told apart by their bytes."""
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            some = words[at : at + WORDS_AT_ONCE]
-            joined = " " + " ".join(some)
-            encoded = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
-            ids = np.array(encoded.ids, self.type)
-            ends = np.cumsum(self.lengths[ids])
-            data = np.frombuffer(joined.encode(), np.uint8)
-            places = np.append(np.flatnonzero(data == 32)[1:], len(data))  # where each word ends
-            cuts = ((np.searchsorted(ends, places) + 1) * self.type.itemsize).tolist()
-            raw = ids.tobytes()
-            self.known.update(zip(some, (raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if self._odd(t) else t.split(" ") for t in texts]
-        wanted = set().union(*(w[1:] for w in split if w))
-        new = wanted.difference(self.known)
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known, self.older, new = {}, self.known, wanted
-        known, older = self.known, self.older
-        again = new.intersection(older)
-        known.update(zip(again, map(older.__getitem__, again), strict=True))
-        self.learn(list(new - again))
-        encoded = [
-            self.whole(text) if w is None else self.whole(w[0]) + b"".join([known[x] for x in w[1:]])
-            for text, w in zip(texts, split, strict=True)
-        ]
-        for word in new:
-            if len(word) > LONG_WORD:
-                known.pop(word, None)
+        encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(encoded.ids, self.type).tobytes()
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Encode distinct words, many as one text; ids are told apart by their bytes.
+
+        A word after another must start with white space, or have a line end
+        put before it, and the one before must not end with white space. Words
+        that cannot stand so, and long ones, are encoded by themselves.
+        """
+        alone, spaced, apart = [], [], []
+        for word in words:
+            if len(word) > LONG_WORD or word[-1].isspace():
+                alone.append(word)
+            elif word[0] in " \n":
+                spaced.append(word)
+            else:
+                (alone if word[0].isspace() else apart).append(word)
+        learned = {word: self.whole(word) for word in alone}
+        for some, between in ((spaced, ""), (apart, "\n")):
+            for at in range(0, len(some), WORDS_AT_ONCE):
+                part = some[at : at + WORDS_AT_ONCE]
+                learned.update(zip(part, self._joined(part, between), strict=True))
+        return learned
+
+    def _joined(self, words: list[str], between: str) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast([between + between.join(words)], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, self.type)
+        ends = np.cumsum(self.lengths[ids])
+        sizes = np.array([len(word.encode()) for word in words])
+        upto = np.cumsum(sizes + len(between))
+        first, after = (
+            (np.searchsorted(ends, places, "right") * self.type.itemsize).tolist() for places in (upto - sizes, upto)
+        )
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(first, after, strict=True)]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        whole = pa.array(np.full(len(texts), not self.splits))
+        for token in self.special if self.splits else ():
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        apart = np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist()
+        encoded = self._by_words(pc.if_else(whole, "", texts) if apart else texts)
+        for at in apart:
+            encoded[at] = self.whole(texts[at].as_py())
         return encoded
 
-    def _odd(self, text: str) -> bool:
-        return not text or ODD_SPACE.search(text) is not None or any(token in text for token in self.special)
+    def _by_words(self, texts: pa.Array) -> list[bytes]:
+        bounds, data = _strings(texts)
+        starts = word_starts(data)
+        starts[bounds] = True
+        places = np.flatnonzero(starts)
+        words = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places), pa.py_buffer(data))
+        coded = words.dictionary_encode()
+        ids = pa.array(self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        ends, raw = _strings(ids.take(coded.indices))
+        cuts = ends[np.searchsorted(places, bounds)].tolist()
+        raw = raw.tobytes()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        found = list(map(self.known.get, words))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        for k in missing:
+            found[k] = self.older.get(words[k])
+        learned = self.learn([words[k] for k in missing if found[k] is None])
+        for k in missing:
+            if found[k] is None:
+                found[k] = learned[words[k]]
+        if len(self.known) + len(missing) > KNOWN_WORDS:
+            self.known, self.older, missing = {}, self.known, range(len(words))
+        self.known.update((words[k], found[k]) for k in missing if len(words[k]) <= LONG_WORD)
+        return found
+
+
+def _strings(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds and bytes of an array of large strings, from 0."""
+    _, offsets, data = array.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]
+    data = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
+    return bounds - bounds[0], data
 
 
 class SequenceWriter:
@@ -154,17 +243,14 @@ class SequenceWriter:
         self.file.close()
 
 
-def _runs(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts in turn, so many at once as make some ``CHARS_AT_ONCE`` characters."""
-    run, chars = [], 0
-    for text in texts:
-        run.append(text.as_py())
-        chars += len(run[-1])
-        if chars >= CHARS_AT_ONCE:
-            yield run
-            run, chars = [], 0
-    if run:
-        yield run
+def _runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in turn, so many at once as make some ``BYTES_AT_ONCE`` bytes."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    at = done = 0
+    while at < len(texts):
+        upto = min(int(np.searchsorted(ends, done + BYTES_AT_ONCE)) + 1, len(texts))
+        yield texts.slice(at, upto - at)
+        at, done = upto, int(ends[upto - 1])
 
 
 def qualified(spark: SparkSession, folder: str) -> str:
