@@ -39,10 +39,10 @@ TOKENIZER = "byte_bpe_50k.json"
 LENGTH = 1024
 ROWS = 128  # sequences a batch
 END = 0
-KNOWN_WORDS = 320_000  # remembered encodings of a worker, twice; some 130 MB together
+KNOWN_WORDS = 200_000  # remembered encodings of a worker, twice; some 80 MB together
 LONG_WORD = 64  # characters; longer words are not remembered, which bounds the memory
 WORDS_AT_ONCE = 500  # learned by one call
-BYTES_AT_ONCE = 4_000_000  # of texts whose distinct words are looked up together
+BYTES_AT_ONCE = 2_000_000  # of texts whose distinct words are looked up together
 
 # What a byte that ends a word may be followed by, and what a byte that starts one
 # follows: white space after anything else, marks after letters and digits. A byte
